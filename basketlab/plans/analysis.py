@@ -24,7 +24,7 @@ from basketlab.operators import stats as S
 from basketlab.operators import weights as W
 from basketlab.sources.index import index_series
 from basketlab.sources.prices import parse_price_dates
-from basketlab.session import reliable_checkpoint
+from basketlab.session import materialize, reliable_checkpoint
 
 
 @dataclass
@@ -36,6 +36,12 @@ class Analysis:
     companies: DataFrame | None = None
     config: PipelineConfig = field(default_factory=PipelineConfig)
     optimal: bool = True
+    # Write the small reused stages (returns, baskets, covariance, weights) to
+    # the shared checkpoint folder: each is computed once and its lineage cut.
+    materialize_stages: bool = False
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self.materialize_stages else df
 
     # -- panel and returns -------------------------------------------------
     @cached_property
@@ -52,7 +58,8 @@ class Analysis:
 
     @cached_property
     def returns(self) -> DataFrame:
-        return P.aligned_returns(self.panel, self.index, self.config.universe, self.config.return_decimals)
+        r = P.aligned_returns(self.panel, self.index, self.config.universe, self.config.return_decimals)
+        return self._keep(r, "returns")
 
     def freeze_returns(self) -> DataFrame:
         """Materialise the returns once (reliable checkpoint) and reuse them downstream."""
@@ -72,7 +79,7 @@ class Analysis:
     @cached_property
     def baskets(self) -> DataFrame:
         c = self.config
-        return B.build_baskets(self.peers, self.universe, c.min_size, c.max_size)
+        return self._keep(B.build_baskets(self.peers, self.universe, c.min_size, c.max_size), "baskets")
 
     @cached_property
     def members(self) -> DataFrame:
@@ -86,7 +93,7 @@ class Analysis:
 
     @cached_property
     def cov(self) -> DataFrame:
-        return S.covariance(self.returns, self.config.return_decimals, self.members)
+        return self._keep(S.covariance(self.returns, self.config.return_decimals, self.members), "cov")
 
     @cached_property
     def betas(self) -> DataFrame:
@@ -104,7 +111,8 @@ class Analysis:
 
     @cached_property
     def optimal_weights(self) -> DataFrame:
-        return W.min_variance_weights(self.baskets, self.cov, self.config.weight_decimals)
+        w = W.min_variance_weights(self.baskets, self.cov, self.config.weight_decimals)
+        return self._keep(w, "weights")
 
     @cached_property
     def weights(self) -> DataFrame:

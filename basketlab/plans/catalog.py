@@ -21,15 +21,27 @@ from basketlab.operators import panel as P
 from basketlab.plans.analysis import Analysis
 from basketlab.sources import fixtures as X
 from basketlab.sources.prices import flatten_history
-
-
-def analysis(spark: SparkSession, sf_dir: str, config: PipelineConfig = TEST_CONFIG, optimal: bool = False) -> Analysis:
+from basketlab.session import materialize
+
+
+def analysis(
+    spark: SparkSession,
+    sf_dir: str,
+    config: PipelineConfig = TEST_CONFIG,
+    optimal: bool = False,
+    materialize_stages: bool = True,
+) -> Analysis:
+    """The analysis over inputs derived from the test tables (one scan of ``lineitem``)."""
+    sums = X.brand_quarter_sums(spark, sf_dir)
+    if materialize_stages:
+        sums = materialize(sums, "brand_quarters")
     return Analysis(
-        stocks=X.stocks_table(spark, sf_dir),
-        index_raw=X.index_text(spark, sf_dir),
+        stocks=X.stocks_from_sums(sums),
+        index_raw=X.index_from_sums(sums),
         companies=X.companies(spark, sf_dir),
         config=config,
         optimal=optimal,
+        materialize_stages=materialize_stages,
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,16 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    One pass over the input, lineage cut, survives executor loss, and the read
+    side carries exact size statistics for AQE's join choices.
+    """
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/basketlab-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

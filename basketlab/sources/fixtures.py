@@ -43,28 +43,50 @@ def _vwap(e: str, q: str):
     return F.try_divide(F.col(e).cast("double") / F.lit(100.0), F.col(q).cast("double") / F.lit(100.0))
 
 
-def brand_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(date, symbol, price)``: one row per (quarter, brand)."""
-    return (
-        trades(spark, sf_dir)
-        .groupBy("date", "symbol")
-        .agg(F.sum("e_cents").alias("e"), F.sum("q_cents").alias("q"))
-        .select("date", "symbol", _vwap("e", "q").alias("price"))
+def brand_quarter_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(date, symbol, e, q)``: notional and quantity cents per (quarter, brand).
+
+    The single aggregation both the stocks table and the index derive from
+    (integer sums regroup exactly, so the index needs no second scan).
+    """
+    return trades(spark, sf_dir).groupBy("date", "symbol").agg(
+        F.sum("e_cents").alias("e"), F.sum("q_cents").alias("q")
     )
 
 
-def stocks_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stocks_from_sums(sums: DataFrame) -> DataFrame:
     """The flat stocks table: ``symbol, date 'yyyy-MM-dd', adjClose, label``."""
-    bq = brand_quarters(spark, sf_dir)
     d = F.date_format("date", "yyyy-MM-dd")
-    return bq.select(
+    return sums.select(
         "symbol",
         d.alias("date"),
-        F.col("price").alias("adjClose"),
+        _vwap("e", "q").alias("adjClose"),
         F.concat(F.col("symbol"), F.lit(" "), d).alias("label"),
     )
 
 
+def index_from_sums(sums: DataFrame) -> DataFrame:
+    """Index file as text columns, as a CSV read without schema gives them: ``Date, Close``."""
+    t = sums.groupBy("date").agg(F.sum("e").alias("e"), F.sum("q").alias("q"))
+    return t.select(
+        F.date_format("date", "MM/dd/yyyy").alias("Date"),
+        _vwap("e", "q").cast("string").alias("Close"),
+    )
+
+
+def brand_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(date, symbol, price)``: one row per (quarter, brand)."""
+    return brand_quarter_sums(spark, sf_dir).select("date", "symbol", _vwap("e", "q").alias("price"))
+
+
+def stocks_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stocks_from_sums(brand_quarter_sums(spark, sf_dir))
+
+
+def index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index_from_sums(brand_quarter_sums(spark, sf_dir))
+
+
 def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested document per ticker: ``symbol, historical array<struct<date, adjClose, label>>``.
 
@@ -77,15 +99,6 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index file as text columns, as a CSV read without schema gives them: ``Date, Close``."""
-    t = trades(spark, sf_dir).groupBy("date").agg(F.sum("e_cents").alias("e"), F.sum("q_cents").alias("q"))
-    return t.select(
-        F.date_format("date", "MM/dd/yyyy").alias("Date"),
-        _vwap("e", "q").cast("string").alias("Close"),
-    )
-
-
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company dictionary ``symbol, company_name``: every brand but the lowest one.
 
