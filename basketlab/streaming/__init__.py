@@ -1,0 +1,3 @@
+from basketlab.streaming.ingest import PRICE_DOCUMENT_SCHEMA, document_stream, ingest_available, start_ingest
+
+__all__ = ["PRICE_DOCUMENT_SCHEMA", "document_stream", "ingest_available", "start_ingest"]

@@ -1,0 +1,70 @@
+"""Daily upload as an incremental file stream.
+
+New per-ticker JSON documents dropped into a folder are flattened and appended
+to the stocks table exactly once: the file source remembers which files it
+has read and the parquet sink commits through its own log, both under the
+query's checkpoint location. ``availableNow`` processes whatever has arrived
+and stops, which is the shape of a daily scheduled job.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+
+from basketlab.sources.prices import flatten_history
+
+PRICE_DOCUMENT_SCHEMA = StructType(
+    [
+        StructField("symbol", StringType()),
+        StructField(
+            "historical",
+            ArrayType(
+                StructType(
+                    [
+                        StructField("date", StringType()),
+                        StructField("adjClose", DoubleType()),
+                        StructField("label", StringType()),
+                    ]
+                )
+            ),
+        ),
+    ]
+)
+
+
+def document_stream(
+    spark: SparkSession, docs_dir: str, schema: StructType = PRICE_DOCUMENT_SCHEMA, max_files: int | None = None
+) -> DataFrame:
+    """Streaming scan of multi-line JSON documents (a stream needs an explicit schema)."""
+    r = spark.readStream.schema(schema).option("multiLine", True)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.json(docs_dir)
+
+
+def start_ingest(
+    spark: SparkSession,
+    docs_dir: str,
+    table_path: str,
+    checkpoint_location: str,
+    schema: StructType = PRICE_DOCUMENT_SCHEMA,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Flatten new documents into the parquet stocks table at ``table_path``."""
+    flat = flatten_history(document_stream(spark, docs_dir, schema))
+    w = (
+        flat.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", table_path)
+        .option("checkpointLocation", checkpoint_location)
+    )
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def ingest_available(spark: SparkSession, docs_dir: str, table_path: str, checkpoint_location: str) -> None:
+    """Process every document that has arrived since the last run, then return."""
+    q = start_ingest(spark, docs_dir, table_path, checkpoint_location)
+    q.awaitTermination()
