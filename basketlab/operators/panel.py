@@ -117,14 +117,12 @@ def aligned_returns(
     udf_ = universe_frame(panel, universe)
     n_u = universe_size(udf_, universe)
     cells = return_cells(_in_universe(panel, universe, udf_), cal, decimals)
-    complete = (
-        cells.groupBy("date")
-        .agg(F.count("ret").alias("n_ok"))
-        .where(F.col("n_ok") == n_u)
-        .select("date")
-    )
-    good = complete.join(index_returns(index, cal, decimals).where(F.col("index_ret").isNotNull()), "date")
-    return cells.join(good, "date").select("date", "symbol", "ret", "index_ret")
+    # complete case: every universe ticker has a non-null return on the date
+    # (a date partition holds at most one row per ticker)
+    n_ok = F.count("ret").over(Window.partitionBy("date"))
+    complete = cells.withColumn("n_ok", n_ok).where(F.col("n_ok") == n_u)
+    idx = index_returns(index, cal, decimals).where(F.col("index_ret").isNotNull())
+    return complete.join(idx, "date").select("date", "symbol", "ret", "index_ret")
 
 
 def dropped_dates(panel: DataFrame, index: DataFrame, returns: DataFrame) -> DataFrame:

@@ -5,14 +5,18 @@ Statistics are computed from exact integer sums of the rounded returns
 and no ANSI division error for a constant series (its correlation is null,
 its covariance 0.0, a constant index gives beta 0.0).
 
-Pairwise moments come from one self-join of the long returns on ``date``
-restricted to ``symbol_a <= symbol_b``; the join input is the same exchange on
-both sides (reused), each date holds one row per ticker, and the partial
-aggregation by pair runs before the shuffle.
+Pairwise moments are Gram products computed block by block: tickers hash
+into blocks of bounded size, each (block, block) pair is one group whose
+cross-products are exact integer matrix products in the executor. Work grows
+as ``S^2 x D`` multiply-adds in BLAS, not as ``S^2 x D`` rows through a join.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,25 +30,137 @@ def _units_frame(returns: DataFrame, decimals: int, symbols: DataFrame | None) -
     return r
 
 
-def pair_moments(returns: DataFrame, decimals: int = 6, symbols: DataFrame | None = None) -> DataFrame:
-    """``(symbol_a, symbol_b, n, cov_num, var_a, var_b)`` for ``symbol_a <= symbol_b``.
+PAIR_SUMS_SCHEMA = (
+    "symbol_a string, symbol_b string, n bigint, sa decimal(38,0), sb decimal(38,0), "
+    "saa decimal(38,0), sbb decimal(38,0), sab decimal(38,0)"
+)
+_FLOAT_EXACT = 2.0**53
+_INT64_SAFE = 2.0**62
 
-    With ``x``, ``y`` the integer units of the two returns over their common
-    dates: ``cov_num = n*sum(xy) - sum(x)*sum(y)``, ``var_a = n*sum(x^2) -
-    sum(x)^2``; all exact decimal(38,0).
+
+def _gram(a: np.ndarray, b: np.ndarray, bound: float) -> np.ndarray:
+    """``a.T @ b`` for integer matrices, exact.
+
+    BLAS in float64 when every partial sum stays below 2**53 (then each
+    product and sum is an exactly representable integer), int64 below 2**62,
+    Python integers beyond.
     """
-    r = _units_frame(returns, decimals, symbols)
+    if bound < _FLOAT_EXACT:
+        return np.rint(a.astype(np.float64).T @ b.astype(np.float64)).astype(np.int64)
+    if bound < _INT64_SAFE:
+        return a.astype(np.int64).T @ b.astype(np.int64)
+    return a.astype(object).T @ b.astype(object)
+
+
+def _block_pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Moment sums of every symbol pair of one (block, block) group, ``symbol_a <= symbol_b``."""
+    lo, hi = int(pdf["blk_lo"].iloc[0]), int(pdf["blk_hi"].iloc[0])
+    di, _ = pd.factorize(pdf["date"])
+    si, syms = pd.factorize(pdf["symbol"])
+    syms = np.asarray(syms, dtype=object)
+    blk_of = np.zeros(len(syms), dtype=np.int64)
+    blk_of[si] = pdf["blk"].to_numpy()
+    x = np.zeros((di.max() + 1, len(syms)), dtype=np.int64)
+    m = np.zeros_like(x)
+    xv = pdf["x"].to_numpy(dtype=np.int64)
+    x[di, si] = xv
+    m[di, si] = 1
+    ia = np.where(blk_of == lo)[0]
+    ib = np.where(blk_of == hi)[0]
+    xa, ma, xb, mb = x[:, ia], m[:, ia], x[:, ib], m[:, ib]
+    big = float(np.max(np.abs(xv))) if len(xv) else 0.0
+    rows = x.shape[0]
+    n = _gram(ma, mb, rows)
+    sa, sb = _gram(xa, mb, big * rows), _gram(ma, xb, big * rows)
+    def sq(a):
+        return a * a if big < 3e9 else a.astype(object) * a.astype(object)
+
+    saa, sbb = _gram(sq(xa), mb, big * big * rows), _gram(ma, sq(xb), big * big * rows)
+    sab = _gram(xa, xb, big * big * rows)
+    na, nb_ = syms[ia], syms[ib]
+    ga, gb = np.meshgrid(np.arange(len(ia)), np.arange(len(ib)), indexing="ij")
+    ga, gb = ga.ravel(), gb.ravel()
+    keep = n[ga, gb] > 0
+    a_name, b_name = na[ga], nb_[gb]
+    if lo == hi:
+        keep &= a_name <= b_name
+    swap = a_name > b_name
+    sel = np.where(keep)[0]
+    ga, gb, swap = ga[sel], gb[sel], swap[sel]
+
+    def col(mat):
+        return mat[ga, gb]
+
+    va, vb, vaa, vbb = col(sa), col(sb), col(saa), col(sbb)
+    out = pd.DataFrame(
+        {
+            "symbol_a": np.where(swap, b_name[sel], a_name[sel]),
+            "symbol_b": np.where(swap, a_name[sel], b_name[sel]),
+            "n": col(n).astype(np.int64),
+            "sa": np.where(swap, vb, va),
+            "sb": np.where(swap, va, vb),
+            "saa": np.where(swap, vbb, vaa),
+            "sbb": np.where(swap, vaa, vbb),
+            "sab": col(sab),
+        }
+    )
+    for c in ("sa", "sb", "saa", "sbb", "sab"):
+        out[c] = [Decimal(int(v)) for v in out[c]]
+    return out
+
+
+def _pair_sums_blocked(r: DataFrame, block_size: int) -> DataFrame:
+    """Pair sums by blocks: symbols hash into ``ceil(S / block_size)`` blocks; every
+    (block, block) pair is one group computing exact integer cross-products.
+
+    Each return row is copied once per block, so the shuffle is ``blocks x rows``
+    and a group holds two blocks' histories; no per-date pair row is formed.
+    """
+    n_blocks = F.greatest(
+        F.lit(1),
+        ((r.select(F.countDistinct("symbol")).scalar() + F.lit(block_size - 1)) / F.lit(block_size)).cast("int"),
+    )
+    rows = (
+        r.withColumn("blk", F.pmod(F.xxhash64("symbol"), n_blocks.cast("long")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        .withColumn("blk_lo", F.least("blk", "other"))
+        .withColumn("blk_hi", F.greatest("blk", "other"))
+        .select("blk_lo", "blk_hi", "blk", "date", "symbol", "x")
+    )
+    return rows.groupBy("blk_lo", "blk_hi").applyInPandas(_block_pair_sums, schema=PAIR_SUMS_SCHEMA)
+
+
+def _pair_sums_join(r: DataFrame) -> DataFrame:
+    """Pair sums by a self-join on date (one row per date and pair; small universes only)."""
     a = r.select("date", F.col("symbol").alias("symbol_a"), F.col("x").alias("xa"))
     b = r.select("date", F.col("symbol").alias("symbol_b"), F.col("x").alias("xb"))
     j = a.join(b, "date").where(F.col("symbol_a") <= F.col("symbol_b"))
-    m = j.groupBy("symbol_a", "symbol_b").agg(
+    return j.groupBy("symbol_a", "symbol_b").agg(
         F.count("*").alias("n"),
-        F.sum("xa").alias("sa"),
-        F.sum("xb").alias("sb"),
+        F.sum(exact("xa")).alias("sa"),
+        F.sum(exact("xb")).alias("sb"),
         F.sum(exact("xa") * F.col("xa")).alias("saa"),
         F.sum(exact("xb") * F.col("xb")).alias("sbb"),
         F.sum(exact("xa") * F.col("xb")).alias("sab"),
     )
+
+
+def pair_moments(
+    returns: DataFrame,
+    decimals: int = 6,
+    symbols: DataFrame | None = None,
+    method: str = "blocked",
+    block_size: int = 512,
+) -> DataFrame:
+    """``(symbol_a, symbol_b, n, cov_num, var_a, var_b)`` for ``symbol_a <= symbol_b``.
+
+    With ``x``, ``y`` the integer units of the two returns over their common
+    dates: ``cov_num = n*sum(xy) - sum(x)*sum(y)``, ``var_a = n*sum(x^2) -
+    sum(x)^2``; all exact decimal(38,0). ``method="blocked"`` (default) forms
+    the cross-products block by block; ``"join"`` is the plain self-join.
+    """
+    r = _units_frame(returns, decimals, symbols)
+    m = _pair_sums_blocked(r, block_size) if method == "blocked" else _pair_sums_join(r)
     n = exact("n")
     return m.select(
         "symbol_a",

@@ -120,3 +120,28 @@ def test_equal_weights_round_half_even(spark):
     w = B.equal_weights(b).collect()
     assert all(r["weight"] == pytest.approx(0.12) for r in w) and len(w) == 8
     assert all(r["weight_exact"] == 0.125 for r in w)
+
+
+@pytest.mark.parametrize("block_size", [1, 2, 3, 512])
+def test_blocked_moments_equal_join(spark, block_size):
+    rng = np.random.default_rng(block_size)
+    rows = []
+    for s in "ABCDEFG":
+        for i in range(15):
+            if rng.random() < 0.2:  # gaps: pairwise-complete moments
+                continue
+            rows.append((day(i), s, float(np.round(rng.normal(0, 0.05), 6)), 0.0))
+    r = spark.createDataFrame(rows, "date date, symbol string, ret double, index_ret double")
+    a = sorted(tuple(x) for x in S.pair_moments(r, method="join").collect())
+    b = sorted(tuple(x) for x in S.pair_moments(r, method="blocked", block_size=block_size).collect())
+    assert a == b and len(a) == 28
+
+
+def test_gram_paths_agree():
+    rng = np.random.default_rng(0)
+    a = rng.integers(-10**6, 10**6, size=(30, 4))
+    b = rng.integers(-10**6, 10**6, size=(30, 3))
+    exact_ = a.astype(object).T @ b.astype(object)
+    assert (S._gram(a, b, 1.0) == exact_).all()
+    assert (S._gram(a, b, 2.0**60) == exact_).all()
+    assert (S._gram(a, b, 2.0**70) == exact_).all()
