@@ -61,6 +61,20 @@ def q_price_panel_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.pivot_panel(analysis(spark, sf_dir).panel)
 
 
+def q_returns_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.returns_wide(analysis(spark, sf_dir).returns)
+
+
+def q_index_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = analysis(spark, sf_dir)
+    return P.index_returns(a.index, P.calendar(a.panel, a.index))
+
+
+def q_dropped_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = analysis(spark, sf_dir)
+    return P.dropped_dates(a.panel, a.index, a.returns)
+
+
 def q_correlation_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     from basketlab.operators.stats import correlation_wide
 
@@ -98,6 +112,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_panel_wide": q_price_panel_wide,
     "index_series": _stage("index"),
     "aligned_returns": _stage("returns"),
+    "aligned_returns_wide": q_returns_wide,
+    "index_returns": q_index_returns,
+    "dropped_dates": q_dropped_dates,
     "correlation_matrix": _stage("corr"),
     "correlation_matrix_wide": q_correlation_wide,
     "correlated_peers": _stage("peers"),
@@ -307,6 +324,10 @@ ORACLE_FINALS: dict[str, str] = {
     "price_panel_wide": "SELECT * FROM (PIVOT panel ON symbol USING sum(price) GROUP BY date)",
     "index_series": "SELECT date, level FROM idx",
     "aligned_returns": "SELECT date, symbol, ret, index_ret FROM returns",
+    "aligned_returns_wide": """SELECT * FROM (PIVOT (SELECT date, symbol, ret FROM returns) ON symbol USING first(ret) GROUP BY date) w
+       JOIN (SELECT DISTINCT date, index_ret AS "SP500" FROM returns) i USING (date)""",
+    "index_returns": "SELECT date, index_ret FROM iret",
+    "dropped_dates": "SELECT date FROM cal WHERE date NOT IN (SELECT date FROM returns)",
     "correlation_matrix": "SELECT symbol_a, symbol_b, corr FROM corr",
     "correlation_matrix_wide": """SELECT * RENAME (symbol_a AS "stockName")
        FROM (PIVOT corr ON symbol_b USING first(corr) GROUP BY symbol_a)""",
