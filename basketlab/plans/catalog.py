@@ -30,15 +30,16 @@ def analysis(
     config: PipelineConfig = TEST_CONFIG,
     optimal: bool = False,
     materialize_stages: bool = True,
+    symbol: str = "brand",
 ) -> Analysis:
     """The analysis over inputs derived from the test tables (one scan of ``lineitem``)."""
-    sums = X.brand_quarter_sums(spark, sf_dir)
+    sums = X.brand_quarter_sums(spark, sf_dir, symbol)
     if materialize_stages:
         sums = materialize(sums, "brand_quarters")
     return Analysis(
         stocks=X.stocks_from_sums(sums),
         index_raw=X.index_from_sums(sums),
-        companies=X.companies(spark, sf_dir),
+        companies=X.companies(spark, sf_dir, symbol),
         config=config,
         optimal=optimal,
         materialize_stages=materialize_stages,

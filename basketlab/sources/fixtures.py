@@ -25,15 +25,23 @@ def _cents(col: str):
     return F.round(F.col(col) * F.lit(100.0)).cast("bigint")
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+# Ticker definitions over ``part``: the brand (25 tickers), or brand and size
+# (about 1,250 tickers) for a wider universe from the same tables.
+SYMBOLS = {
+    "brand": lambda: F.col("p_brand"),
+    "brand_size": lambda: F.concat(F.col("p_brand"), F.lit("/"), F.col("p_size").cast("string")),
+}
+
+
+def trades(spark: SparkSession, sf_dir: str, symbol: str = "brand") -> DataFrame:
     """One row per line item: ``(date date, symbol string, e_cents long, q_cents long)``."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     return li.join(pt, li.l_partkey == pt.p_partkey).select(
         F.trunc(F.col("l_shipdate").cast("date"), "quarter").alias("date"),
-        F.col("p_brand").alias("symbol"),
+        SYMBOLS[symbol]().alias("symbol"),
         _cents("l_extendedprice").alias("e_cents"),
         _cents("l_quantity").alias("q_cents"),
     )
@@ -43,13 +51,13 @@ def _vwap(e: str, q: str):
     return F.try_divide(F.col(e).cast("double") / F.lit(100.0), F.col(q).cast("double") / F.lit(100.0))
 
 
-def brand_quarter_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+def brand_quarter_sums(spark: SparkSession, sf_dir: str, symbol: str = "brand") -> DataFrame:
     """``(date, symbol, e, q)``: notional and quantity cents per (quarter, brand).
 
     The single aggregation both the stocks table and the index derive from
     (integer sums regroup exactly, so the index needs no second scan).
     """
-    return trades(spark, sf_dir).groupBy("date", "symbol").agg(
+    return trades(spark, sf_dir, symbol).groupBy("date", "symbol").agg(
         F.sum("e_cents").alias("e"), F.sum("q_cents").alias("q")
     )
 
@@ -99,13 +107,13 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Company dictionary ``symbol, company_name``: every brand but the lowest one.
+def companies(spark: SparkSession, sf_dir: str, symbol: str = "brand") -> DataFrame:
+    """Company dictionary ``symbol, company_name``: every ticker but the lowest one.
 
-    The missing brand exercises the inner join of the holdings report.
+    The missing ticker exercises the inner join of the holdings report.
     """
-    brands = read_table(spark, sf_dir, "part").select(F.col("p_brand").alias("symbol")).distinct()
-    lowest = brands.select(F.min("symbol")).scalar()
-    return brands.where(F.col("symbol") != lowest).select(
+    tickers = read_table(spark, sf_dir, "part").select(SYMBOLS[symbol]().alias("symbol")).distinct()
+    lowest = tickers.select(F.min("symbol")).scalar()
+    return tickers.where(F.col("symbol") != lowest).select(
         "symbol", F.concat(F.lit("Company "), F.col("symbol")).alias("company_name")
     )

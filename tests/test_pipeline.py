@@ -51,3 +51,15 @@ def test_files_round_trip_equals_in_memory_analysis(spark, tmp_path):
     assert len(parts) == 1
     snap = spark.read.option("header", True).csv(str(tmp_path / "archive"))
     assert snap.where(F.col("run_date") == "2024-01-02").count() == detail.count()
+
+
+def test_no_basket_gives_empty_outputs_with_schema(spark):
+    from dataclasses import replace
+
+    cfg = replace(TEST_CONFIG, corr_lo=0.995, corr_hi=0.999)
+    a = catalog.analysis(spark, SF_SMALL, config=cfg, optimal=True)
+    assert a.baskets.count() == 0
+    for df in (a.summary, a.holdings, a.detail):
+        assert df.count() == 0
+    assert a.summary.columns == ["Names", "Portfolios", "Weightage", "TotalReturns", "InvestmentAmount", "Volatility"]
+    assert dict(a.optimal_weights.dtypes)["weight"] == "float"
