@@ -173,12 +173,12 @@ def pair_moments(
 
 
 def _mirror(half: DataFrame, value: str) -> DataFrame:
-    """Full square matrix from the ``a <= b`` half."""
-    upper = half.select("symbol_a", "symbol_b", value)
-    lower = half.where(F.col("symbol_a") != F.col("symbol_b")).select(
-        F.col("symbol_b").alias("symbol_a"), F.col("symbol_a").alias("symbol_b"), value
-    )
-    return upper.unionByName(lower)
+    """Full square matrix from the ``a <= b`` half, in one pass over it."""
+    a, b, v = F.col("symbol_a"), F.col("symbol_b"), F.col(value)
+    fwd = F.struct(a.alias("symbol_a"), b.alias("symbol_b"), v.alias(value))
+    rev = F.struct(b.alias("symbol_a"), a.alias("symbol_b"), v.alias(value))
+    both = F.when(a == b, F.array(fwd)).otherwise(F.array(fwd, rev))
+    return half.select(F.inline(both))
 
 
 def pearson(m: DataFrame) -> F.Column:

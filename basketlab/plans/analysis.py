@@ -133,7 +133,7 @@ class Analysis:
     @cached_property
     def summary(self) -> DataFrame:
         c = self.config
-        return M.portfolio_summary(
+        s = M.portfolio_summary(
             self.weights,
             self.means,
             self.latest,
@@ -144,6 +144,7 @@ class Analysis:
             c.report_decimals,
             c.high_beta_threshold,
         )
+        return self._keep(s, "summary")
 
     @cached_property
     def holdings(self) -> DataFrame:
