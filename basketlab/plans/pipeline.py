@@ -45,6 +45,7 @@ def run_pipeline(
     holdings_target: str | None = None,
     detail_target: str | None = None,
     csv_path: str | None = None,
+    csv_single_file: bool = False,
     snapshot_path: str | None = None,
     run_date: str | None = None,
 ) -> PipelineOutputs:
@@ -61,7 +62,7 @@ def run_pipeline(
     if detail_target:
         write_table(detail, detail_target)
     if csv_path:
-        write_csv(detail, csv_path)
+        write_csv(detail, csv_path, single_file=csv_single_file)
     if snapshot_path:
         write_snapshot(detail, snapshot_path, run_date, fmt="csv")
     return PipelineOutputs(a, summary, holdings, detail)

@@ -17,10 +17,11 @@ def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "o
         w.saveAsTable(target)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True, mode: str = "overwrite") -> None:
-    """Headered CSV. ``single_file`` merges the output into one part file.
+def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
+    """Headered CSV folder, one part file per task.
 
-    Only for small report tables (a dashboard feed): the merge runs in one task.
+    ``single_file`` merges the output into one part file, which funnels every
+    row through one task: use it only for small, bounded report tables.
     Array columns are rendered as ``[a, b]`` text since CSV has no array type.
     """
     out = df.select(

@@ -53,7 +53,7 @@ def test_csv_round_trip(spark, tmp_path):
 def test_single_csv_with_arrays(spark, tmp_path):
     df = spark.createDataFrame([("P1", ["A", "B"], 1.5)], "Names string, Portfolios array<string>, v double")
     out = tmp_path / "csv"
-    write_csv(df, str(out))
+    write_csv(df, str(out), single_file=True)
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) == 1
     text = (out / parts[0]).read_text()
