@@ -80,9 +80,11 @@ def calendar(panel: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def _in_universe(panel: DataFrame, universe: Sequence[str] | None, universe_df: DataFrame) -> DataFrame:
-    if universe is not None:
+    if universe is None:
+        return panel
+    if len(universe) <= 1000:
         return panel.where(F.col("symbol").isin(list(universe)))
-    return panel
+    return panel.join(universe_df.select("symbol"), "symbol", "left_semi")
 
 
 def return_cells(panel: DataFrame, cal: DataFrame, decimals: int = 6) -> DataFrame:

@@ -121,8 +121,9 @@ def _pair_sums_blocked(r: DataFrame, block_size: int) -> DataFrame:
         ((r.select(F.countDistinct("symbol")).scalar() + F.lit(block_size - 1)) / F.lit(block_size)).cast("int"),
     )
     rows = (
-        r.withColumn("blk", F.pmod(F.xxhash64("symbol"), n_blocks.cast("long")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        r.withColumn("nb", n_blocks)
+        .withColumn("blk", F.pmod(F.xxhash64("symbol"), F.col("nb").cast("long")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         .withColumn("blk_lo", F.least("blk", "other"))
         .withColumn("blk_hi", F.greatest("blk", "other"))
         .select("blk_lo", "blk_hi", "blk", "date", "symbol", "x")
