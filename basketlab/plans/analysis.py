@@ -36,7 +36,7 @@ class Analysis:
     companies: DataFrame | None = None
     config: PipelineConfig = field(default_factory=PipelineConfig)
     optimal: bool = True
-    # Write the small reused stages (returns, baskets, covariance, weights) to
+    # Write the small reused stages (input sums, returns, baskets, summary) to
     # the shared checkpoint folder: each is computed once and its lineage cut.
     materialize_stages: bool = False
 
@@ -93,7 +93,7 @@ class Analysis:
 
     @cached_property
     def cov(self) -> DataFrame:
-        return self._keep(S.covariance(self.returns, self.config.return_decimals, self.members), "cov")
+        return S.covariance(self.returns, self.config.return_decimals, self.members)
 
     @cached_property
     def betas(self) -> DataFrame:
@@ -111,8 +111,7 @@ class Analysis:
 
     @cached_property
     def optimal_weights(self) -> DataFrame:
-        w = W.min_variance_weights(self.baskets, self.cov, self.config.weight_decimals)
-        return self._keep(w, "weights")
+        return W.min_variance_weights(self.baskets, self.cov, self.config.weight_decimals)
 
     @cached_property
     def weights(self) -> DataFrame:

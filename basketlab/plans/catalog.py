@@ -91,7 +91,7 @@ def q_basket_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_weights_kkt_violations(spark: SparkSession, sf_dir: str, tol: float = 1e-9) -> DataFrame:
     """Optimality check of the exact weights: ``(S w)_i`` equals ``w'Sw`` on held names, is >= elsewhere."""
     a = analysis(spark, sf_dir, optimal=True)
-    w = a.optimal_weights.select("portfolio", "symbol", "weight_exact")
+    w = materialize(a.optimal_weights.select("portfolio", "symbol", "weight_exact"), "weights")
     wa = w.select("portfolio", F.col("symbol").alias("symbol_a"), F.col("weight_exact").alias("wa"))
     wb = w.select("portfolio", F.col("symbol").alias("symbol_b"), F.col("weight_exact").alias("wb"))
     grad = (

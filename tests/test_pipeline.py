@@ -62,3 +62,24 @@ def test_no_basket_gives_empty_outputs_with_schema(spark):
         assert df.count() == 0
     assert a.summary.columns == ["Names", "Portfolios", "Weightage", "TotalReturns", "InvestmentAmount", "Volatility"]
     assert dict(a.optimal_weights.dtypes)["weight"] == "float"
+
+
+def test_cli_upload_and_analyze(spark, tmp_path):
+    from basketlab.plans.cli import main
+
+    docs_dir = tmp_path / "docs"
+    docs_dir.mkdir()
+    for r in X.price_documents(spark, SF_SMALL).collect():
+        doc = {"symbol": r["symbol"], "historical": [h.asDict() for h in r["historical"]]}
+        (docs_dir / f"{r['symbol'].replace('#', '_')}.json").write_text(json.dumps(doc))
+    X.index_text(spark, SF_SMALL).write.option("header", True).csv(str(tmp_path / "index"))
+    X.companies(spark, SF_SMALL).write.option("header", True).csv(str(tmp_path / "companies"))
+    main(["upload", "--docs", str(docs_dir), "--stocks", str(tmp_path / "stocks")])
+    main([
+        "analyze", "--stocks", str(tmp_path / "stocks"), "--index", str(tmp_path / "index"),
+        "--companies", str(tmp_path / "companies"), "--holdings", str(tmp_path / "holdings"),
+        "--detail", str(tmp_path / "detail"), "--corr-lo", "0.2", "--archive", str(tmp_path / "archive"),
+        "--run-date", "2024-03-01",
+    ])
+    ref = catalog.analysis(spark, SF_SMALL, optimal=True)
+    assert _rows(spark.read.parquet(str(tmp_path / "holdings"))) == _rows(ref.holdings)
