@@ -29,7 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a scratch folder set.
+    Only a local-mode session without one (tests) gets a scratch folder; a
+    cluster session without one is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -37,6 +38,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster (HDFS / object store)")
         configured = tempfile.mkdtemp(prefix="basketlab-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
