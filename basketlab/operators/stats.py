@@ -53,28 +53,33 @@ def _gram(a: np.ndarray, b: np.ndarray, bound: float) -> np.ndarray:
 
 
 def _block_pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Moment sums of every symbol pair of one (block, block) group, ``symbol_a <= symbol_b``."""
+    """Moment sums of every symbol pair of one (block, block) group, ``symbol_a <= symbol_b``.
+
+    One input row per ticker: its block and its series as ``days``/``xs`` arrays.
+    """
     lo, hi = int(pdf["blk_lo"].iloc[0]), int(pdf["blk_hi"].iloc[0])
-    di, _ = pd.factorize(pdf["date"])
-    si, syms = pd.factorize(pdf["symbol"])
-    syms = np.asarray(syms, dtype=object)
-    blk_of = np.zeros(len(syms), dtype=np.int64)
-    blk_of[si] = pdf["blk"].to_numpy()
-    x = np.zeros((di.max() + 1, len(syms)), dtype=np.int64)
+    syms = pdf["symbol"].to_numpy(dtype=object)
+    days = [np.asarray(d, dtype=np.int64) for d in pdf["days"]]
+    xs = [np.asarray(v, dtype=np.int64) for v in pdf["xs"]]
+    calendar = np.unique(np.concatenate(days)) if days else np.zeros(0, dtype=np.int64)
+    x = np.zeros((len(calendar), len(syms)), dtype=np.int64)
     m = np.zeros_like(x)
-    xv = pdf["x"].to_numpy(dtype=np.int64)
-    x[di, si] = xv
-    m[di, si] = 1
+    for j, (d, v) in enumerate(zip(days, xs)):
+        rows_j = np.searchsorted(calendar, d)
+        x[rows_j, j] = v
+        m[rows_j, j] = 1
+    blk_of = pdf["blk"].to_numpy(dtype=np.int64)
     ia = np.where(blk_of == lo)[0]
     ib = np.where(blk_of == hi)[0]
     xa, ma, xb, mb = x[:, ia], m[:, ia], x[:, ib], m[:, ib]
-    big = float(np.max(np.abs(xv))) if len(xv) else 0.0
+    big = float(max((np.max(np.abs(v)) for v in xs if len(v)), default=0))
     rows = x.shape[0]
-    n = _gram(ma, mb, rows)
-    sa, sb = _gram(xa, mb, big * rows), _gram(ma, xb, big * rows)
+
     def sq(a):
         return a * a if big < 3e9 else a.astype(object) * a.astype(object)
 
+    n = _gram(ma, mb, rows)
+    sa, sb = _gram(xa, mb, big * rows), _gram(ma, xb, big * rows)
     saa, sbb = _gram(sq(xa), mb, big * big * rows), _gram(ma, sq(xb), big * big * rows)
     sab = _gram(xa, xb, big * big * rows)
     na, nb_ = syms[ia], syms[ib]
@@ -113,20 +118,30 @@ def _pair_sums_blocked(r: DataFrame, block_size: int) -> DataFrame:
     """Pair sums by blocks: symbols hash into ``ceil(S / block_size)`` blocks; every
     (block, block) pair is one group computing exact integer cross-products.
 
-    Each return row is copied once per block, so the shuffle is ``blocks x rows``
-    and a group holds two blocks' histories; no per-date pair row is formed.
+    Each ticker's series is first packed into two arrays (bounded by the
+    calendar), then copied once per block: the shuffle is ``blocks x rows`` of
+    compact arrays, a group holds ``2 x block_size`` series, and no per-date
+    pair row is formed.
     """
+    series = r.groupBy("symbol").agg(
+        F.array_sort(F.collect_list(F.struct(F.unix_date("date").alias("d"), F.col("x").alias("x")))).alias("s")
+    )
     n_blocks = F.greatest(
         F.lit(1),
-        ((r.select(F.countDistinct("symbol")).scalar() + F.lit(block_size - 1)) / F.lit(block_size)).cast("int"),
+        ((series.select(F.count("*")).scalar() + F.lit(block_size - 1)) / F.lit(block_size)).cast("int"),
     )
     rows = (
-        r.withColumn("nb", n_blocks)
+        series.withColumn("nb", n_blocks)
         .withColumn("blk", F.pmod(F.xxhash64("symbol"), F.col("nb").cast("long")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        .withColumn("blk_lo", F.least("blk", "other"))
-        .withColumn("blk_hi", F.greatest("blk", "other"))
-        .select("blk_lo", "blk_hi", "blk", "date", "symbol", "x")
+        .select(
+            F.least("blk", "other").alias("blk_lo"),
+            F.greatest("blk", "other").alias("blk_hi"),
+            "blk",
+            "symbol",
+            F.col("s.d").alias("days"),
+            F.col("s.x").alias("xs"),
+        )
     )
     return rows.groupBy("blk_lo", "blk_hi").applyInPandas(_block_pair_sums, schema=PAIR_SUMS_SCHEMA)
 
