@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlab.functions.shipping import ship_by_value
+
 from basketlab.functions.numeric import div_half_up, exact, scaled, units
 
 
@@ -263,3 +265,7 @@ def betas(
     var_x = n * F.col("sxx") - exact("sx") * exact("sx")
     beta_units = div_half_up(cov_num * F.lit(10**decimals), var_x)
     return g.select("symbol", F.coalesce(scaled(beta_units, decimals), F.lit(0.0)).alias("beta"))
+
+
+# group functions of this module run on executors: serialise them by value
+ship_by_value(__name__)

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlab.functions.shipping import ship_by_value
+
 WEIGHTS_SCHEMA = "portfolio string, pos int, symbol string, weight_exact double, weight float"
 
 
@@ -105,3 +107,7 @@ def min_variance_weights(baskets: DataFrame, cov: DataFrame, decimals: int = 2)
     return blocks.groupBy("portfolio").applyInPandas(
         lambda pdf: _solve_group(pdf, decimals), schema=WEIGHTS_SCHEMA
     )
+
+
+# group functions of this module run on executors: serialise them by value
+ship_by_value(__name__)
