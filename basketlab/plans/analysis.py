@@ -36,8 +36,9 @@ class Analysis:
     companies: DataFrame | None = None
     config: PipelineConfig = field(default_factory=PipelineConfig)
     optimal: bool = True
-    # Write the small reused stages (input sums, returns, baskets, summary) to
-    # the shared checkpoint folder: each is computed once and its lineage cut.
+    # Write the small reused stages (panel, returns, baskets, summary) to the
+    # shared checkpoint folder: each is computed once and its lineage cut, and
+    # the raw stocks table is aggregated once.
     materialize_stages: bool = False
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -46,7 +47,8 @@ class Analysis:
     # -- panel and returns -------------------------------------------------
     @cached_property
     def panel(self) -> DataFrame:
-        return P.price_panel(self.stocks, self.config.price_date_pattern)
+        # the only stage that reads the raw stocks table: aggregate it once
+        return self._keep(P.price_panel(self.stocks, self.config.price_date_pattern), "panel")
 
     @cached_property
     def index(self) -> DataFrame:
