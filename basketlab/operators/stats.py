@@ -267,5 +267,41 @@ def betas(
     return g.select("symbol", F.coalesce(scaled(beta_units, decimals), F.lit(0.0)).alias("beta"))
 
 
+
+def member_stats(
+    returns: DataFrame,
+    mean_decimals: int = 6,
+    beta_decimals: int = 2,
+    ret_decimals: int = 6,
+    symbols: DataFrame | None = None,
+) -> DataFrame:
+    """``(symbol, mean, beta)`` from one grouped pass over the returns.
+
+    Same values as :func:`mean_returns` and :func:`betas`, one shuffle for both.
+    """
+    r = returns.select(
+        "symbol", units("ret", ret_decimals).alias("y"), units("index_ret", ret_decimals).alias("x")
+    )
+    if symbols is not None:
+        r = r.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    g = r.groupBy("symbol").agg(
+        F.count("*").alias("n"),
+        F.sum("x").alias("sx"),
+        F.sum(exact("y")).alias("sy"),
+        F.sum(exact("x") * F.col("x")).alias("sxx"),
+        F.sum(exact("x") * F.col("y")).alias("sxy"),
+    )
+    n = exact("n")
+    shift = mean_decimals - ret_decimals
+    mean_units = div_half_up(F.col("sy") * F.lit(10 ** max(shift, 0)), n * F.lit(10 ** max(-shift, 0)))
+    cov_num = n * F.col("sxy") - exact("sx") * F.col("sy")
+    var_x = n * F.col("sxx") - exact("sx") * exact("sx")
+    beta_units = div_half_up(cov_num * F.lit(10**beta_decimals), var_x)
+    return g.select(
+        "symbol",
+        scaled(mean_units, mean_decimals).alias("mean"),
+        F.coalesce(scaled(beta_units, beta_decimals), F.lit(0.0)).alias("beta"),
+    )
+
 # group functions of this module run on executors: serialise them by value
 ship_by_value(__name__)

@@ -89,9 +89,13 @@ class Analysis:
 
     # -- per-member statistics ---------------------------------------------
     @cached_property
-    def means(self) -> DataFrame:
+    def member_stats(self) -> DataFrame:
         c = self.config
-        return S.mean_returns(self.returns, c.mean_decimals, c.return_decimals, self.members)
+        return S.member_stats(self.returns, c.mean_decimals, c.beta_decimals, c.return_decimals, self.members)
+
+    @cached_property
+    def means(self) -> DataFrame:
+        return self.member_stats.select("symbol", "mean")
 
     @cached_property
     def cov(self) -> DataFrame:
@@ -99,8 +103,7 @@ class Analysis:
 
     @cached_property
     def betas(self) -> DataFrame:
-        c = self.config
-        return S.betas(self.returns, c.beta_decimals, c.return_decimals, self.members)
+        return self.member_stats.select("symbol", "beta")
 
     @cached_property
     def latest(self) -> DataFrame:

@@ -145,3 +145,13 @@ def test_gram_paths_agree():
     assert (S._gram(a, b, 1.0) == exact_).all()
     assert (S._gram(a, b, 2.0**60) == exact_).all()
     assert (S._gram(a, b, 2.0**70) == exact_).all()
+
+
+def test_member_stats_equal_separate_operators(spark):
+    rng = np.random.default_rng(9)
+    data = {s: np.round(rng.normal(0, 0.02, 12), 6).tolist() for s in "ABCD"}
+    r = returns_df(spark, data, index=np.round(rng.normal(0, 0.01, 12), 6).tolist())
+    both = {x["symbol"]: (x["mean"], x["beta"]) for x in S.member_stats(r).collect()}
+    means = {x["symbol"]: x["mean"] for x in S.mean_returns(r).collect()}
+    betas = {x["symbol"]: x["beta"] for x in S.betas(r).collect()}
+    assert both == {s: (means[s], betas[s]) for s in "ABCD"}
