@@ -88,6 +88,23 @@ def q_basket_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return basket_arrays(analysis(spark, sf_dir).baskets)
 
 
+def _brand_number(symbol: str) -> int:
+    return int(symbol.rsplit("#", 1)[1])
+
+
+def q_baskets_listed_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baskets with a given ticker list (every brand, brand number descending).
+
+    A list universe keeps the list's order for seeds and members, like the
+    original batch's literal ticker list.
+    """
+    from dataclasses import replace
+
+    brands = [r[0] for r in X.read_table(spark, sf_dir, "part").select("p_brand").distinct().collect()]
+    listed = tuple(sorted(brands, key=_brand_number, reverse=True))
+    return analysis(spark, sf_dir, config=replace(TEST_CONFIG, universe=listed)).baskets
+
+
 def q_weights_kkt_violations(spark: SparkSession, sf_dir: str, tol: float = 1e-9) -> DataFrame:
     """Optimality check of the exact weights: ``(S w)_i`` equals ``w'Sw`` on held names, is >= elsewhere."""
     a = analysis(spark, sf_dir, optimal=True)
@@ -120,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "correlation_matrix_wide": q_correlation_wide,
     "correlated_peers": _stage("peers"),
     "baskets": _stage("baskets"),
+    "baskets_listed_universe": q_baskets_listed_universe,
     "basket_members": q_basket_members,
     "basket_universe": _stage("members"),
     "mean_returns": _stage("means"),
@@ -334,6 +352,14 @@ ORACLE_FINALS: dict[str, str] = {
        FROM (PIVOT corr ON symbol_b USING first(corr) GROUP BY symbol_a)""",
     "correlated_peers": "SELECT seed, symbol, corr FROM peers",
     "baskets": "SELECT portfolio, pos, symbol FROM baskets",
+    "baskets_listed_universe": """SELECT nm.portfolio,
+             CAST(row_number() OVER (PARTITION BY nm.portfolio ORDER BY CAST(split_part(p.symbol, '#', 2) AS INTEGER) DESC) - 1 AS INTEGER) AS pos,
+             p.symbol
+       FROM peers p JOIN (SELECT seed, n, 'Portfolio' || CAST(row_number() OVER (ORDER BY CAST(split_part(seed, '#', 2) AS INTEGER) DESC) AS VARCHAR) AS portfolio
+                          FROM seeds) nm ON nm.seed = p.seed
+       UNION ALL
+       SELECT 'Portfolio' || CAST(row_number() OVER (ORDER BY CAST(split_part(seed, '#', 2) AS INTEGER) DESC) AS VARCHAR) AS portfolio,
+              CAST(n - 1 AS INTEGER) AS pos, seed AS symbol FROM seeds""",
     "basket_members": "SELECT portfolio, list(symbol ORDER BY pos) AS members FROM baskets GROUP BY portfolio",
     "basket_universe": "SELECT symbol FROM members",
     "mean_returns": "SELECT symbol, mean FROM means",
