@@ -3,7 +3,6 @@ from basketlab.functions.numeric import (
     div_half_up,
     exact,
     int_div,
-    safe_ratio,
     scaled,
     simple_return,
     units,
@@ -14,7 +13,6 @@ __all__ = [
     "div_half_up",
     "exact",
     "int_div",
-    "safe_ratio",
     "scaled",
     "simple_return",
     "units",

@@ -47,11 +47,6 @@ def scaled(units_col: Column, decimals: int) -> Column:
     return units_col.cast("double") / F.lit(10.0**decimals)
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """``num / den`` as double, null when the denominator is 0 or null (ANSI-safe)."""
-    return F.try_divide(num.cast("double"), den.cast("double"))
-
-
 def simple_return(price: Column, prev_price: Column) -> Column:
     """One-step return with the original batch's null rules.
 

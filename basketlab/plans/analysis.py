@@ -2,10 +2,9 @@
 
 ``Analysis`` wires the operators D2-D20 together; every stage is a lazily
 built DataFrame, so a caller that only asks for ``betas`` plans only the
-stages betas depends on, and Catalyst prunes the rest. ``freeze_returns``
-cuts the lineage of the aligned returns (reused by correlation, covariance,
-means, betas and risk) with a reliable checkpoint in the cluster's
-``spark.checkpoint.dir``.
+stages betas depends on, and Catalyst prunes the rest. With
+``materialize_stages`` the reused stages are written once to the cluster's
+``spark.checkpoint.dir`` and read back, cutting their lineage.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from basketlab.operators import stats as S
 from basketlab.operators import weights as W
 from basketlab.sources.index import index_series
 from basketlab.sources.prices import parse_price_dates
-from basketlab.session import materialize, reliable_checkpoint
+from basketlab.session import materialize
 
 
 @dataclass
@@ -63,11 +62,6 @@ class Analysis:
         r = P.aligned_returns(self.panel, self.index, self.config.universe, self.config.return_decimals)
         return self._keep(r, "returns")
 
-    def freeze_returns(self) -> DataFrame:
-        """Materialise the returns once (reliable checkpoint) and reuse them downstream."""
-        self.__dict__["returns"] = reliable_checkpoint(self.returns)
-        return self.returns
-
     # -- correlation and baskets -------------------------------------------
     @cached_property
     def corr(self) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from basketlab.config import PipelineConfig
 from basketlab.operators.report import portfolio_detail
@@ -21,9 +22,16 @@ from basketlab.sources.index import read_companies, read_csv_text
 from basketlab.sources.prices import flatten_history, read_price_documents, read_stocks
 
 
-def upload_prices(spark: SparkSession, docs_path: str, stocks_target: str) -> DataFrame:
-    """JSON documents -> flat stocks table (overwritten); returns the written table."""
-    flat = flatten_history(read_price_documents(spark, docs_path))
+def upload_prices(
+    spark: SparkSession, docs_path: str, stocks_target: str, schema: StructType | str | None = None
+) -> DataFrame:
+    """JSON documents -> flat stocks table (overwritten); returns the written table.
+
+    Without ``schema`` the record fields are inferred (unknown fields pass
+    through) at the cost of one extra pass over the documents; with
+    ``streaming.PRICE_DOCUMENT_SCHEMA`` or any explicit schema the scan is single-pass.
+    """
+    flat = flatten_history(read_price_documents(spark, docs_path, schema))
     write_table(flat, stocks_target)
     return read_stocks(spark, stocks_target)
 

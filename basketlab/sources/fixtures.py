@@ -82,11 +82,6 @@ def index_from_sums(sums: DataFrame) -> DataFrame:
     )
 
 
-def brand_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(date, symbol, price)``: one row per (quarter, brand)."""
-    return brand_quarter_sums(spark, sf_dir).select("date", "symbol", _vwap("e", "q").alias("price"))
-
-
 def stocks_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stocks_from_sums(brand_quarter_sums(spark, sf_dir))
 
