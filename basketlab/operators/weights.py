@@ -39,7 +39,7 @@ def min_variance_qp(cov: np.ndarray, tol: float = 1e-12, max_iter: int = 500) ->
     scale = float(np.trace(cov)) / n
     if not np.isfinite(scale) or scale <= 0:
         return np.full(n, 1.0 / n)
-    q = cov / scale + np.eye(n) * 1e-10
+    q = cov / scale + np.eye(n) * 1e-12
     c = np.ones(n)
     x = np.zeros(n)
     free = np.zeros(n, dtype=bool)
