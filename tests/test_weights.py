@@ -70,3 +70,18 @@ def test_spark_solver_per_basket(spark):
     w = {(r["portfolio"], r["symbol"]): r["weight"] for r in min_variance_weights(baskets, cov).collect()}
     assert w[("P1", "A")] == pytest.approx(0.8) and w[("P1", "B")] == pytest.approx(0.2)
     assert w[("P2", "A")] == 1.0 and w[("P2", "C")] == 0.0
+
+
+def test_singular_covariance_twins():
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=(12, 1))
+    series = np.hstack([a, a, rng.normal(size=(12, 1))])  # two identical assets
+    cov = np.cov(series, rowvar=False)
+    w = min_variance_qp(cov)
+    assert np.all(w >= 0) and abs(w.sum() - 1) < 1e-12
+    ref = brute_force(cov + np.eye(3) * 1e-9)
+    assert w @ cov @ w <= ref @ cov @ ref * (1 + 1e-6)
+
+
+def test_constant_basket_gets_equal_weights():
+    assert np.allclose(min_variance_qp(np.zeros((3, 3))), [1 / 3] * 3)
