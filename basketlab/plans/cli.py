@@ -29,7 +29,8 @@ def main(argv: list[str] | None = None) -> None:
     an.add_argument("--holdings", default="Portfolios")
     an.add_argument("--detail", default="PortfoliosDetail")
     an.add_argument("--csv")
-    an.add_argument("--archive")
+    an.add_argument("--archive", help="dated archive of the report (one partition per run date)")
+    an.add_argument("--archive-inputs", help="dated archive of the input stocks table")
     an.add_argument("--run-date", default=dt.date.today().isoformat())
     an.add_argument("--universe", help="comma-separated tickers; default: every ticker in the data")
     an.add_argument("--corr-lo", type=float, default=0.5)
@@ -56,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
         csv_path=args.csv,
         snapshot_path=args.archive,
         run_date=args.run_date,
+        inputs_archive_path=args.archive_inputs,
     )
 
 

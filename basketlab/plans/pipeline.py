@@ -56,11 +56,19 @@ def run_pipeline(
     csv_single_file: bool = False,
     snapshot_path: str | None = None,
     run_date: str | None = None,
+    inputs_archive_path: str | None = None,
 ) -> PipelineOutputs:
-    """Build (and optionally publish) the basket report."""
+    """Build (and optionally publish) the basket report.
+
+    ``snapshot_path`` keeps one dated partition of the report per run and
+    ``inputs_archive_path`` one of the input stocks table; re-running a day
+    replaces only that day.
+    """
     stocks_df = read_stocks(spark, stocks) if isinstance(stocks, str) else stocks
     index_df = read_csv_text(spark, index_csv) if isinstance(index_csv, str) else index_csv
     comp_df = read_companies(spark, companies_csv) if isinstance(companies_csv, str) else companies_csv
+    if inputs_archive_path:
+        write_snapshot(stocks_df, inputs_archive_path, run_date)
     a = Analysis(stocks_df, index_df, comp_df, config or PipelineConfig(), optimal=True, materialize_stages=True)
     summary, holdings = a.summary, a.holdings
     if holdings_target:

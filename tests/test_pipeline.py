@@ -79,7 +79,9 @@ def test_cli_upload_and_analyze(spark, tmp_path):
         "analyze", "--stocks", str(tmp_path / "stocks"), "--index", str(tmp_path / "index"),
         "--companies", str(tmp_path / "companies"), "--holdings", str(tmp_path / "holdings"),
         "--detail", str(tmp_path / "detail"), "--corr-lo", "0.2", "--archive", str(tmp_path / "archive"),
-        "--run-date", "2024-03-01",
+        "--run-date", "2024-03-01", "--archive-inputs", str(tmp_path / "inputs"),
     ])
     ref = catalog.analysis(spark, SF_SMALL, optimal=True)
+    archived = spark.read.parquet(str(tmp_path / "inputs"))
+    assert archived.where("run_date = '2024-03-01'").count() == ref.stocks.count()
     assert _rows(spark.read.parquet(str(tmp_path / "holdings"))) == _rows(ref.holdings)
