@@ -32,7 +32,9 @@ def upload_prices(
     ``streaming.PRICE_DOCUMENT_SCHEMA`` or any explicit schema the scan is single-pass.
     """
     flat = flatten_history(read_price_documents(spark, docs_path, schema))
-    write_table(flat, stocks_target)
+    # a multi-line JSON file is one task; a ticker with a huge history would
+    # otherwise write its whole share from that task: AQE splits the partition
+    write_table(flat.hint("rebalance"), stocks_target)
     return read_stocks(spark, stocks_target)
 
 
