@@ -33,12 +33,14 @@ def price_panel(stocks: DataFrame, pattern: str = "yyyy-MM-dd") -> DataFrame:
     """``(date date, symbol string, price double)``; duplicate quotes are summed.
 
     Every ticker of the input is kept: the calendar depends on all of them.
+    Rows without a ticker or with an unparseable date belong to no column of
+    the original pivot and are dropped.
     The aggregation combines map-side, so a hot (date, symbol) costs one row
     per task before the shuffle.
     """
     s = parse_price_dates(stocks.select("symbol", "date", "adjClose"), pattern)
     return (
-        s.where(F.col("date").isNotNull())
+        s.where(F.col("date").isNotNull() & F.col("symbol").isNotNull())
         .groupBy("date", "symbol")
         .agg(F.sum(F.col("adjClose").cast("double")).alias("price"))
     )

@@ -128,3 +128,13 @@ def test_long_equals_wide_method(spark):
     theirs = sorted(tuple(r) for r in long_from_wide.collect())
     assert len(ours) > 0
     assert ours == theirs
+
+
+def test_rows_without_symbol_or_date_are_ignored(spark):
+    data = [("A", "2024-01-01", 1.0, "x"), ("A", "2024-01-02", 2.0, "y"), (None, "2024-01-02", 5.0, "z"),
+            ("A", "bad-date", 7.0, "w")]
+    stocks = spark.createDataFrame(data, "symbol string, date string, adjClose double, label string")
+    panel = P.price_panel(stocks)
+    assert sorted((r["symbol"], r["price"]) for r in panel.collect()) == [("A", 1.0), ("A", 2.0)]
+    ret = P.aligned_returns(panel, index_df(spark, {0: 100.0, 1: 101.0}))
+    assert [r["ret"] for r in ret.collect()] == [1.0]
