@@ -62,12 +62,17 @@ def universe_frame(panel: DataFrame, universe: Sequence[str] | None = None) -> D
     if universe is None:
         return panel.select("symbol").distinct().withColumn("upos", F.lit(0))
     spark = panel.sparkSession
-    return spark.createDataFrame([(s, i) for i, s in enumerate(universe)], "symbol string, upos int")
+    listed = _distinct_in_order(universe)
+    return spark.createDataFrame([(s, i) for i, s in enumerate(listed)], "symbol string, upos int")
+
+
+def _distinct_in_order(universe: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys(universe))
 
 
 def universe_size(universe_df: DataFrame, universe: Sequence[str] | None = None) -> Column:
     if universe is not None:
-        return F.lit(len(universe))
+        return F.lit(len(_distinct_in_order(universe)))
     return universe_df.select(F.count("*")).scalar()
 
 

@@ -138,3 +138,10 @@ def test_rows_without_symbol_or_date_are_ignored(spark):
     assert sorted((r["symbol"], r["price"]) for r in panel.collect()) == [("A", 1.0), ("A", 2.0)]
     ret = P.aligned_returns(panel, index_df(spark, {0: 100.0, 1: 101.0}))
     assert [r["ret"] for r in ret.collect()] == [1.0]
+
+
+def test_repeated_universe_ticker_counts_once(spark):
+    rows = [(s, i, 10 + i + k) for k, s in enumerate("AB") for i in range(4)]
+    panel = P.price_panel(stocks_df(spark, rows))
+    idx = index_df(spark, {i: 100 + i for i in range(4)})
+    assert P.aligned_returns(panel, idx, universe=["B", "A", "B"]).count() == 6
