@@ -53,14 +53,17 @@ def pivot_panel(panel: DataFrame, symbols: Sequence[str] | None = None, value: s
     return g.agg(F.sum(value))
 
 
-def universe_frame(panel: DataFrame, universe: Sequence[str] | None = None) -> DataFrame:
+def universe_frame(panel: DataFrame, universe: Sequence[str] | DataFrame | None = None) -> DataFrame:
     """``(symbol, upos)``: the tickers of the analysis and their seed order.
 
-    A given list keeps its own order; ``None`` takes every ticker present in
-    the panel, ordered by symbol.
+    ``None`` takes every ticker present in the panel, ordered by symbol; a
+    list keeps its own order (repeats count once); a DataFrame must carry
+    ``symbol`` and ``upos`` itself.
     """
     if universe is None:
         return panel.select("symbol").distinct().withColumn("upos", F.lit(0))
+    if isinstance(universe, DataFrame):
+        return universe.select("symbol", F.col("upos").cast("int").alias("upos"))
     spark = panel.sparkSession
     listed = _distinct_in_order(universe)
     return spark.createDataFrame([(s, i) for i, s in enumerate(listed)], "symbol string, upos int")
@@ -70,10 +73,10 @@ def _distinct_in_order(universe: Sequence[str]) -> list[str]:
     return list(dict.fromkeys(universe))
 
 
-def universe_size(universe_df: DataFrame, universe: Sequence[str] | None = None) -> Column:
-    if universe is not None:
+def universe_size(universe_df: DataFrame, universe: Sequence[str] | DataFrame | None = None) -> Column:
+    if universe is not None and not isinstance(universe, DataFrame):
         return F.lit(len(_distinct_in_order(universe)))
-    return universe_df.select(F.count("*")).scalar()
+    return universe_df.select(F.countDistinct("symbol")).scalar()
 
 
 def calendar(panel: DataFrame, index: DataFrame) -> DataFrame:
@@ -86,12 +89,12 @@ def calendar(panel: DataFrame, index: DataFrame) -> DataFrame:
     return dates.withColumn("next_date", F.lead("date").over(Window.orderBy("date")))
 
 
-def _in_universe(panel: DataFrame, universe: Sequence[str] | None, universe_df: DataFrame) -> DataFrame:
+def _in_universe(panel: DataFrame, universe, universe_df: DataFrame) -> DataFrame:
     if universe is None:
         return panel
-    if len(universe) <= 1000:
+    if not isinstance(universe, DataFrame) and len(universe) <= 1000:
         return panel.where(F.col("symbol").isin(list(universe)))
-    return panel.join(universe_df.select("symbol"), "symbol", "left_semi")
+    return panel.join(universe_df.select("symbol").distinct(), "symbol", "left_semi")
 
 
 def return_cells(panel: DataFrame, cal: DataFrame, decimals: int = 6) -> DataFrame:
@@ -118,7 +121,7 @@ def index_returns(index: DataFrame, cal: DataFrame, decimals: int = 6) -> DataFr
 def aligned_returns(
     panel: DataFrame,
     index: DataFrame,
-    universe: Sequence[str] | None = None,
+    universe: Sequence[str] | DataFrame | None = None,
     decimals: int = 6,
 ) -> DataFrame:
     """``(date, symbol, ret, index_ret)`` on complete-case dates, universe tickers only."""

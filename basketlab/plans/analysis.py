@@ -39,6 +39,9 @@ class Analysis:
     # shared checkpoint folder: each is computed once and its lineage cut, and
     # the raw stocks table is aggregated once.
     materialize_stages: bool = False
+    # optional ordered universe as a DataFrame ``(symbol, upos)``; overrides
+    # ``config.universe`` when given
+    universe_df: DataFrame | None = None
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name) if self.materialize_stages else df
@@ -53,13 +56,17 @@ class Analysis:
     def index(self) -> DataFrame:
         return index_series(self.index_raw, pattern=self.config.index_date_pattern)
 
+    @property
+    def _universe_spec(self):
+        return self.universe_df if self.universe_df is not None else self.config.universe
+
     @cached_property
     def universe(self) -> DataFrame:
-        return P.universe_frame(self.panel, self.config.universe)
+        return P.universe_frame(self.panel, self._universe_spec)
 
     @cached_property
     def returns(self) -> DataFrame:
-        r = P.aligned_returns(self.panel, self.index, self.config.universe, self.config.return_decimals)
+        r = P.aligned_returns(self.panel, self.index, self._universe_spec, self.config.return_decimals)
         return self._keep(r, "returns")
 
     # -- correlation and baskets -------------------------------------------

@@ -88,21 +88,19 @@ def q_basket_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return basket_arrays(analysis(spark, sf_dir).baskets)
 
 
-def _brand_number(symbol: str) -> int:
-    return int(symbol.rsplit("#", 1)[1])
-
-
 def q_baskets_listed_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Baskets with a given ticker list (every brand, brand number descending).
+    """Baskets over an ordered ticker list (every brand, brand number descending).
 
-    A list universe keeps the list's order for seeds and members, like the
-    original batch's literal ticker list.
+    A listed universe keeps its own order for seeds and members, like the
+    original batch's literal ticker list; here the list is a Spark DataFrame.
     """
-    from dataclasses import replace
-
-    brands = [r[0] for r in X.read_table(spark, sf_dir, "part").select("p_brand").distinct().collect()]
-    listed = tuple(sorted(brands, key=_brand_number, reverse=True))
-    return analysis(spark, sf_dir, config=replace(TEST_CONFIG, universe=listed)).baskets
+    brands = X.read_table(spark, sf_dir, "part").select(F.col("p_brand").alias("symbol")).distinct()
+    listed = brands.select(
+        "symbol", (-F.split(F.col("symbol"), "#").getItem(1).cast("int")).alias("upos")
+    )
+    a = analysis(spark, sf_dir)
+    a.universe_df = listed
+    return a.baskets
 
 
 def q_weights_kkt_violations(spark: SparkSession, sf_dir: str, tol: float = 1e-7) -> DataFrame:

@@ -145,3 +145,13 @@ def test_repeated_universe_ticker_counts_once(spark):
     panel = P.price_panel(stocks_df(spark, rows))
     idx = index_df(spark, {i: 100 + i for i in range(4)})
     assert P.aligned_returns(panel, idx, universe=["B", "A", "B"]).count() == 6
+
+
+def test_dataframe_universe(spark):
+    rows = [(s, i, 10 + i + k) for k, s in enumerate("ABC") for i in range(4)]
+    panel = P.price_panel(stocks_df(spark, rows))
+    idx = index_df(spark, {i: 100 + i for i in range(4)})
+    u = spark.createDataFrame([("C", 0), ("A", 1)], "symbol string, upos int")
+    assert {r["symbol"] for r in P.aligned_returns(panel, idx, universe=u).collect()} == {"A", "C"}
+    missing = spark.createDataFrame([("C", 0), ("ZZZ", 1)], "symbol string, upos int")
+    assert P.aligned_returns(panel, idx, universe=missing).count() == 0
