@@ -32,3 +32,13 @@ def test_correlation_forms_no_per_date_pairs(spark):
     plan = _plan(a.corr)
     assert "FlatMapGroupsInPandas" in plan
     assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_no_cross_or_nested_loop_join_in_any_stage(spark):
+    a = analysis(spark, SF_SMALL, optimal=True, materialize_stages=False)
+    stages = ["panel", "index", "returns", "corr", "peers", "baskets", "members", "means", "cov", "betas",
+              "latest", "equal_weights", "optimal_weights", "risk", "expected_return", "summary", "holdings", "detail"]
+    for name in stages:
+        plan = _plan(getattr(a, name))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in plan, (name, bad)
