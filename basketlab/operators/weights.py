@@ -5,10 +5,11 @@ and ``sum(w) = 1`` is a convex quadratic programme. Its optimum is computed
 exactly (up to float rounding) by an active-set method on the equivalent
 non-negative problem ``min 1/2 x'Sx - 1'x, x >= 0``, ``w = x / sum(x)``.
 
-Spark does the heavy part: covariance (``stats.covariance``) and the
-assembly of each basket's ``n x n`` block by joins. Each basket is then one
-``applyInPandas`` group of at most ``max_size**2`` rows (the basket-size rule
-bounds it), solved with numpy in the executor. Weights are rounded half-even
+Spark packs each member's return series once and routes it to the baskets
+holding it; each basket is one ``applyInPandas`` group of at most
+``max_size`` rows (the basket-size rule bounds it) that forms its exact
+covariance block (bit-identical to ``stats.covariance``) and solves it with
+numpy in the executor. Weights are rounded half-even
 to 2 decimals like ``numpy.round``; they are not renormalised.
 """
 
@@ -19,7 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlab.functions.numeric import units
 from basketlab.functions.shipping import ship_by_value
+from basketlab.operators.stats import _gram
 
 WEIGHTS_SCHEMA = "portfolio string, pos int, symbol string, weight_exact double, weight float"
 
@@ -102,12 +105,88 @@ def basket_cov_blocks(baskets: DataFrame, cov: DataFrame) -> DataFrame:
 
 
 def min_variance_weights(baskets: DataFrame, cov: DataFrame, decimals: int = 2) -> DataFrame:
-    """``(portfolio, pos, symbol, weight_exact double, weight float)`` per basket member."""
+    """``(portfolio, pos, symbol, weight_exact double, weight float)`` from a given covariance matrix."""
     blocks = basket_cov_blocks(baskets, cov)
     return blocks.groupBy("portfolio").applyInPandas(
         lambda pdf: _solve_group(pdf, decimals), schema=WEIGHTS_SCHEMA
     )
 
 
+def exact_covariance(days: list[np.ndarray], xs: list[np.ndarray], ret_decimals: int) -> np.ndarray:
+    """Sample covariance of integer-unit series over pairwise common dates.
+
+    Same exact integer formula and the same final float operations as
+    ``stats.covariance``, so the values are bit-identical to it.
+    """
+    n = len(xs)
+    if n == 0:
+        return np.zeros((0, 0))
+    cal = np.unique(np.concatenate(days)) if days else np.zeros(0, dtype=np.int64)
+    x = np.zeros((len(cal), n), dtype=np.int64)
+    m = np.zeros_like(x)
+    for j, (d, v) in enumerate(zip(days, xs)):
+        rows = np.searchsorted(cal, d)
+        x[rows, j] = v
+        m[rows, j] = 1
+    big = float(max((np.max(np.abs(v)) for v in xs if len(v)), default=0))
+    t = x.shape[0]
+    cnt = _gram(m, m, t)
+    sa, sb = _gram(x, m, big * t), _gram(m, x, big * t)
+    sab = _gram(x, x, big * big * t)
+    out = np.zeros((n, n))
+    scale = 10.0 ** (2 * ret_decimals)
+    for i in range(n):
+        for j in range(n):
+            k = int(cnt[i, j])
+            if k > 1:
+                num = k * int(sab[i, j]) - int(sa[i, j]) * int(sb[i, j])
+                out[i, j] = float(num) / float(k * (k - 1)) / scale
+    return out
+
+
+def _solve_series_group(pdf: pd.DataFrame, decimals: int, ret_decimals: int) -> pd.DataFrame:
+    members = pdf.sort_values("pos").reset_index(drop=True)
+    days = [np.asarray(d, dtype=np.int64) for d in members["days"]]
+    xs = [np.asarray(v, dtype=np.int64) for v in members["xs"]]
+    w = min_variance_qp(exact_covariance(days, xs, ret_decimals))
+    return pd.DataFrame(
+        {
+            "portfolio": members["portfolio"],
+            "pos": members["pos"].astype("int32"),
+            "symbol": members["symbol"],
+            "weight_exact": w,
+            "weight": np.round(w, decimals).astype("float32"),
+        }
+    )
+
+
+def min_variance_weights_from_returns(
+    baskets: DataFrame, returns: DataFrame, decimals: int = 2, ret_decimals: int = 6
+) -> DataFrame:
+    """``(portfolio, pos, symbol, weight_exact double, weight float)`` per basket member.
+
+    Each member's return series is packed once into arrays (bounded by the
+    calendar) and joined to its baskets; a basket is one group of at most
+    ``max_size`` rows that builds its exact covariance block and solves it.
+    No pair of members is materialised in Spark.
+    """
+    series = (
+        returns.join(baskets.select("symbol").distinct(), "symbol", "left_semi")
+        .groupBy("symbol")
+        .agg(
+            F.array_sort(
+                F.collect_list(
+                    F.struct(F.unix_date("date").alias("d"), units("ret", ret_decimals).alias("x"))
+                )
+            ).alias("s")
+        )
+        .select("symbol", F.col("s.d").alias("days"), F.col("s.x").alias("xs"))
+    )
+    rows = baskets.select("portfolio", "pos", "symbol").join(series, "symbol")
+    return rows.groupBy("portfolio").applyInPandas(
+        lambda pdf: _solve_series_group(pdf, decimals, ret_decimals), schema=WEIGHTS_SCHEMA
+    )
+
+
 # group functions of this module run on executors: serialise them by value
 ship_by_value(__name__)

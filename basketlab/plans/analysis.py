@@ -117,7 +117,8 @@ class Analysis:
 
     @cached_property
     def optimal_weights(self) -> DataFrame:
-        return W.min_variance_weights(self.baskets, self.cov, self.config.weight_decimals)
+        c = self.config
+        return W.min_variance_weights_from_returns(self.baskets, self.returns, c.weight_decimals, c.return_decimals)
 
     @cached_property
     def weights(self) -> DataFrame:

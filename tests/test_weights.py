@@ -85,3 +85,34 @@ def test_singular_covariance_twins():
 
 def test_constant_basket_gets_equal_weights():
     assert np.allclose(min_variance_qp(np.zeros((3, 3))), [1 / 3] * 3)
+
+
+def test_in_group_covariance_is_bit_identical_to_spark(spark):
+    from basketlab.operators import stats as S
+    from basketlab.operators.weights import exact_covariance
+    from basketlab.plans.catalog import analysis
+    from conftest import SF_SMALL
+
+    a = analysis(spark, SF_SMALL)
+    ret = a.returns
+    spark_cov = {(r["symbol_a"], r["symbol_b"]): r["cov"] for r in S.covariance(ret).collect()}
+    rows = ret.orderBy("symbol", "date").collect()
+    syms = sorted({r["symbol"] for r in rows})[:6]
+    days = [np.array([r["date"].toordinal() for r in rows if r["symbol"] == s]) for s in syms]
+    xs = [np.array([round(r["ret"] * 1e6) for r in rows if r["symbol"] == s]) for s in syms]
+    cov = exact_covariance(days, xs, 6)
+    for i, si in enumerate(syms):
+        for j, sj in enumerate(syms):
+            assert cov[i, j] == spark_cov[(si, sj)]
+
+
+def test_solver_from_returns_matches_solver_from_covariance(spark):
+    from basketlab.operators import stats as S
+    from basketlab.operators.weights import min_variance_weights_from_returns
+    from basketlab.plans.catalog import analysis
+    from conftest import SF_SMALL
+
+    a = analysis(spark, SF_SMALL)
+    w1 = sorted(tuple(r) for r in min_variance_weights(a.baskets, S.covariance(a.returns)).collect())
+    w2 = sorted(tuple(r) for r in min_variance_weights_from_returns(a.baskets, a.returns).collect())
+    assert w1 == w2 and len(w1) > 0
