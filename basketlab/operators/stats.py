@@ -248,24 +248,7 @@ def betas(
 
     Rounded half-up to ``decimals`` exactly; 0.0 when the index is constant.
     """
-    r = returns.select(
-        "symbol", units("ret", ret_decimals).alias("y"), units("index_ret", ret_decimals).alias("x")
-    )
-    if symbols is not None:
-        r = r.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
-    g = r.groupBy("symbol").agg(
-        F.count("*").alias("n"),
-        F.sum("x").alias("sx"),
-        F.sum("y").alias("sy"),
-        F.sum(exact("x") * F.col("x")).alias("sxx"),
-        F.sum(exact("x") * F.col("y")).alias("sxy"),
-    )
-    n = exact("n")
-    cov_num = n * F.col("sxy") - exact("sx") * exact("sy")
-    var_x = n * F.col("sxx") - exact("sx") * exact("sx")
-    beta_units = div_half_up(cov_num * F.lit(10**decimals), var_x)
-    return g.select("symbol", F.coalesce(scaled(beta_units, decimals), F.lit(0.0)).alias("beta"))
-
+    return member_stats(returns, ret_decimals, decimals, ret_decimals, symbols).select("symbol", "beta")
 
 
 def member_stats(
@@ -303,5 +286,6 @@ def member_stats(
         F.coalesce(scaled(beta_units, beta_decimals), F.lit(0.0)).alias("beta"),
     )
 
+
 # group functions of this module run on executors: serialise them by value
 ship_by_value(__name__)
