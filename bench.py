@@ -88,6 +88,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t, 3)
 
     total = round(sum(v for k, v in times.items() if k in HEADLINE), 3)
+    lineitem_rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").count()
     print(
         json.dumps(
             {
@@ -99,6 +100,8 @@ def main() -> None:
                 "sf": _sf(sf_dir),
                 "cpus": int(cpus),
                 "pipeline_runs": runs,
+                "lineitem_rows": lineitem_rows,
+                "pipeline_rows_per_sec": round(lineitem_rows / times["pipeline"]),
                 "pipeline_spark_jobs": pipeline_jobs,
                 "brand_size_universe": wide_rows,
             }
