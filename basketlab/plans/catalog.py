@@ -104,16 +104,29 @@ def q_baskets_listed_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_weights_kkt_violations(spark: SparkSession, sf_dir: str, tol: float = 1e-7) -> DataFrame:
-    """Optimality check of the exact weights: ``(S w)_i`` equals ``w'Sw`` on held names, is >= elsewhere."""
+    """Optimality check of the exact weights, without forming member pairs.
+
+    With ``p(d) = sum_j w_j r_j(d)`` the basket's return series, the gradient
+    ``(S w)_i = cov(r_i, p)`` and ``w'Sw = sum_i w_i (S w)_i``; at the optimum
+    the gradient equals ``w'Sw`` on held names and is >= it elsewhere.
+    """
     a = analysis(spark, sf_dir, optimal=True)
     w = materialize(a.optimal_weights.select("portfolio", "symbol", "weight_exact"), "weights")
-    wa = w.select("portfolio", F.col("symbol").alias("symbol_a"), F.col("weight_exact").alias("wa"))
-    wb = w.select("portfolio", F.col("symbol").alias("symbol_b"), F.col("weight_exact").alias("wb"))
+    return kkt_violations(w, a.returns, tol)
+
+
+def kkt_violations(weights: DataFrame, returns: DataFrame, tol: float = 1e-7) -> DataFrame:
+    """``violations``: members whose gradient breaks the minimum-variance optimality conditions."""
+    w = weights.select("portfolio", "symbol", "weight_exact")
+    r = returns.select("date", "symbol", "ret")
+    member_rows = w.join(r, "symbol")
+    series = member_rows.groupBy("portfolio", "date").agg(
+        F.sum(F.col("weight_exact") * F.col("ret")).alias("p")
+    )
     grad = (
-        wa.join(wb, "portfolio")
-        .join(a.cov, ["symbol_a", "symbol_b"])
-        .groupBy("portfolio", "symbol_a")
-        .agg(F.sum(F.col("cov") * F.col("wb")).alias("g"), F.first("wa").alias("wa"))
+        member_rows.join(series, ["portfolio", "date"])
+        .groupBy("portfolio", "symbol")
+        .agg(F.covar_samp("ret", "p").alias("g"), F.first("weight_exact").alias("wa"))
     )
     var = grad.groupBy("portfolio").agg(F.sum(F.col("g") * F.col("wa")).alias("v"))
     j = grad.join(var, "portfolio")

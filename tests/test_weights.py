@@ -116,3 +116,12 @@ def test_solver_from_returns_matches_solver_from_covariance(spark):
     w1 = sorted(tuple(r) for r in min_variance_weights(a.baskets, S.covariance(a.returns)).collect())
     w2 = sorted(tuple(r) for r in min_variance_weights_from_returns(a.baskets, a.returns).collect())
     assert w1 == w2 and len(w1) > 0
+
+
+def test_kkt_check_flags_non_optimal_weights(spark):
+    from basketlab.plans.catalog import analysis, kkt_violations
+    from conftest import SF_SMALL
+
+    a = analysis(spark, SF_SMALL, optimal=True)
+    assert kkt_violations(a.optimal_weights, a.returns).collect()[0][0] == 0
+    assert kkt_violations(a.equal_weights, a.returns).collect()[0][0] > 0
