@@ -85,3 +85,25 @@ def test_cli_upload_and_analyze(spark, tmp_path):
     archived = spark.read.parquet(str(tmp_path / "inputs"))
     assert archived.where("run_date = '2024-03-01'").count() == ref.stocks.count()
     assert _rows(spark.read.parquet(str(tmp_path / "holdings"))) == _rows(ref.holdings)
+
+
+def test_basket_and_summary_invariants(spark):
+    a = catalog.analysis(spark, "/root/testdata/sf0.01", optimal=True)
+    cfg = TEST_CONFIG
+    corr = {(r["symbol_a"], r["symbol_b"]): r["corr"] for r in a.corr.collect()}
+    baskets = {}
+    for r in a.baskets.collect():
+        baskets.setdefault(r["portfolio"], {})[r["pos"]] = r["symbol"]
+    k = len(baskets)
+    assert k > 0 and set(baskets) == {f"Portfolio{i}" for i in range(1, k + 1)}
+    for members in baskets.values():
+        n = len(members)
+        assert cfg.min_size <= n <= cfg.max_size and sorted(members) == list(range(n))
+        seed = members[n - 1]
+        for pos in range(n - 1):
+            assert cfg.corr_lo <= corr[(members[pos], seed)] <= cfg.corr_hi
+    for row in a.summary.collect():
+        members = baskets[row["Names"]]
+        assert row["Portfolios"] == [members[p] for p in range(len(members))]
+        assert len(row["Weightage"]) == len(members) and all(w >= 0 for w in row["Weightage"])
+        assert abs(sum(row["Weightage"]) - 1) <= 0.005 * len(members)
