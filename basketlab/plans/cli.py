@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> None:
     up = sub.add_parser("upload", help="JSON price documents -> stocks table")
     up.add_argument("--docs", required=True)
     up.add_argument("--stocks", required=True)
+    up.add_argument("--buckets", type=int, help="store a catalog table bucketed by symbol")
     an = sub.add_parser("analyze", help="stocks + index + companies -> basket report")
     an.add_argument("--stocks", required=True)
     an.add_argument("--index", required=True)
@@ -39,7 +40,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"basketlab-{args.cmd}").getOrCreate()
     if args.cmd == "upload":
-        upload_prices(spark, args.docs, args.stocks)
+        upload_prices(spark, args.docs, args.stocks, buckets=args.buckets)
         return
     cfg = PipelineConfig(
         universe=tuple(args.universe.split(",")) if args.universe else None,

@@ -23,18 +23,24 @@ from basketlab.sources.prices import flatten_history, read_price_documents, read
 
 
 def upload_prices(
-    spark: SparkSession, docs_path: str, stocks_target: str, schema: StructType | str | None = None
+    spark: SparkSession,
+    docs_path: str,
+    stocks_target: str,
+    schema: StructType | str | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """JSON documents -> flat stocks table (overwritten); returns the written table.
 
     Without ``schema`` the record fields are inferred (unknown fields pass
     through) at the cost of one extra pass over the documents; with
     ``streaming.PRICE_DOCUMENT_SCHEMA`` or any explicit schema the scan is single-pass.
+    ``buckets`` stores a catalog table bucketed by ``symbol``: the daily price
+    panel then aggregates it without a shuffle.
     """
     flat = flatten_history(read_price_documents(spark, docs_path, schema))
     # a multi-line JSON file is one task; a ticker with a huge history would
     # otherwise write its whole share from that task: AQE splits the partition
-    write_table(flat.hint("rebalance"), stocks_target)
+    write_table(flat.hint("rebalance"), stocks_target, bucket_by="symbol" if buckets else None, buckets=buckets)
     return read_stocks(spark, stocks_target)
 
 

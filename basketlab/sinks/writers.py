@@ -8,13 +8,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Overwrite a catalog table (plain name) or a path (anything with a ``/``)."""
+def write_table(
+    df: DataFrame,
+    target: str,
+    fmt: str = "parquet",
+    mode: str = "overwrite",
+    bucket_by: str | None = None,
+    buckets: int | None = None,
+) -> None:
+    """Overwrite a catalog table (plain name) or a path (anything with a ``/``).
+
+    ``bucket_by`` + ``buckets`` (catalog tables only) store the table hash-
+    bucketed, so later aggregations and joins keyed on that column (plus any
+    other keys) read it without a shuffle.
+    """
     w = df.write.mode(mode).format(fmt)
     if "/" in target:
         w.save(target)
-    else:
-        w.saveAsTable(target)
+        return
+    if bucket_by and buckets:
+        w = w.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    w.saveAsTable(target)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:

@@ -42,3 +42,16 @@ def test_no_cross_or_nested_loop_join_in_any_stage(spark):
         plan = _plan(getattr(a, name))
         for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
+
+
+def test_bucketed_stocks_table_aggregates_without_shuffle(spark):
+    from basketlab.operators.panel import price_panel
+    from basketlab.sinks.writers import write_table
+
+    name = "basketlab_test_bucketed_stocks"
+    write_table(X.stocks_table(spark, SF_SMALL), name, bucket_by="symbol", buckets=4)
+    try:
+        plan = _plan(price_panel(spark.table(name)))
+        assert "Exchange" not in plan, plan
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
