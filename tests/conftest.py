@@ -2,6 +2,7 @@ import os
 import sys
 
 import pytest
+from hypothesis import HealthCheck, settings
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -9,6 +10,13 @@ from basketlab.session import local_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
+# Property tests: a fixed example sequence by default (reproducible runs);
+# HYPOTHESIS_PROFILE=deep searches ten times wider.
+_common = dict(deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+settings.register_profile("ci", derandomize=True, max_examples=40, **_common)
+settings.register_profile("deep", max_examples=400, **_common)
+settings.load_profile(os.environ.get("HYPOTHESIS_PROFILE", "ci"))
+
 
 @pytest.fixture(scope="session")
 def spark():

@@ -4,7 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
-from hypothesis import HealthCheck, given, settings
+from hypothesis import given
 from hypothesis import strategies as st
 
 from basketlab.operators import baskets as B
@@ -53,7 +53,6 @@ def brute_force_returns(rows, index_levels, decimals=6):
 cell = st.one_of(st.none(), st.just(0.0), st.floats(1.0, 50.0).map(lambda v: round(v, 2)))
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     data=st.lists(st.lists(st.one_of(st.just("absent"), cell), min_size=8, max_size=8), min_size=1, max_size=4),
     index_missing=st.sets(st.integers(0, 7), max_size=2),

@@ -4,7 +4,7 @@ import itertools
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import given
 from hypothesis import strategies as st
 
 from basketlab.operators.weights import min_variance_qp, min_variance_weights
@@ -41,7 +41,6 @@ def test_corner_optimum():
     assert np.round(w, 2).tolist() == [1.0, 0.0]
 
 
-@settings(max_examples=60, deadline=None)
 @given(st.integers(2, 10), st.integers(0, 10**6))
 def test_matches_brute_force(n, seed):
     rng = np.random.default_rng(seed)
