@@ -103,3 +103,21 @@ def test_identical_baskets_are_not_deduplicated(spark):
     b = B.build_baskets(peers, universe, 6, 10)
     assert b.select("portfolio").distinct().count() == 6
     assert b.count() == 36
+
+
+@given(
+    quotes=st.lists(
+        st.tuples(st.sampled_from("ABC"), st.integers(0, 6), st.one_of(st.none(), st.integers(0, 40).map(float))),
+        min_size=1,
+        max_size=30,
+    ),
+    index_zero=st.sets(st.integers(0, 6), max_size=1),
+)
+def test_duplicates_and_zero_index_match_wide_method(spark, quotes, index_zero):
+    levels = {i: (0.0 if i in index_zero else 100.0 + 7 * i) for i in range(7)}
+    stocks = spark.createDataFrame(
+        [(s, day(i).isoformat(), p) for s, i, p in quotes], "symbol string, date string, adjClose double"
+    )
+    idx = spark.createDataFrame([(day(i), v) for i, v in levels.items()], "date date, level double")
+    got = {tuple(r) for r in P.aligned_returns(P.price_panel(stocks), idx).collect()}
+    assert got == brute_force_returns(quotes, levels)
