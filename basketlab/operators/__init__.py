@@ -28,9 +28,15 @@ from basketlab.operators.stats import (
     correlation_wide,
     covariance,
     mean_returns,
+    member_stats,
     pair_moments,
 )
-from basketlab.operators.weights import min_variance_qp, min_variance_weights
+from basketlab.operators.weights import (
+    exact_covariance,
+    min_variance_qp,
+    min_variance_weights,
+    min_variance_weights_from_returns,
+)
 
 __all__ = [
     "aligned_returns",
@@ -45,11 +51,14 @@ __all__ = [
     "covariance",
     "dropped_dates",
     "equal_weights",
+    "exact_covariance",
     "holdings",
     "latest_close",
     "mean_returns",
+    "member_stats",
     "min_variance_qp",
     "min_variance_weights",
+    "min_variance_weights_from_returns",
     "pair_moments",
     "pivot_panel",
     "portfolio_detail",
