@@ -19,16 +19,19 @@ def index_series(
 ) -> DataFrame:
     """``(date date, level double)`` from the text columns of the index file.
 
-    Rows with a null in any column of the file, an unparseable date or a
-    non-numeric level are dropped (the original drops incomplete rows before
-    projecting, so an unrelated empty column also removes a row).
+    Rows with a null in any column of the file or an unparseable date are
+    dropped (the original drops incomplete rows before projecting, so an
+    unrelated empty column also removes a row). A present but non-numeric
+    level keeps its date with a null level, as the original's implicit
+    text-to-number cast does: that day's index return is 0 and the next
+    day's is missing.
     """
     parsed = raw.withColumn("_date", F.try_to_date(F.col(date_col).cast("string"), pattern))
     parsed = parsed.dropna()
     return parsed.select(
         F.col("_date").alias("date"),
         F.col(level_col).cast("string").try_cast("double").alias("level"),
-    ).dropna()
+    )
 
 
 def read_companies(spark: SparkSession, path: str) -> DataFrame:

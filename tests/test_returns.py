@@ -155,3 +155,17 @@ def test_dataframe_universe(spark):
     assert {r["symbol"] for r in P.aligned_returns(panel, idx, universe=u).collect()} == {"A", "C"}
     missing = spark.createDataFrame([("C", 0), ("ZZZ", 1)], "symbol string, upos int")
     assert P.aligned_returns(panel, idx, universe=missing).count() == 0
+
+
+def test_non_numeric_index_level_keeps_its_date(spark):
+    import datetime as dt
+
+    from basketlab.sources.index import index_series
+
+    rows = [("A", i, 10 + i) for i in range(5)]
+    panel = P.price_panel(stocks_df(spark, rows))
+    texts = [(day(i).strftime("%m/%d/%Y"), v) for i, v in enumerate(["100", "101", "n/a", "103", "104"])]
+    idx = index_series(spark.createDataFrame(texts, "Date string, Close string"))
+    got = {r["date"]: r["index_ret"] for r in P.aligned_returns(panel, idx).collect()}
+    # day 2: missing level today -> index return 0; day 3: missing yesterday -> date dropped
+    assert got == {day(1): round(1 / 100, 6), day(2): 0.0, day(4): round(1 / 103, 6)}
