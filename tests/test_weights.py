@@ -124,3 +124,19 @@ def test_kkt_check_flags_non_optimal_weights(spark):
     a = analysis(spark, SF_SMALL, optimal=True)
     assert kkt_violations(a.optimal_weights, a.returns).collect()[0][0] == 0
     assert kkt_violations(a.equal_weights, a.returns).collect()[0][0] > 0
+
+
+@given(st.integers(3, 10), st.integers(0, 10**6))
+def test_rank_deficient_covariance(n, seed):
+    """Fewer dates than assets: a singular covariance still gets valid, near-optimal weights."""
+    rng = np.random.default_rng(seed)
+    k = int(rng.integers(2, n))  # k < n samples -> rank k-1
+    cov = np.cov(rng.normal(size=(k, n)), rowvar=False)
+    w = min_variance_qp(cov)
+    assert np.all(w >= 0) and abs(w.sum() - 1) < 1e-12
+    v = w @ cov @ w
+    eq = np.full(n, 1 / n)
+    assert v <= eq @ cov @ eq + 1e-12
+    ref = brute_force(cov)
+    if ref is not None:
+        assert v <= ref @ cov @ ref + 1e-10 * np.trace(cov)
