@@ -49,3 +49,15 @@ def test_every_query_runs_and_entry_has_rows(spark):
     for name in set(E.queries()) - set(E.oracle_sql()):
         E.queries()[name](spark, SF_SMALL).collect()
     assert E.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    "name", ["aligned_returns", "correlation_matrix", "betas", "equal_weight_summary", "weights_kkt_violations"]
+)
+def test_query_matches_oracle_with_ansi_off(spark, con, name):
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
