@@ -85,3 +85,15 @@ def test_streaming_ingest_appends_new_documents_once(spark, tmp_path):
     ingest_available(spark, str(docs), table, ckpt)
     ingest_available(spark, str(docs), table, ckpt)
     assert spark.read.parquet(table).count() == 3
+
+
+def test_streaming_ingest_skips_documents_without_history(spark, tmp_path):
+    docs = tmp_path / "in"
+    docs.mkdir()
+    _write(docs / "ERR.json", {"Error Message": "Invalid API call"})
+    _write(docs / "EMPTY.json", {})
+    _write(docs / "A.json", {"symbol": "A", "historical": [{"date": "2024-01-02", "adjClose": 1.5, "label": "a"}]})
+    table = str(tmp_path / "stocks")
+    ingest_available(spark, str(docs), table, str(tmp_path / "ckpt"))
+    rows = spark.read.parquet(table).collect()
+    assert [(r["symbol"], r["date"], r["adjClose"]) for r in rows] == [("A", "2024-01-02", 1.5)]
