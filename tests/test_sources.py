@@ -26,6 +26,7 @@ def test_json_documents(spark, tmp_path):
     _write(d / "B.json", {"symbol": "B", "historical": [{"date": "2024-01-02", "adjClose": 3}]})
     _write(d / "C.json", {"Error Message": "Limit reached"})
     _write(d / "D.json", {})
+    _write(d / "E.json", {"symbol": "E", "historical": []})
     flat = flatten_history(read_price_documents(spark, str(d)))
     rows = sorted(flat.collect(), key=lambda r: (r["symbol"], r["date"]))
     assert [(r["symbol"], r["date"], r["adjClose"]) for r in rows] == [
