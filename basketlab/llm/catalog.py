@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketlab.llm.byte_bpe import op9_byte_bpe
 from basketlab.llm.decontaminate import op6_decontamination
+from basketlab.llm.near_dedup import op1_near_dedup
 from basketlab.llm.quality_rules import op3_quality_rules
-from basketlab.llm.secrets import op10_secret_scan
+from basketlab.llm.secret_scan import op10_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op9_byte_bpe": op9_byte_bpe,

@@ -4,18 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from basketlab.llm import byte_bpe, decontaminate, near_dedup, quality_rules, secret_scan
 from basketlab.llm.common import table, written
-from basketlab.llm.quality_rules import judged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return judged(docs).where("kept").select(*docs.columns)
+    return quality_rules.judged(docs).where("kept").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, the one with the least id."""
+    return near_dedup.representatives(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each secret replaced by a mark; n_chars follows the new text."""
+    found = secret_scan.scan(docs)
+    text = F.when(F.col("text").isNotNull(), secret_scan.redacted(F.col("text"), F.col("spans")))
+    return found.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, the ids (little-endian unsigned 32-bit) and whether they decode to the text."""
+    both = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, decode=True)
+    same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "utf-8")
+    return both.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
 
-STAGES = [("quality", quality)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", secrets),
+    ("tokens", tokens),
+]
 
-#: The stages' models and codecs have no SQL form; tests hold run() against brute force.
+#: The vote model, the signatures and the merges have no SQL form; tests hold run() against brute force.
 ORACLE_SQL = None
 
 
