@@ -124,8 +124,10 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_docs:
         slot = d * k + (mix(dart ^ _U(0x5851F42D4C957F2D)) % _U(k)).astype(np.int64)
         free = empty.ravel()[slot]
         slot, rank, dart = slot[free], rank[free], dart[free]
-        order = np.lexsort((dart, rank))[::-1]  # the least rank is written last
-        out.ravel()[slot[order]] = dart[order]
+        least = np.full(n_docs * k, np.inf)
+        np.minimum.at(least, slot, rank)
+        won = rank == least[slot]
+        out.ravel()[slot[won]] = dart[won]
         empty.ravel()[slot] = False
         low = high
     return out, some
