@@ -11,11 +11,13 @@ from basketlab.llm.decontaminate import op6_decontamination
 from basketlab.llm.near_dedup import op1_near_dedup
 from basketlab.llm.quality_rules import op3_quality_rules
 from basketlab.llm.secret_scan import op10_secret_scan
+from basketlab.llm.token_files import op8_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op6_decontamination": op6_decontamination,
+    "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_secret_scan": op10_secret_scan,
 }
