@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketlab.llm.byte_bpe import op9_byte_bpe
 from basketlab.llm.decontaminate import op6_decontamination
 from basketlab.llm.near_dedup import op1_near_dedup
+from basketlab.llm.quality_gam import op7_quality_gam
 from basketlab.llm.quality_rules import op3_quality_rules
 from basketlab.llm.secret_scan import op10_secret_scan
 from basketlab.llm.token_files import op8_token_files
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op6_decontamination": op6_decontamination,
+    "op7_quality_gam": op7_quality_gam,
     "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_secret_scan": op10_secret_scan,

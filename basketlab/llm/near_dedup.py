@@ -69,9 +69,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=_U), np.cumprod(down, dtype=_U)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, hash) of every word of the texts, in order."""
-    raw = [(t or "").lower().encode() for t in texts]
+def word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, hash, place of the first byte) of every word, in order, and the bytes those places are in."""
     buf = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
     ends_of = np.cumsum([len(r) + 1 for r in raw])
     blank = ((buf >= 9) & (buf <= 13)) | (buf == 32)
@@ -80,12 +79,13 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     up, down = _powers(len(buf) + 1)
     total = np.zeros(len(buf) + 1, _U)
     np.cumsum((buf.astype(_U) + _U(1)) * up[:-1], dtype=_U, out=total[1:])
-    return np.searchsorted(ends_of, start, side="right"), mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
+    hashes = mix((total[end] - total[start]) * down[start] + (end - start).astype(_U))
+    return np.searchsorted(ends_of, start, side="right"), hashes, start, buf
 
 
 def elements(texts: list[str | None], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text number, shingle hash, weight) of the distinct shingles, by text and hash."""
-    doc, word = word_hashes(texts)
+    doc, word, _, _ = word_hashes([(t or "").lower().encode() for t in texts])
     m = np.bincount(doc, minlength=len(texts))
     first = np.cumsum(m) - m
     made = np.zeros(len(word), _U)
