@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketlab.llm.byte_bpe import op9_byte_bpe
 from basketlab.llm.decontaminate import op6_decontamination
+from basketlab.llm.license_scan import op4_license_scan
 from basketlab.llm.near_dedup import op1_near_dedup
 from basketlab.llm.quality_gam import op7_quality_gam
 from basketlab.llm.quality_rules import op3_quality_rules
@@ -17,6 +18,7 @@ from basketlab.llm.token_files import op8_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_license_scan": op4_license_scan,
     "op6_decontamination": op6_decontamination,
     "op7_quality_gam": op7_quality_gam,
     "op8_token_files": op8_token_files,
