@@ -14,11 +14,13 @@ from basketlab.llm.quality_gam import op7_quality_gam
 from basketlab.llm.quality_rules import op3_quality_rules
 from basketlab.llm.secret_scan import op10_secret_scan
 from basketlab.llm.token_files import op8_token_files
+from basketlab.llm.warc import op5_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
+    "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
     "op7_quality_gam": op7_quality_gam,
     "op8_token_files": op8_token_files,
