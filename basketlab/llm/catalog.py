@@ -12,12 +12,14 @@ from basketlab.llm.license_scan import op4_license_scan
 from basketlab.llm.near_dedup import op1_near_dedup
 from basketlab.llm.quality_gam import op7_quality_gam
 from basketlab.llm.quality_rules import op3_quality_rules
+from basketlab.llm.quote_links import op2_quote_links
 from basketlab.llm.secret_scan import op10_secret_scan
 from basketlab.llm.token_files import op8_token_files
 from basketlab.llm.warc import op5_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_quote_links": op2_quote_links,
     "op3_quality_rules": op3_quality_rules,
     "op4_license_scan": op4_license_scan,
     "op5_warc": op5_warc,
