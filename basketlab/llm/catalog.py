@@ -10,6 +10,7 @@ from basketlab.llm.byte_bpe import op9_byte_bpe
 from basketlab.llm.decontaminate import op6_decontamination
 from basketlab.llm.license_scan import op4_license_scan
 from basketlab.llm.near_dedup import op1_near_dedup
+from basketlab.llm.oracles import ORACLE_SQL  # noqa: F401
 from basketlab.llm.quality_gam import op7_quality_gam
 from basketlab.llm.quality_rules import op3_quality_rules
 from basketlab.llm.quote_links import op2_quote_links
@@ -30,4 +31,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+

@@ -245,4 +245,4 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     records = with_roles(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     runs = write_archives(records.withColumn("captured", capture_time("page_id")), folder)
-    return read_archives(merge_index(runs), folder)
+    return read_archives(merge_index(runs), folder).drop("url_key", "captured")
