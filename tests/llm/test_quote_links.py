@@ -1,0 +1,76 @@
+from basketlab.llm import quote_links as Q
+
+SCHEMA = "id string, time long, text string"
+MAIL = [
+    ("a", 1, "Hello there my friend\nhow are you doing today"),
+    ("b", 2, "I am fine thanks\n\nOn Monday x wrote:\n> Hello there my friend\n> how are you doing today"),
+    ("c", 3, "> > Hello there my friend\n> > how are you doing today\n> I am fine thanks\nGreat"),
+    ("d", 4, "> how are you doing today\nok partial"),
+    ("e", None, None),
+    ("f", 5, ""),
+    ("f", 5, ""),
+    ("g", 6, "> nothing like this at all here\nx"),
+    ("h", 3, "Hello there my friend\nhow are you doing today"),
+    ("i", 7, ">> Hello there my friend how are you doing today\n\n> > and\nnested only"),
+    ("z", 0, "> ok partial"),
+]
+
+
+def rows(df):
+    return {(r.id, r.time): (r.parent, r.conversation, r.depth, r.n_quotes, r.n_linked, r.said) for r in df.collect()}
+
+
+def test_links_by_hand(make):
+    out = Q.link(make(MAIL, SCHEMA, clash=("parent", "said")))
+    got = rows(out)
+    assert out.count() == len(MAIL)
+    assert got == {
+        ("a", 1): (None, "a", 0, 0, 0, MAIL[0][2]),
+        ("b", 2): ("a", "a", 1, 1, 1, "I am fine thanks"),
+        ("c", 3): ("b", "a", 2, 2, 2, "Great"),
+        ("d", 4): ("h", "h", 1, 1, 1, "ok partial"),  # the last original before it
+        ("e", None): (None, "e", 0, 0, 0, ""),
+        ("f", 5): (None, "f", 0, 0, 0, ""),
+        ("g", 6): (None, "g", 0, 1, 0, "x"),
+        ("h", 3): (None, "h", 0, 0, 0, MAIL[0][2]),
+        ("i", 7): (None, "i", 0, 2, 1, "nested only"),
+        ("z", 0): (None, "z", 0, 1, 0, ""),
+    }
+
+
+def test_last_before_against_brute_force(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(Q, "SLICES", 7)
+    rng = random.Random(3)
+    originals = [(rng.randint(0, 4), rng.randint(0, 99), f"k{i:03}") for i in range(60)]
+    quotes = [(rng.randint(0, 5), rng.randint(-5, 120), i) for i in range(200)]
+    got = Q.last_before(spark.createDataFrame(quotes, "h long, ord long, n int"), spark.createDataFrame(originals, "h long, ord long, key string"))
+    want = []
+    for h, o, n in quotes:
+        before = [(t, k) for g, t, k in originals if g == h and t < o]
+        if before:
+            t = max(before)[0]
+            want.append((n, min(k for u, k in before if u == t)))
+    assert sorted((r.n, r.found) for r in got.collect()) == sorted(want)
+
+
+def test_deep_thread(make):
+    texts = [f"message number {i} says something of its own" for i in range(40)]
+    mail = [(str(i), i, texts[i] + (f"\n> {texts[i - 1]}" if i else "")) for i in range(40)]
+    got = rows(Q.link(make(mail, SCHEMA)))
+    assert all(got[(str(i), i)][:3] == (str(i - 1) if i else None, "0", i) for i in range(40))
+
+
+def test_query_finds_every_parent(spark):
+    d = "/root/testdata/sf0.001"
+    said = {f"{r.conv_id}/{r.turn}": r.text for r in spark.read.parquet(f"{d}/conversations.parquet").collect()}
+    out = Q.op2_quote_links(spark, d).collect()
+    assert {r.id: r.said for r in out} == said
+    for r in out:
+        conv, turn = r.id.split("/")
+        assert (r.parent, r.conversation, r.depth) == (f"{conv}/{int(turn) - 1}" if int(turn) else None, f"{conv}/0", int(turn))
+
+
+def test_empty(make):
+    assert Q.link(make([], SCHEMA)).count() == 0
