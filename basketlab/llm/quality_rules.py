@@ -150,19 +150,17 @@ def fit(patterns: DataFrame, tol: float = 1e-4, max_rounds: int = 200, strength:
     """
     model = START
     for k in range(1, max_rounds + 1):
-        p, w = F.col("_p"), F.col("docs").cast("double")
-        sums = [F.sum(w).alias("n"), F.sum(w * p).alias("n_good")]
-        for i in range(len(RULES)):
-            up, down = F.get("votes", F.lit(i)) == 1, F.get("votes", F.lit(i)) == -1
-            for name, when, weight in (("gu", up, p), ("gd", down, p), ("bu", up, 1 - p), ("bd", down, 1 - p)):
-                sums.append(F.coalesce(F.sum(F.when(when, w * weight)), F.lit(0.0)).alias(f"{name}{i}"))
-        s = patterns.withColumn("_p", model.posterior()).agg(*sums).first()
-        n = s["n"] or 0.0
+        # one vote in the last place makes that place's sums those of all documents
+        each = patterns.withColumn("_p", model.posterior()).select("docs", "_p", F.posexplode(F.concat("votes", F.array(F.lit(1).cast("byte")))).alias("rule", "vote"))
+        sums = each.where("vote != 0").groupBy("rule", "vote").agg(F.sum(F.col("docs") * F.col("_p")).alias("good"), F.sum(F.col("docs") * (1 - F.col("_p"))).alias("bad"))
+        s = {(r.rule, r.vote): (r.good, r.bad) for r in sums.collect()}  # at most two rows a rule
+        at = lambda i, v, k: s.get((i, v), (0.0, 0.0))[k]
         share = lambda right, wrong, start: (right + strength * start) / (right + wrong + strength)
+        every = range(len(RULES))
         new = VoteModel(
-            share(s["n_good"] or 0.0, n - (s["n_good"] or 0.0), START.prior),
-            tuple(share(s[f"gu{i}"], s[f"gd{i}"], START.good[i]) for i in range(len(RULES))),
-            tuple(share(s[f"bd{i}"], s[f"bu{i}"], START.bad[i]) for i in range(len(RULES))),
+            share(at(len(RULES), 1, 0), at(len(RULES), 1, 1), START.prior),
+            tuple(share(at(i, 1, 0), at(i, -1, 0), START.good[i]) for i in every),
+            tuple(share(at(i, -1, 1), at(i, 1, 1), START.bad[i]) for i in every),
             k,
         )
         moved = max(abs(a - b) for a, b in zip((new.prior, *new.good, *new.bad), (model.prior, *model.good, *model.bad), strict=True))
