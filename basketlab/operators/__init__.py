@@ -24,6 +24,7 @@ from basketlab.operators.panel import (
 from basketlab.operators.report import holdings, portfolio_detail
 from basketlab.operators.stats import (
     betas,
+    correlation_half,
     correlation_matrix,
     correlation_wide,
     covariance,
@@ -32,10 +33,8 @@ from basketlab.operators.stats import (
     pair_moments,
 )
 from basketlab.operators.weights import (
-    exact_covariance,
     min_variance_qp,
     min_variance_weights,
-    min_variance_weights_from_returns,
 )
 
 __all__ = [
@@ -51,14 +50,12 @@ __all__ = [
     "covariance",
     "dropped_dates",
     "equal_weights",
-    "exact_covariance",
     "holdings",
     "latest_close",
     "mean_returns",
     "member_stats",
     "min_variance_qp",
     "min_variance_weights",
-    "min_variance_weights_from_returns",
     "pair_moments",
     "pivot_panel",
     "portfolio_detail",

@@ -4,8 +4,7 @@ A basket is seeded by every universe ticker: its peers are the tickers whose
 rounded correlation with the seed lies in ``[lo, hi]`` (the seed's own 1.00
 normally falls out), the seed is appended last, and the basket is kept when
 ``min_size <= members <= max_size``. Baskets are named ``Portfolio1..k`` in
-seed order and are not de-duplicated. Everything is one grouped query; the
-only ordered pass is the naming of kept seeds (at most one row per ticker).
+seed order and are not de-duplicated.
 """
 
 from __future__ import annotations
@@ -13,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketlab.operators.stats import mirror
+from basketlab.session import materialize
+
 
 def correlated_peers(corr: DataFrame, lo: float = 0.5, hi: float = 0.99) -> DataFrame:
     """``(seed, symbol, corr)`` with ``lo <= corr <= hi`` (a null correlation never qualifies)."""
@@ -21,6 +23,24 @@ def correlated_peers(corr: DataFrame, lo: float = 0.5, hi: float = 0.99) -> Data
     )
 
 
+def peers_of_half(half: DataFrame, lo: float = 0.5, hi: float = 0.99) -> DataFrame:
+    """The same from the ``symbol_a <= symbol_b`` half: the test is symmetric, so only pairs that pass are mirrored."""
+    return correlated_peers(mirror(half.where(F.col("corr").between(lo, hi)), "corr"), lo, hi)
+
+
+def numbered(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``number`` 1..n in the given order, without one task holding all rows.
+
+    Rows are range-partitioned once (written, so the ranges are fixed), ranked
+    within their range, and shifted by the sizes of the ranges before.
+    """
+    ranged = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "numbered")
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # one row per range
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn("_rank", rank).join(before, "_range").withColumn("number", F.col("_rank") + F.col("_before")).drop("_range", "_rank", "_before")
+
+
 def build_baskets(
     peers: DataFrame, universe: DataFrame, min_size: int = 6, max_size: int = 10
 ) -> DataFrame:
@@ -32,10 +52,9 @@ def build_baskets(
         .withColumn("n", F.coalesce(F.col("n_peers"), F.lit(0)) + 1)
         .where((F.col("n") >= min_size) & (F.col("n") <= max_size))
     )
-    named = seeds.withColumn(
-        "portfolio",
-        F.concat(F.lit("Portfolio"), F.row_number().over(Window.orderBy("seed_upos", "seed")).cast("string")),
-    ).select("seed", "portfolio", "n")
+    named = numbered(seeds, "seed_upos", "seed").select(
+        "seed", F.concat(F.lit("Portfolio"), F.col("number").cast("string")).alias("portfolio"), "n"
+    )
     members = (
         peers.join(named, "seed")
         .join(universe.select("symbol", "upos"), "symbol", "left")

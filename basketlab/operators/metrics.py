@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from basketlab.functions.numeric import exact, units
 
+# Column names of the original report.
 SUMMARY_COLUMNS = ["Names", "Portfolios", "Weightage", "TotalReturns", "InvestmentAmount", "Volatility"]
 
 
@@ -86,9 +87,8 @@ def volatility_label(beta, threshold: float = 1.0):
 
 def portfolio_summary(
     weights: DataFrame,
-    means: DataFrame,
+    stats: DataFrame,
     latest: DataFrame,
-    betas_df: DataFrame,
     periods: int = 250,
     weight_decimals: int = 2,
     mean_decimals: int = 6,
@@ -97,13 +97,12 @@ def portfolio_summary(
 ) -> DataFrame:
     """One row per basket: ``Names, Portfolios, Weightage, TotalReturns, InvestmentAmount, Volatility``.
 
-    Arrays are in position order; every group holds at most ``max_size`` members.
+    ``stats`` is ``(symbol, mean, beta)``. Arrays are in position order; every group holds at most ``max_size`` members.
     """
     rows = (
         weights.select("portfolio", "pos", "symbol", "weight")
-        .join(means.select("symbol", "mean"), "symbol", "left")
+        .join(stats.select("symbol", "mean", F.col("beta").cast("float").alias("beta")), "symbol", "left")
         .join(latest.select("symbol", F.col("price").cast("float").alias("amount")), "symbol", "left")
-        .join(betas_df.select("symbol", F.col("beta").cast("float").alias("beta")), "symbol", "left")
     )
     g = rows.groupBy("portfolio").agg(
         F.array_sort(F.collect_list(F.struct("pos", "symbol", "weight", "amount", "beta"))).alias("m"),

@@ -13,9 +13,10 @@ original batch exactly:
   return on it (complete case).
 
 No calendar x universe grid is built. A return on date ``d`` exists exactly
-when the ticker has a price on the calendar predecessor of ``d``, so every
-return cell is produced from the previous price row by an equi-join on
-``(date, symbol)``, and the complete-case test is a per-date count.
+when the ticker has a price on the calendar predecessor of ``d``, so one
+``lead`` over each ticker's own rows gives every cell (the price is missing if
+the ticker's next row is not on the next calendar date), and the complete-case
+test is a count per date, combined map-side, and a semi-join.
 """
 
 from __future__ import annotations
@@ -46,11 +47,9 @@ def price_panel(stocks: DataFrame, pattern: str = "yyyy-MM-dd") -> DataFrame:
     )
 
 
-def pivot_panel(panel: DataFrame, symbols: Sequence[str] | None = None, value: str = "price") -> DataFrame:
-    """Wide view: ``date`` plus one column per ticker (only for display or export)."""
-    g = panel.groupBy("date")
-    g = g.pivot("symbol", list(symbols)) if symbols is not None else g.pivot("symbol")
-    return g.agg(F.sum(value))
+def pivot_panel(panel: DataFrame, symbols: Sequence[str], value: str = "price") -> DataFrame:
+    """Wide view: ``date`` plus one column per listed ticker (only for display or export)."""
+    return panel.groupBy("date").pivot("symbol", list(symbols)).agg(F.sum(value))
 
 
 def universe_frame(panel: DataFrame, universe: Sequence[str] | DataFrame | None = None) -> DataFrame:
@@ -92,19 +91,16 @@ def calendar(panel: DataFrame, index: DataFrame) -> DataFrame:
 def _in_universe(panel: DataFrame, universe, universe_df: DataFrame) -> DataFrame:
     if universe is None:
         return panel
-    if not isinstance(universe, DataFrame) and len(universe) <= 1000:
-        return panel.where(F.col("symbol").isin(list(universe)))
     return panel.join(universe_df.select("symbol").distinct(), "symbol", "left_semi")
 
 
 def return_cells(panel: DataFrame, cal: DataFrame, decimals: int = 6) -> DataFrame:
     """``(date, symbol, ret)`` for every ticker that has a price on the previous calendar date."""
-    prev = panel.join(cal.where(F.col("next_date").isNotNull()), "date").select(
-        F.col("next_date").alias("date"), "symbol", F.col("price").alias("prev_price")
-    )
-    cur = panel.select("date", "symbol", "price")
-    return prev.join(cur, ["date", "symbol"], "left").select(
-        "date", "symbol", F.round(simple_return(F.col("price"), F.col("prev_price")), decimals).alias("ret")
+    on = panel.join(cal, "date")
+    w = Window.partitionBy("symbol").orderBy("date")
+    nxt = F.when(F.lead("date").over(w) == F.col("next_date"), F.lead("price").over(w))
+    return on.select("next_date", "symbol", "price", nxt.alias("_next")).where(F.col("next_date").isNotNull()).select(
+        F.col("next_date").alias("date"), "symbol", F.round(simple_return(F.col("_next"), F.col("price")), decimals).alias("ret")
     )
 
 
@@ -130,9 +126,8 @@ def aligned_returns(
     n_u = universe_size(udf_, universe)
     cells = return_cells(_in_universe(panel, universe, udf_), cal, decimals)
     # complete case: every universe ticker has a non-null return on the date
-    # (a date partition holds at most one row per ticker)
-    n_ok = F.count("ret").over(Window.partitionBy("date"))
-    complete = cells.withColumn("n_ok", n_ok).where(F.col("n_ok") == n_u)
+    full = cells.groupBy("date").agg(F.count("ret").alias("n_ok")).where(F.col("n_ok") == n_u)
+    complete = cells.join(full, "date", "left_semi")
     idx = index_returns(index, cal, decimals).where(F.col("index_ret").isNotNull())
     return complete.join(idx, "date").select("date", "symbol", "ret", "index_ret")
 
@@ -143,7 +138,7 @@ def dropped_dates(panel: DataFrame, index: DataFrame, returns: DataFrame) -> Dat
     return cal.join(returns.select("date").distinct(), "date", "left_anti")
 
 
-def returns_wide(returns: DataFrame, symbols: Sequence[str] | None = None, index_name: str = "SP500") -> DataFrame:
+def returns_wide(returns: DataFrame, symbols: Sequence[str], index_name: str = "SP500") -> DataFrame:
     """Wide view of the returns: ``date``, one column per ticker, and the index column."""
     wide = pivot_panel(returns, symbols, value="ret")
     idx = returns.select("date", F.col("index_ret").alias(index_name)).distinct()

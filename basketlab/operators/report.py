@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOLDING_COLUMNS = ["Names", "Portfolios", "Weightage", "TotalReturns", "InvestmentAmount", "Volatility"]
+from basketlab.operators.metrics import SUMMARY_COLUMNS
 
 
 def holdings(summary: DataFrame, companies: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def holdings(summary: DataFrame, companies: DataFrame) -> DataFrame:
         "InvestmentAmount",
         "Volatility",
         F.inline(F.arrays_zip(F.col("Portfolios").alias("Portfolios"), F.col("Weightage").alias("Weightage"))),
-    ).select(HOLDING_COLUMNS)
+    ).select(SUMMARY_COLUMNS)
     kept = exploded.where(F.col("Weightage") != 0)
     return kept.join(companies, kept["Portfolios"] == companies["symbol"]).drop(companies["symbol"])
 

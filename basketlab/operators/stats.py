@@ -5,15 +5,18 @@ Statistics are computed from exact integer sums of the rounded returns
 and no ANSI division error for a constant series (its correlation is null,
 its covariance 0.0, a constant index gives beta 0.0).
 
-Pairwise moments are Gram products computed block by block: tickers hash
-into blocks of bounded size, each (block, block) pair is one group whose
-cross-products are exact integer matrix products in the executor. Work grows
-as ``S^2 x D`` multiply-adds in BLAS, not as ``S^2 x D`` rows through a join.
+The complete-case rule gives every ticker the same dates, so counts, sums and
+sums of squares belong to tickers (one ``groupBy(symbol)``); only the sum of
+products belongs to a pair. That one is a Gram product by blocks: tickers hash
+into blocks and dates fall into ranges of fixed length, each (block, block,
+range) is one group of bounded size, and the partial sums add up in Spark.
+Values are split into limbs of 20 bits, whose products stay exact in BLAS for
+every 64-bit value; there is one path for all sizes.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
+import math
 
 import numpy as np
 import pandas as pd
@@ -32,135 +35,91 @@ def _units_frame(returns: DataFrame, decimals: int, symbols: DataFrame | None) -
     return r
 
 
-PAIR_SUMS_SCHEMA = (
-    "symbol_a string, symbol_b string, n bigint, sa decimal(38,0), sb decimal(38,0), "
-    "saa decimal(38,0), sbb decimal(38,0), sab decimal(38,0)"
-)
-_FLOAT_EXACT = 2.0**53
-_INT64_SAFE = 2.0**62
+LIMB = 20  # bits of a limb: 4 products of 40 bits over 2**10 days stay below 2**53
+LIMBS = 4
+DAY_SPAN = 1024  # calendar days of one group
+BLOCK_TICKERS = 512  # most tickers of a block, on average
+LIMB_SUMS = [f"l{k}" for k in range(2 * LIMBS - 1)]
+PAIR_SUMS_SCHEMA = "symbol_a string, symbol_b string, " + ", ".join(f"{c} bigint" for c in LIMB_SUMS)
 
 
-def _gram(a: np.ndarray, b: np.ndarray, bound: float) -> np.ndarray:
-    """``a.T @ b`` for integer matrices, exact.
-
-    BLAS in float64 when every partial sum stays below 2**53 (then each
-    product and sum is an exactly representable integer), int64 below 2**62,
-    Python integers beyond.
-    """
-    if bound < _FLOAT_EXACT:
-        return np.rint(a.astype(np.float64).T @ b.astype(np.float64)).astype(np.int64)
-    if bound < _INT64_SAFE:
-        return a.astype(np.int64).T @ b.astype(np.int64)
-    return a.astype(object).T @ b.astype(object)
+def _limbs(x: np.ndarray) -> list[np.ndarray]:
+    """``x = sum(limb_k * 2**(20 k))``; the top limb carries the sign. Limbs that are 0 throughout are None."""
+    low = [(x >> (LIMB * k)) & ((1 << LIMB) - 1) for k in range(LIMBS - 1)]
+    return [v.astype(np.float64) if v.any() else None for v in (*low, x >> (LIMB * (LIMBS - 1)))]
 
 
 def _block_pair_sums(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Moment sums of every symbol pair of one (block, block) group, ``symbol_a <= symbol_b``.
+    """Limb sums of ``sum(x_a * x_b)`` for the symbol pairs of one (block, block, date range) group.
 
     One input row per ticker: its block and its series as ``days``/``xs`` arrays.
     """
     lo, hi = int(pdf["blk_lo"].iloc[0]), int(pdf["blk_hi"].iloc[0])
     syms = pdf["symbol"].to_numpy(dtype=object)
-    days = [np.asarray(d, dtype=np.int64) for d in pdf["days"]]
-    xs = [np.asarray(v, dtype=np.int64) for v in pdf["xs"]]
-    calendar = np.unique(np.concatenate(days)) if days else np.zeros(0, dtype=np.int64)
-    x = np.zeros((len(calendar), len(syms)), dtype=np.int64)
-    m = np.zeros_like(x)
-    for j, (d, v) in enumerate(zip(days, xs)):
-        rows_j = np.searchsorted(calendar, d)
-        x[rows_j, j] = v
-        m[rows_j, j] = 1
+    first = min(int(d[0]) for d in pdf["days"])
+    x = np.zeros((max(int(d[-1]) for d in pdf["days"]) - first + 1, len(syms)), dtype=np.int64)
+    for j, (d, v) in enumerate(zip(pdf["days"], pdf["xs"])):
+        x[np.asarray(d, dtype=np.int64) - first, j] = np.asarray(v, dtype=np.int64)
     blk_of = pdf["blk"].to_numpy(dtype=np.int64)
-    ia = np.where(blk_of == lo)[0]
-    ib = np.where(blk_of == hi)[0]
-    xa, ma, xb, mb = x[:, ia], m[:, ia], x[:, ib], m[:, ib]
-    big = float(max((np.max(np.abs(v)) for v in xs if len(v)), default=0))
-    rows = x.shape[0]
-
-    def sq(a):
-        return a * a if big < 3e9 else a.astype(object) * a.astype(object)
-
-    n = _gram(ma, mb, rows)
-    sa, sb = _gram(xa, mb, big * rows), _gram(ma, xb, big * rows)
-    saa, sbb = _gram(sq(xa), mb, big * big * rows), _gram(ma, sq(xb), big * big * rows)
-    sab = _gram(xa, xb, big * big * rows)
-    na, nb_ = syms[ia], syms[ib]
-    ga, gb = np.meshgrid(np.arange(len(ia)), np.arange(len(ib)), indexing="ij")
-    ga, gb = ga.ravel(), gb.ravel()
-    keep = n[ga, gb] > 0
-    a_name, b_name = na[ga], nb_[gb]
-    if lo == hi:
-        keep &= a_name <= b_name
+    ia, ib = np.flatnonzero(blk_of == lo), np.flatnonzero(blk_of == hi)
+    la, lb = _limbs(x[:, ia]), _limbs(x[:, ib])
+    sums = np.zeros((len(LIMB_SUMS), len(ia), len(ib)), dtype=np.int64)
+    for i, a in enumerate(la):
+        for j, b in enumerate(lb):
+            if a is not None and b is not None:
+                sums[i + j] += np.rint(a.T @ b).astype(np.int64)
+    ga, gb = (g.ravel() for g in np.meshgrid(np.arange(len(ia)), np.arange(len(ib)), indexing="ij"))
+    a_name, b_name = syms[ia][ga], syms[ib][gb]
+    keep = a_name <= b_name if lo == hi else np.ones(len(ga), dtype=bool)
     swap = a_name > b_name
-    sel = np.where(keep)[0]
-    ga, gb, swap = ga[sel], gb[sel], swap[sel]
-
-    def col(mat):
-        return mat[ga, gb]
-
-    va, vb, vaa, vbb = col(sa), col(sb), col(saa), col(sbb)
-    out = pd.DataFrame(
-        {
-            "symbol_a": np.where(swap, b_name[sel], a_name[sel]),
-            "symbol_b": np.where(swap, a_name[sel], b_name[sel]),
-            "n": col(n).astype(np.int64),
-            "sa": np.where(swap, vb, va),
-            "sb": np.where(swap, va, vb),
-            "saa": np.where(swap, vbb, vaa),
-            "sbb": np.where(swap, vaa, vbb),
-            "sab": col(sab),
-        }
-    )
-    for c in ("sa", "sb", "saa", "sbb", "sab"):
-        out[c] = [Decimal(int(v)) for v in out[c]]
-    return out
+    out = {"symbol_a": np.where(swap, b_name, a_name)[keep], "symbol_b": np.where(swap, a_name, b_name)[keep]}
+    return pd.DataFrame(out | {c: sums[k][ga, gb][keep] for k, c in enumerate(LIMB_SUMS)})
 
 
-def _pair_sums_blocked(r: DataFrame, block_size: int) -> DataFrame:
-    """Pair sums by blocks: symbols hash into ``ceil(S / block_size)`` blocks; every
-    (block, block) pair is one group computing exact integer cross-products.
+def pair_groups(r: DataFrame, parallelism: int | None = None, day_span: int = DAY_SPAN) -> DataFrame:
+    """The series as rows of (block, block, date range) groups.
 
-    Each ticker's series is first packed into two arrays (bounded by the
-    calendar), then copied once per block: the shuffle is ``blocks x rows`` of
-    compact arrays, a group holds ``2 x block_size`` series, and no per-date
-    pair row is formed.
+    Blocks come from the stated parallelism (default: the session's) so that the
+    block pairs alone keep every core busy, and from the block size; a ticker's
+    days of one range are one array, at most ``day_span`` long.
     """
-    series = r.groupBy("symbol").agg(
+    cores = parallelism or r.sparkSession.sparkContext.defaultParallelism
+    least = max(2, math.ceil(math.sqrt(2 * cores)))
+    series = r.groupBy("symbol", F.floor(F.unix_date("date") / day_span).alias("span")).agg(
         F.array_sort(F.collect_list(F.struct(F.unix_date("date").alias("d"), F.col("x").alias("x")))).alias("s")
     )
-    n_blocks = F.greatest(
-        F.lit(1),
-        ((series.select(F.count("*")).scalar() + F.lit(block_size - 1)) / F.lit(block_size)).cast("int"),
-    )
-    rows = (
-        series.withColumn("nb", n_blocks)
+    n_symbols = r.select(F.countDistinct("symbol")).scalar()
+    return (
+        series.withColumn("nb", F.greatest(F.lit(least), F.ceil(n_symbols / F.lit(BLOCK_TICKERS))).cast("int"))
         .withColumn("blk", F.pmod(F.xxhash64("symbol"), F.col("nb").cast("long")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         .select(
             F.least("blk", "other").alias("blk_lo"),
             F.greatest("blk", "other").alias("blk_hi"),
+            "span",
             "blk",
             "symbol",
             F.col("s.d").alias("days"),
             F.col("s.x").alias("xs"),
         )
     )
-    return rows.groupBy("blk_lo", "blk_hi").applyInPandas(_block_pair_sums, schema=PAIR_SUMS_SCHEMA)
 
 
-def _pair_sums_join(r: DataFrame) -> DataFrame:
-    """Pair sums by a self-join on date (one row per date and pair; small universes only)."""
+def _product_sums(r: DataFrame, parallelism: int | None, day_span: int) -> DataFrame:
+    """``(symbol_a, symbol_b, sab)`` for ``symbol_a <= symbol_b``, exact decimal(38,0)."""
+    groups = pair_groups(r, parallelism, day_span).groupBy("blk_lo", "blk_hi", "span")
+    sums = groups.applyInPandas(_block_pair_sums, schema=PAIR_SUMS_SCHEMA)
+    total = sums.groupBy("symbol_a", "symbol_b").agg(*[F.sum(exact(c)).alias(c) for c in LIMB_SUMS])
+    sab = sum((F.col(c) * exact(F.lit(1 << (LIMB * k)) if LIMB * k < 63 else F.lit(str(1 << (LIMB * k)))) for k, c in enumerate(LIMB_SUMS[1:], 1)), F.col("l0"))
+    return total.select("symbol_a", "symbol_b", exact(sab).alias("sab"))
+
+
+def _product_sums_join(r: DataFrame) -> DataFrame:
+    """The same by a self-join on date (one row per date and pair; small universes only)."""
     a = r.select("date", F.col("symbol").alias("symbol_a"), F.col("x").alias("xa"))
     b = r.select("date", F.col("symbol").alias("symbol_b"), F.col("x").alias("xb"))
     j = a.join(b, "date").where(F.col("symbol_a") <= F.col("symbol_b"))
-    return j.groupBy("symbol_a", "symbol_b").agg(
-        F.count("*").alias("n"),
-        F.sum(exact("xa")).alias("sa"),
-        F.sum(exact("xb")).alias("sb"),
-        F.sum(exact("xa") * F.col("xa")).alias("saa"),
-        F.sum(exact("xb") * F.col("xb")).alias("sbb"),
-        F.sum(exact("xa") * F.col("xb")).alias("sab"),
-    )
+    return j.groupBy("symbol_a", "symbol_b").agg(F.sum(exact("xa") * F.col("xb")).alias("sab"))
 
 
 def pair_moments(
@@ -168,17 +127,23 @@ def pair_moments(
     decimals: int = 6,
     symbols: DataFrame | None = None,
     method: str = "blocked",
-    block_size: int = 512,
+    parallelism: int | None = None,
+    day_span: int = DAY_SPAN,
 ) -> DataFrame:
     """``(symbol_a, symbol_b, n, cov_num, var_a, var_b)`` for ``symbol_a <= symbol_b``.
 
-    With ``x``, ``y`` the integer units of the two returns over their common
-    dates: ``cov_num = n*sum(xy) - sum(x)*sum(y)``, ``var_a = n*sum(x^2) -
-    sum(x)^2``; all exact decimal(38,0). ``method="blocked"`` (default) forms
-    the cross-products block by block; ``"join"`` is the plain self-join.
+    ``returns`` is complete-case (every ticker has the same dates; a pair whose
+    counts differ is an error). With ``x``, ``y`` the integer units of the two
+    returns: ``cov_num = n*sum(xy) - sum(x)*sum(y)``, ``var_a = n*sum(x^2) -
+    sum(x)^2``; all exact decimal(38,0). ``method="join"`` is the plain self-join.
     """
     r = _units_frame(returns, decimals, symbols)
-    m = _pair_sums_blocked(r, block_size) if method == "blocked" else _pair_sums_join(r)
+    m = _product_sums(r, parallelism, day_span) if method == "blocked" else _product_sums_join(r)
+    own = r.groupBy("symbol").agg(F.count("*").alias("n"), F.sum(exact("x")).alias("s"), F.sum(exact("x") * F.col("x")).alias("ss"))
+    a = own.select(F.col("symbol").alias("symbol_a"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("ss").alias("saa"))
+    b = own.select(F.col("symbol").alias("symbol_b"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("ss").alias("sbb"))
+    same = F.when(F.col("na") == F.col("nb"), F.col("na")).otherwise(F.raise_error(F.lit("returns are not complete-case")).cast("bigint"))
+    m = m.join(a, "symbol_a").join(b, "symbol_b").withColumn("n", same)
     n = exact("n")
     return m.select(
         "symbol_a",
@@ -190,7 +155,7 @@ def pair_moments(
     )
 
 
-def _mirror(half: DataFrame, value: str) -> DataFrame:
+def mirror(half: DataFrame, value: str) -> DataFrame:
     """Full square matrix from the ``a <= b`` half, in one pass over it."""
     a, b, v = F.col("symbol_a"), F.col("symbol_b"), F.col(value)
     fwd = F.struct(a.alias("symbol_a"), b.alias("symbol_b"), v.alias(value))
@@ -204,20 +169,24 @@ def pearson(m: DataFrame) -> F.Column:
     return F.when(den > 0, F.col("cov_num").cast("double") / den)
 
 
+def correlation_half(
+    returns: DataFrame, decimals: int = 2, ret_decimals: int = 6, symbols: DataFrame | None = None
+) -> DataFrame:
+    """Rounded Pearson correlations ``(symbol_a, symbol_b, corr)`` of the pairs ``symbol_a <= symbol_b``."""
+    m = pair_moments(returns, ret_decimals, symbols)
+    return m.select("symbol_a", "symbol_b", F.round(pearson(m), decimals).alias("corr"))
+
+
 def correlation_matrix(
     returns: DataFrame, decimals: int = 2, ret_decimals: int = 6, symbols: DataFrame | None = None
 ) -> DataFrame:
     """Long Pearson matrix ``(symbol_a, symbol_b, corr)`` rounded to ``decimals``; diagonal included."""
-    m = pair_moments(returns, ret_decimals, symbols)
-    half = m.select("symbol_a", "symbol_b", F.round(pearson(m), decimals).alias("corr"))
-    return _mirror(half, "corr")
+    return mirror(correlation_half(returns, decimals, ret_decimals, symbols), "corr")
 
 
-def correlation_wide(corr: DataFrame, symbols=None, name_col: str = "stockName") -> DataFrame:
-    """Wide matrix view: one row per ticker (``stockName``) and one column per ticker."""
-    g = corr.groupBy(F.col("symbol_a").alias(name_col))
-    g = g.pivot("symbol_b", list(symbols)) if symbols is not None else g.pivot("symbol_b")
-    return g.agg(F.first("corr"))
+def correlation_wide(corr: DataFrame, symbols, name_col: str = "stockName") -> DataFrame:
+    """Wide matrix view: one row per ticker (``stockName``) and one column per listed ticker."""
+    return corr.groupBy(F.col("symbol_a").alias(name_col)).pivot("symbol_b", list(symbols)).agg(F.first("corr"))
 
 
 def covariance(returns: DataFrame, ret_decimals: int = 6, symbols: DataFrame | None = None) -> DataFrame:
@@ -226,7 +195,7 @@ def covariance(returns: DataFrame, ret_decimals: int = 6, symbols: DataFrame | N
     scale = F.lit(10.0 ** (2 * ret_decimals))
     nn = (F.col("n") * (F.col("n") - 1)).cast("double")
     cov = F.when(F.col("n") > 1, F.col("cov_num").cast("double") / nn / scale)
-    return _mirror(m.select("symbol_a", "symbol_b", cov.alias("cov")), "cov")
+    return mirror(m.select("symbol_a", "symbol_b", cov.alias("cov")), "cov")
 
 
 def mean_returns(

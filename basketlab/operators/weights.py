@@ -5,12 +5,14 @@ and ``sum(w) = 1`` is a convex quadratic programme. Its optimum is computed
 exactly (up to float rounding) by an active-set method on the equivalent
 non-negative problem ``min 1/2 x'Sx - 1'x, x >= 0``, ``w = x / sum(x)``.
 
-Spark packs each member's return series once and routes it to the baskets
-holding it; each basket is one ``applyInPandas`` group of at most
-``max_size`` rows (the basket-size rule bounds it) that forms its exact
-covariance block (bit-identical to ``stats.covariance``) and solves it with
-numpy in the executor. Weights are rounded half-even
-to 2 decimals like ``numpy.round``; they are not renormalised.
+Covariances come from the blocked pair stage (``stats.covariance``); each
+basket is one ``applyInPandas`` group of at most ``max_size ** 2`` rows (the
+basket-size rule bounds it), solved with numpy in the executor. The active set
+grows and shrinks only while the objective falls, which it can do for each of
+the finitely many sets once; the result is checked against the optimality
+conditions and anything else is an error, as is a missing covariance. Weights
+are rounded half-even to 2 decimals like ``numpy.round``; they are not
+renormalised.
 """
 
 from __future__ import annotations
@@ -20,39 +22,42 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlab.functions.numeric import units
 from basketlab.functions.shipping import ship_by_value
-from basketlab.operators.stats import _gram
 
 WEIGHTS_SCHEMA = "portfolio string, pos int, symbol string, weight_exact double, weight float"
 
 
-def min_variance_qp(cov: np.ndarray, tol: float = 1e-12, max_iter: int = 500) -> np.ndarray:
+def min_variance_qp(cov: np.ndarray, tol: float = 1e-12, check: float = 1e-7) -> np.ndarray:
     """Weights ``w >= 0``, ``sum(w) = 1`` minimising ``w' cov w``.
 
     Lawson-Hanson style active set on ``min 1/2 x'Qx - 1'x, x >= 0`` with
     ``Q`` the covariance scaled to unit mean diagonal plus a tiny ridge (keeps
-    a singular matrix solvable and the answer deterministic).
+    a singular matrix solvable and the answer deterministic). Raises if the
+    covariance is not finite or the optimality conditions fail by ``check``.
     """
     n = cov.shape[0]
     if n == 0:
         return np.zeros(0)
+    if not np.isfinite(cov).all():
+        raise ValueError("a covariance is missing")
     if n == 1:
         return np.ones(1)
     scale = float(np.trace(cov)) / n
-    if not np.isfinite(scale) or scale <= 0:
+    if scale <= 0:
         return np.full(n, 1.0 / n)
     q = cov / scale + np.eye(n) * 1e-12
     c = np.ones(n)
     x = np.zeros(n)
     free = np.zeros(n, dtype=bool)
-    for _ in range(max_iter):
+    value = 0.0
+    while True:
         grad = q @ x - c
         cand = np.where(~free & (grad < -tol))[0]
         if cand.size == 0:
             break
+        before = x.copy()
         free[cand[np.argmin(grad[cand])]] = True
-        while True:
+        while free.any():  # every pass but the last frees at least one place less
             z = np.zeros(n)
             idx = np.where(free)[0]
             z[idx] = np.linalg.solve(q[np.ix_(idx, idx)], c[idx])
@@ -60,14 +65,25 @@ def min_variance_qp(cov: np.ndarray, tol: float = 1e-12, max_iter: int = 500) ->
                 x = z
                 break
             neg = idx[z[idx] <= tol]
-            alpha = np.min(x[neg] / (x[neg] - z[neg]))
-            x = x + alpha * (z - x)
+            steps = x[neg] / (x[neg] - z[neg])
+            x = x + np.min(steps) * (z - x)
             free &= x > tol
+            free[neg[np.argmin(steps)]] = False
             x[~free] = 0.0
+        now = float(0.5 * x @ q @ x - c @ x)
+        if now >= value:  # no set is visited twice
+            x = before if now > value else x
+            break
+        value = now
     total = x.sum()
     if total <= 0:
-        return np.full(n, 1.0 / n)
-    return x / total
+        raise ValueError("the covariance is not positive semidefinite")
+    w = x / total
+    grad = q @ w
+    level = float(w @ grad)
+    if np.any(np.abs(grad[w > 0] - level) > check * max(1.0, abs(level))) or np.any(grad[w == 0] < level - check * max(1.0, abs(level))):
+        raise ValueError("the solver did not reach the optimum")
+    return w
 
 
 def _solve_group(pdf: pd.DataFrame, decimals: int) -> pd.DataFrame:
@@ -75,13 +91,13 @@ def _solve_group(pdf: pd.DataFrame, decimals: int) -> pd.DataFrame:
         pdf[["pos_a", "symbol_a"]].drop_duplicates().sort_values("pos_a").reset_index(drop=True)
     )
     n = len(members)
-    cov = np.zeros((n, n))
+    cov = np.full((n, n), np.nan)
     ia = pdf["pos_a"].to_numpy()
     ib = pdf["pos_b"].to_numpy()
     rank = {p: i for i, p in enumerate(members["pos_a"].to_numpy())}
     ra = np.array([rank[p] for p in ia], dtype=int)
     rb = np.array([rank[p] for p in ib], dtype=int)
-    cov[ra, rb] = pdf["cov"].fillna(0.0).to_numpy()
+    cov[ra, rb] = pdf["cov"].to_numpy(dtype=float)
     w = min_variance_qp(cov)
     return pd.DataFrame(
         {
@@ -112,81 +128,5 @@ def min_variance_weights(baskets: DataFrame, cov: DataFrame, decimals: int = 2)
     )
 
 
-def exact_covariance(days: list[np.ndarray], xs: list[np.ndarray], ret_decimals: int) -> np.ndarray:
-    """Sample covariance of integer-unit series over pairwise common dates.
-
-    Same exact integer formula and the same final float operations as
-    ``stats.covariance``, so the values are bit-identical to it.
-    """
-    n = len(xs)
-    if n == 0:
-        return np.zeros((0, 0))
-    cal = np.unique(np.concatenate(days)) if days else np.zeros(0, dtype=np.int64)
-    x = np.zeros((len(cal), n), dtype=np.int64)
-    m = np.zeros_like(x)
-    for j, (d, v) in enumerate(zip(days, xs)):
-        rows = np.searchsorted(cal, d)
-        x[rows, j] = v
-        m[rows, j] = 1
-    big = float(max((np.max(np.abs(v)) for v in xs if len(v)), default=0))
-    t = x.shape[0]
-    cnt = _gram(m, m, t)
-    sa, sb = _gram(x, m, big * t), _gram(m, x, big * t)
-    sab = _gram(x, x, big * big * t)
-    out = np.zeros((n, n))
-    scale = 10.0 ** (2 * ret_decimals)
-    for i in range(n):
-        for j in range(n):
-            k = int(cnt[i, j])
-            if k > 1:
-                num = k * int(sab[i, j]) - int(sa[i, j]) * int(sb[i, j])
-                out[i, j] = float(num) / float(k * (k - 1)) / scale
-    return out
-
-
-def _solve_series_group(pdf: pd.DataFrame, decimals: int, ret_decimals: int) -> pd.DataFrame:
-    members = pdf.sort_values("pos").reset_index(drop=True)
-    days = [np.asarray(d, dtype=np.int64) for d in members["days"]]
-    xs = [np.asarray(v, dtype=np.int64) for v in members["xs"]]
-    w = min_variance_qp(exact_covariance(days, xs, ret_decimals))
-    return pd.DataFrame(
-        {
-            "portfolio": members["portfolio"],
-            "pos": members["pos"].astype("int32"),
-            "symbol": members["symbol"],
-            "weight_exact": w,
-            "weight": np.round(w, decimals).astype("float32"),
-        }
-    )
-
-
-def min_variance_weights_from_returns(
-    baskets: DataFrame, returns: DataFrame, decimals: int = 2, ret_decimals: int = 6
-) -> DataFrame:
-    """``(portfolio, pos, symbol, weight_exact double, weight float)`` per basket member.
-
-    Each member's return series is packed once into arrays (bounded by the
-    calendar) and joined to its baskets; a basket is one group of at most
-    ``max_size`` rows that builds its exact covariance block and solves it.
-    No pair of members is materialised in Spark.
-    """
-    series = (
-        returns.join(baskets.select("symbol").distinct(), "symbol", "left_semi")
-        .groupBy("symbol")
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(F.unix_date("date").alias("d"), units("ret", ret_decimals).alias("x"))
-                )
-            ).alias("s")
-        )
-        .select("symbol", F.col("s.d").alias("days"), F.col("s.x").alias("xs"))
-    )
-    rows = baskets.select("portfolio", "pos", "symbol").join(series, "symbol")
-    return rows.groupBy("portfolio").applyInPandas(
-        lambda pdf: _solve_series_group(pdf, decimals, ret_decimals), schema=WEIGHTS_SCHEMA
-    )
-
-
 # group functions of this module run on executors: serialise them by value
 ship_by_value(__name__)

@@ -1,10 +1,11 @@
 """The whole analysis as one lazy DataFrame graph.
 
-``Analysis`` wires the operators D2-D20 together; every stage is a lazily
-built DataFrame, so a caller that only asks for ``betas`` plans only the
-stages betas depends on, and Catalyst prunes the rest. With
-``materialize_stages`` the reused stages are written once to the cluster's
-``spark.checkpoint.dir`` and read back, cutting their lineage.
+``Analysis`` wires the operators D2-D20 together; a stage is built when it is
+first asked for, so a caller that only asks for ``betas`` plans only the
+stages betas depends on, and Catalyst prunes the rest. Building is not always
+lazy: numbering the baskets writes their seeds, and with ``materialize_stages``
+the reused stages are written to the cluster's ``spark.checkpoint.dir`` and
+read back as they are built, cutting their lineage.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ class Analysis:
 
     @cached_property
     def index(self) -> DataFrame:
-        return index_series(self.index_raw, pattern=self.config.index_date_pattern)
+        return self._keep(index_series(self.index_raw, pattern=self.config.index_date_pattern), "index")
 
     @property
     def _universe_spec(self):
@@ -71,13 +72,17 @@ class Analysis:
 
     # -- correlation and baskets -------------------------------------------
     @cached_property
-    def corr(self) -> DataFrame:
+    def corr_half(self) -> DataFrame:
         c = self.config
-        return S.correlation_matrix(self.returns, c.corr_decimals, c.return_decimals)
+        return S.correlation_half(self.returns, c.corr_decimals, c.return_decimals)
+
+    @cached_property
+    def corr(self) -> DataFrame:
+        return S.mirror(self.corr_half, "corr")
 
     @cached_property
     def peers(self) -> DataFrame:
-        return B.correlated_peers(self.corr, self.config.corr_lo, self.config.corr_hi)
+        return B.peers_of_half(self.corr_half, self.config.corr_lo, self.config.corr_hi)
 
     @cached_property
     def baskets(self) -> DataFrame:
@@ -118,7 +123,7 @@ class Analysis:
     @cached_property
     def optimal_weights(self) -> DataFrame:
         c = self.config
-        return W.min_variance_weights_from_returns(self.baskets, self.returns, c.weight_decimals, c.return_decimals)
+        return W.min_variance_weights(self.baskets, self.cov, c.weight_decimals)
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -141,9 +146,8 @@ class Analysis:
         c = self.config
         s = M.portfolio_summary(
             self.weights,
-            self.means,
+            self.member_stats,
             self.latest,
-            self.betas,
             c.periods_per_year,
             c.weight_decimals,
             c.mean_decimals,

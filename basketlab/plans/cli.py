@@ -12,7 +12,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from basketlab.config import PipelineConfig
+from basketlab.config import DEFAULT_UNIVERSE, PipelineConfig
 from basketlab.plans.pipeline import run_pipeline, upload_prices
 
 
@@ -33,17 +33,18 @@ def main(argv: list[str] | None = None) -> None:
     an.add_argument("--archive", help="dated archive of the report (one partition per run date)")
     an.add_argument("--archive-inputs", help="dated archive of the input stocks table")
     an.add_argument("--run-date", default=dt.date.today().isoformat())
-    an.add_argument("--universe", help="comma-separated tickers; default: every ticker in the data")
+    an.add_argument("--universe", default=",".join(DEFAULT_UNIVERSE), help="comma-separated tickers (default: the original list), or 'all' for every ticker in the data")
     an.add_argument("--corr-lo", type=float, default=0.5)
     an.add_argument("--corr-hi", type=float, default=0.99)
     args = p.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"basketlab-{args.cmd}").getOrCreate()
+    spark = SparkSession.builder.appName(f"basketlab-{args.cmd}").enableHiveSupport().getOrCreate()
+    # upload and analysis are separate applications that meet in a catalog table
     if args.cmd == "upload":
         upload_prices(spark, args.docs, args.stocks, buckets=args.buckets)
         return
     cfg = PipelineConfig(
-        universe=tuple(args.universe.split(",")) if args.universe else None,
+        universe=None if args.universe == "all" else tuple(args.universe.split(",")),
         corr_lo=args.corr_lo,
         corr_hi=args.corr_hi,
     )

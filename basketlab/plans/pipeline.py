@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from basketlab.config import PipelineConfig
 from basketlab.operators.report import portfolio_detail
 from basketlab.plans.analysis import Analysis
+from basketlab.session import materialize
 from basketlab.sinks.writers import write_csv, write_snapshot, write_table
 from basketlab.sources.index import read_companies, read_csv_text
 from basketlab.sources.prices import flatten_history, read_price_documents, read_stocks
@@ -33,7 +34,7 @@ def upload_prices(
 
     Without ``schema`` the record fields are inferred (unknown fields pass
     through) at the cost of one extra pass over the documents; with
-    ``streaming.PRICE_DOCUMENT_SCHEMA`` or any explicit schema the scan is single-pass.
+    an explicit schema the scan is single-pass.
     ``buckets`` stores a catalog table bucketed by ``symbol``: the daily price
     panel then aggregates it without a shuffle.
     """
@@ -85,6 +86,9 @@ def run_pipeline(
     detail = portfolio_detail(holdings, a.stock_history)
     if detail_target:
         write_table(detail, detail_target)
+        detail = read_stocks(spark, detail_target)
+    elif csv_path and snapshot_path:
+        detail = materialize(detail, "detail")
     if csv_path:
         write_csv(detail, csv_path, single_file=csv_single_file)
     if snapshot_path:

@@ -1,4 +1,4 @@
-"""Session helpers: a local session for tests and benches, and reliable checkpoints."""
+"""Session helpers: a local session for tests and benches, and stages written to the shared folder."""
 
 from __future__ import annotations
 
@@ -45,15 +45,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
-
-    Survives executor loss (unlike a local checkpoint or a cache).
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 

@@ -33,14 +33,14 @@ SYMBOLS = {
 }
 
 
-def trades(spark: SparkSession, sf_dir: str, symbol: str = "brand") -> DataFrame:
+def trades(spark: SparkSession, sf_dir: str, symbol: str = "brand", period: str = "quarter") -> DataFrame:
     """One row per line item: ``(date date, symbol string, e_cents long, q_cents long)``."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     return li.join(pt, li.l_partkey == pt.p_partkey).select(
-        F.trunc(F.col("l_shipdate").cast("date"), "quarter").alias("date"),
+        F.trunc(F.col("l_shipdate").cast("date"), period).alias("date"),
         SYMBOLS[symbol]().alias("symbol"),
         _cents("l_extendedprice").alias("e_cents"),
         _cents("l_quantity").alias("q_cents"),
@@ -51,13 +51,13 @@ def _vwap(e: str, q: str):
     return F.try_divide(F.col(e).cast("double") / F.lit(100.0), F.col(q).cast("double") / F.lit(100.0))
 
 
-def brand_quarter_sums(spark: SparkSession, sf_dir: str, symbol: str = "brand") -> DataFrame:
-    """``(date, symbol, e, q)``: notional and quantity cents per (quarter, brand).
+def brand_sums(spark: SparkSession, sf_dir: str, symbol: str = "brand", period: str = "quarter") -> DataFrame:
+    """``(date, symbol, e, q)``: notional and quantity cents per (period, ticker).
 
     The single aggregation both the stocks table and the index derive from
     (integer sums regroup exactly, so the index needs no second scan).
     """
-    return trades(spark, sf_dir, symbol).groupBy("date", "symbol").agg(
+    return trades(spark, sf_dir, symbol, period).groupBy("date", "symbol").agg(
         F.sum("e_cents").alias("e"), F.sum("q_cents").alias("q")
     )
 
@@ -83,11 +83,11 @@ def index_from_sums(sums: DataFrame) -> DataFrame:
 
 
 def stocks_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stocks_from_sums(brand_quarter_sums(spark, sf_dir))
+    return stocks_from_sums(brand_sums(spark, sf_dir))
 
 
 def index_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index_from_sums(brand_quarter_sums(spark, sf_dir))
+    return index_from_sums(brand_sums(spark, sf_dir))
 
 
 def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,12 +103,6 @@ def price_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def companies(spark: SparkSession, sf_dir: str, symbol: str = "brand") -> DataFrame:
-    """Company dictionary ``symbol, company_name``: every ticker but the lowest one.
-
-    The missing ticker exercises the inner join of the holdings report.
-    """
+    """Company dictionary ``symbol, company_name``: every ticker."""
     tickers = read_table(spark, sf_dir, "part").select(SYMBOLS[symbol]().alias("symbol")).distinct()
-    lowest = tickers.select(F.min("symbol")).scalar()
-    return tickers.where(F.col("symbol") != lowest).select(
-        "symbol", F.concat(F.lit("Company "), F.col("symbol")).alias("company_name")
-    )
+    return tickers.select("symbol", F.concat(F.lit("Company "), F.col("symbol")).alias("company_name"))

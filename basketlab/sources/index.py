@@ -24,13 +24,13 @@ def index_series(
     unrelated empty column also removes a row). A present but non-numeric
     level keeps its date with a null level, as the original's implicit
     text-to-number cast does: that day's index return is 0 and the next
-    day's is missing.
+    day's is missing. A date given several times counts once, with its highest
+    level, so every later join is one row per date.
     """
     parsed = raw.withColumn("_date", F.try_to_date(F.col(date_col).cast("string"), pattern))
     parsed = parsed.dropna()
-    return parsed.select(
-        F.col("_date").alias("date"),
-        F.col(level_col).cast("string").try_cast("double").alias("level"),
+    return parsed.groupBy(F.col("_date").alias("date")).agg(
+        F.max(F.col(level_col).cast("string").try_cast("double")).alias("level")
     )
 
 

@@ -10,7 +10,7 @@ HISTORY_FIELD = "historical"
 
 
 def read_price_documents(
-    spark: SparkSession, path: str, schema: StructType | str | None = None
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Scan a folder/glob of multi-line JSON documents, one per ticker.
 
@@ -18,9 +18,10 @@ def read_price_documents(
     through to the flat table. Documents without a history (error messages,
     empty objects) read as a null ``historical`` and produce no rows in
     :func:`flatten_history`. Multi-line JSON is not splittable: each file is
-    one task, and the number of files sets the scan parallelism.
+    one task, and the number of files sets the scan parallelism. Documents of
+    one line each (``multi_line=False``) split like any text.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)

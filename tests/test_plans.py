@@ -10,7 +10,7 @@ def _plan(df):
 
 
 def test_input_scan_reads_four_columns_and_aggregates_partially(spark):
-    plan = _plan(X.brand_quarter_sums(spark, SF_SMALL))
+    plan = _plan(X.brand_sums(spark, SF_SMALL))
     assert "struct<l_partkey:bigint,l_quantity:double,l_extendedprice:double,l_shipdate:timestamp_ntz>" in plan
     assert "partial_sum" in plan
     assert "SinglePartition" not in plan
@@ -31,7 +31,16 @@ def test_correlation_forms_no_per_date_pairs(spark):
     a = analysis(spark, SF_SMALL)
     plan = _plan(a.corr)
     assert "FlatMapGroupsInPandas" in plan
-    assert "SortMergeJoin" not in plan and "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_returns_take_one_window_by_symbol_and_no_panel_self_join(spark):
+    from basketlab.operators.panel import calendar, return_cells
+
+    a = analysis(spark, SF_SMALL)
+    plan = _plan(return_cells(a.panel, calendar(a.panel, a.index)))
+    assert "lead(price" in plan and plan.count("price#") > 0
+    assert not [x for x in plan.splitlines() if "Join [date" in x and "symbol" in x.split("Join")[1][:60]]
 
 
 def test_no_cross_or_nested_loop_join_in_any_stage(spark):

@@ -33,7 +33,7 @@ def _summary_inputs(spark, weights):
 
 def test_summary_and_zero_weight_removed(spark):
     w, means, latest, betas = _summary_inputs(spark, [("A", 0.5), ("B", 0.5), ("C", 0.0)])
-    s = M.portfolio_summary(w, means, latest, betas)
+    s = M.portfolio_summary(w, means.join(betas, "symbol"), latest)
     row = s.collect()[0]
     assert row["Portfolios"] == ["A", "B", "C"]
     assert row["TotalReturns"] == pytest.approx(0.25)
@@ -48,12 +48,12 @@ def test_summary_and_zero_weight_removed(spark):
 def test_missing_latest_price_gives_null_amount(spark):
     w, means, latest, betas = _summary_inputs(spark, [("A", 0.5), ("B", 0.5)])
     latest = latest.where("symbol = 'A'")
-    assert M.portfolio_summary(w, means, latest, betas).collect()[0]["InvestmentAmount"] is None
+    assert M.portfolio_summary(w, means.join(betas, "symbol"), latest).collect()[0]["InvestmentAmount"] is None
 
 
 def test_detail_repeats_history_and_drops_label(spark):
     w, means, latest, betas = _summary_inputs(spark, [("A", 0.5), ("B", 0.5)])
-    s = M.portfolio_summary(w, means, latest, betas)
+    s = M.portfolio_summary(w, means.join(betas, "symbol"), latest)
     companies = spark.createDataFrame([("A", "Alpha"), ("B", "Beta")], "symbol string, company_name string")
     h = R.holdings(s, companies)
     stocks = spark.createDataFrame(
@@ -68,7 +68,7 @@ def test_detail_repeats_history_and_drops_label(spark):
 def test_empty_baskets_give_empty_outputs(spark):
     w, means, latest, betas = _summary_inputs(spark, [("A", 0.5)])
     w = w.where("false")
-    s = M.portfolio_summary(w, means, latest, betas)
+    s = M.portfolio_summary(w, means.join(betas, "symbol"), latest)
     assert s.count() == 0
     assert s.columns == M.SUMMARY_COLUMNS
     assert dict(s.dtypes)["Weightage"] == "array<float>"

@@ -1,4 +1,4 @@
-"""Round trips: JSON documents, CSV index and companies, snapshots, streaming ingest."""
+"""Round trips: JSON documents, CSV index and companies, snapshots, repeated delivery."""
 
 import datetime as dt
 import json
@@ -9,7 +9,6 @@ import pytest
 from basketlab.sinks.writers import write_csv, write_snapshot
 from basketlab.sources.index import index_series, read_csv_text
 from basketlab.sources.prices import flatten_history, read_price_documents
-from basketlab.streaming.ingest import ingest_available
 
 
 def _write(path, obj):
@@ -73,28 +72,21 @@ def test_snapshot_rerun_is_idempotent(spark, tmp_path):
     assert sorted(str(r[0]) for r in back.select("run_date").distinct().collect()) == ["2024-01-01", "2024-01-02"]
 
 
-def test_streaming_ingest_appends_new_documents_once(spark, tmp_path):
-    docs = tmp_path / "in"
-    docs.mkdir()
-    table = str(tmp_path / "stocks")
-    ckpt = str(tmp_path / "ckpt")
-    _write(docs / "A.json", {"symbol": "A", "historical": [{"date": "2024-01-02", "adjClose": 1.0, "label": "a"}]})
-    ingest_available(spark, str(docs), table, ckpt)
-    assert spark.read.parquet(table).count() == 1
-    _write(docs / "B.json", {"symbol": "B", "historical": [
-        {"date": "2024-01-02", "adjClose": 2.0, "label": "b"}, {"date": "2024-01-03", "adjClose": 3.0, "label": "c"}]})
-    ingest_available(spark, str(docs), table, ckpt)
-    ingest_available(spark, str(docs), table, ckpt)
-    assert spark.read.parquet(table).count() == 3
-
-
-def test_streaming_ingest_skips_documents_without_history(spark, tmp_path):
-    docs = tmp_path / "in"
+def test_second_delivery_of_the_full_history_replaces_the_first(spark, tmp_path):
+    from basketlab.operators.panel import price_panel
+    from basketlab.plans.pipeline import upload_prices
+
+    docs, target = tmp_path / "in", str(tmp_path / "stocks")
     docs.mkdir()
-    _write(docs / "ERR.json", {"Error Message": "Invalid API call"})
-    _write(docs / "EMPTY.json", {})
-    _write(docs / "A.json", {"symbol": "A", "historical": [{"date": "2024-01-02", "adjClose": 1.5, "label": "a"}]})
-    table = str(tmp_path / "stocks")
-    ingest_available(spark, str(docs), table, str(tmp_path / "ckpt"))
-    rows = spark.read.parquet(table).collect()
-    assert [(r["symbol"], r["date"], r["adjClose"]) for r in rows] == [("A", "2024-01-02", 1.5)]
+    first = [{"date": "2024-01-02", "adjClose": 10.0, "label": "a"}]
+    _write(docs / "A.json", {"symbol": "A", "historical": first})
+    upload_prices(spark, str(docs), target)
+    _write(docs / "A.json", {"symbol": "A", "historical": [*first, {"date": "2024-01-03", "adjClose": 11.0, "label": "b"}]})
+    upload_prices(spark, str(docs), target)
+    panel = {str(r["date"]): r["price"] for r in price_panel(spark.read.parquet(target)).collect()}
+    assert panel == {"2024-01-02": 10.0, "2024-01-03": 11.0}
+
+
+def test_repeated_index_date_counts_once_with_its_highest_level(spark):
+    raw = spark.createDataFrame([("01/02/2024", "5"), ("1/2/2024", "7.5"), ("01/02/2024", "bad"), ("01/03/2024", "bad")], "Date string, Close string")
+    assert {str(r["date"]): r["level"] for r in index_series(raw).collect()} == {"2024-01-02": 7.5, "2024-01-03": None}

@@ -122,29 +122,45 @@ def test_equal_weights_round_half_even(spark):
     assert all(r["weight_exact"] == 0.125 for r in w)
 
 
-@pytest.mark.parametrize("block_size", [1, 2, 3, 512])
-def test_blocked_moments_equal_join(spark, block_size):
-    rng = np.random.default_rng(block_size)
-    rows = []
-    for s in "ABCDEFG":
-        for i in range(15):
-            if rng.random() < 0.2:  # gaps: pairwise-complete moments
-                continue
-            rows.append((day(i), s, float(np.round(rng.normal(0, 0.05), 6)), 0.0))
-    r = spark.createDataFrame(rows, "date date, symbol string, ret double, index_ret double")
+def _random_returns(spark, seed, symbols="ABCDEFG", days=15):
+    rng = np.random.default_rng(seed)
+    rows = [(day(i), s, float(np.round(rng.normal(0, 0.05), 6)), 0.0) for s in symbols for i in range(days)]
+    return spark.createDataFrame(rows, "date date, symbol string, ret double, index_ret double")
+
+
+@pytest.mark.parametrize("parallelism, day_span", [(1, 4), (3, 7), (8, 1024), (100, 1)])
+def test_blocked_moments_equal_join(spark, parallelism, day_span):
+    r = _random_returns(spark, parallelism)
     a = sorted(tuple(x) for x in S.pair_moments(r, method="join").collect())
-    b = sorted(tuple(x) for x in S.pair_moments(r, method="blocked", block_size=block_size).collect())
+    b = sorted(tuple(x) for x in S.pair_moments(r, parallelism=parallelism, day_span=day_span).collect())
     assert a == b and len(a) == 28
 
 
-def test_gram_paths_agree():
+def test_uneven_dates_are_an_error(spark):
+    r = _random_returns(spark, 1)
+    with pytest.raises(Exception, match="complete-case"):
+        S.pair_moments(r.where("not (symbol = 'A' and date = '2024-01-03')")).collect()
+
+
+def test_pair_work_is_split_by_block_and_date_range(spark):
+    units = S._units_frame(_random_returns(spark, 2), 6, None)
+    groups = S.pair_groups(units, parallelism=4, day_span=5).select("blk_lo", "blk_hi", "span").distinct().collect()
+    assert len({(g.blk_lo, g.blk_hi) for g in groups}) >= 4 and len({g.span for g in groups}) >= 3
+
+
+@pytest.mark.parametrize("top", [10, 10**6, 2**40, 2**52])
+def test_limb_products_are_exact(top):
     rng = np.random.default_rng(0)
-    a = rng.integers(-10**6, 10**6, size=(30, 4))
-    b = rng.integers(-10**6, 10**6, size=(30, 3))
-    exact_ = a.astype(object).T @ b.astype(object)
-    assert (S._gram(a, b, 1.0) == exact_).all()
-    assert (S._gram(a, b, 2.0**60) == exact_).all()
-    assert (S._gram(a, b, 2.0**70) == exact_).all()
+    x = rng.integers(-top, top, size=(30, 3))
+    rows = [(j // 2, j % 2 * 0, f"S{j}") for j in range(3)]
+    import pandas as pd
+
+    pdf = pd.DataFrame({"blk_lo": 0, "blk_hi": 0, "blk": 0, "symbol": [s for _, _, s in rows], "days": [np.arange(30)] * 3, "xs": [x[:, j] for j in range(3)]})
+    out = S._block_pair_sums(pdf)
+    for _, r in out.iterrows():
+        got = sum(int(r[c]) << (S.LIMB * k) for k, c in enumerate(S.LIMB_SUMS))
+        i, j = int(r["symbol_a"][1:]), int(r["symbol_b"][1:])
+        assert got == sum(int(a) * int(b) for a, b in zip(x[:, i], x[:, j]))
 
 
 def test_member_stats_equal_separate_operators(spark):

@@ -86,44 +86,35 @@ def test_constant_basket_gets_equal_weights():
     assert np.allclose(min_variance_qp(np.zeros((3, 3))), [1 / 3] * 3)
 
 
-def test_in_group_covariance_is_bit_identical_to_spark(spark):
-    from basketlab.operators import stats as S
-    from basketlab.operators.weights import exact_covariance
-    from basketlab.plans.catalog import analysis
-    from conftest import SF_SMALL
-
-    a = analysis(spark, SF_SMALL)
-    ret = a.returns
-    spark_cov = {(r["symbol_a"], r["symbol_b"]): r["cov"] for r in S.covariance(ret).collect()}
-    rows = ret.orderBy("symbol", "date").collect()
-    syms = sorted({r["symbol"] for r in rows})[:6]
-    days = [np.array([r["date"].toordinal() for r in rows if r["symbol"] == s]) for s in syms]
-    xs = [np.array([round(r["ret"] * 1e6) for r in rows if r["symbol"] == s]) for s in syms]
-    cov = exact_covariance(days, xs, 6)
-    for i, si in enumerate(syms):
-        for j, sj in enumerate(syms):
-            assert cov[i, j] == spark_cov[(si, sj)]
-
-
-def test_solver_from_returns_matches_solver_from_covariance(spark):
-    from basketlab.operators import stats as S
-    from basketlab.operators.weights import min_variance_weights_from_returns
-    from basketlab.plans.catalog import analysis
-    from conftest import SF_SMALL
+def test_missing_covariance_is_an_error():
+    with pytest.raises(ValueError, match="missing"):
+        min_variance_qp(np.array([[1.0, np.nan], [np.nan, 1.0]]))
 
-    a = analysis(spark, SF_SMALL)
-    w1 = sorted(tuple(r) for r in min_variance_weights(a.baskets, S.covariance(a.returns)).collect())
-    w2 = sorted(tuple(r) for r in min_variance_weights_from_returns(a.baskets, a.returns).collect())
-    assert w1 == w2 and len(w1) > 0
 
-
-def test_kkt_check_flags_non_optimal_weights(spark):
+def test_kkt_check_flags_every_kind_of_bad_weights(spark):
     from basketlab.plans.catalog import analysis, kkt_violations
     from conftest import SF_SMALL
+    from pyspark.sql import functions as F
 
     a = analysis(spark, SF_SMALL, optimal=True)
-    assert kkt_violations(a.optimal_weights, a.returns).collect()[0][0] == 0
-    assert kkt_violations(a.equal_weights, a.returns).collect()[0][0] > 0
+
+    def check(w):
+        return kkt_violations(w, a.returns, a.baskets).collect()[0].asDict()
+
+    good = check(a.optimal_weights)
+    n = a.baskets.count()
+    assert good["n_members"] == n and good["n_baskets"] > 0
+    assert not any(good[k] for k in ("violations", "negative", "bad_sums", "bad_rounding", "missing", "extra"))
+    assert check(a.equal_weights)["violations"] > 0
+    empty = check(a.optimal_weights.where("false"))
+    assert empty["missing"] == n and empty["n_baskets"] == 0
+    one_less = check(a.optimal_weights.where("not (portfolio = 'Portfolio1' and pos = 0)"))
+    assert one_less["missing"] == 1
+    # a short position with the same sum: optimal without the sign rule, but not allowed
+    first = F.col("pos") == 0
+    short = a.optimal_weights.withColumn("weight_exact", F.when(first, F.lit(-0.5)).otherwise(F.col("weight_exact")))
+    flagged = check(short)
+    assert flagged["negative"] > 0 and flagged["bad_sums"] > 0 and flagged["bad_rounding"] > 0
 
 
 @given(st.integers(3, 10), st.integers(0, 10**6))
