@@ -174,7 +174,10 @@ def judge(votes: DataFrame, model: VoteModel, threshold: float = 0.5) -> DataFra
     """Adds base_failed, quality (posterior) and kept."""
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PCT)
     df = votes.withColumns({"base_failed": failed, "quality": model.posterior()})
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
+    # always true, but keeps the optimizer from pushing a filter on the verdict below
+    # the counts, where every window would split the text anew
+    apart = F.monotonically_increasing_id() >= 0
+    return df.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold) & apart)
 
 
 def judged(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
