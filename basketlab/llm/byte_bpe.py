@@ -194,7 +194,7 @@ class Codec:
             new: set[str] = set()
             for pieces in split:
                 new.update(pieces)
-            new.difference_update(self.memo)
+            new = new.difference(self.memo)
             if len(self.memo) + len(new) > CACHE_PIECES:
                 self.memo.clear()
                 new = set().union(*split)
