@@ -78,7 +78,7 @@ def test_cli_upload_and_analyze(spark, tmp_path):
     main([
         "analyze", "--stocks", str(tmp_path / "stocks"), "--index", str(tmp_path / "index"),
         "--companies", str(tmp_path / "companies"), "--holdings", str(tmp_path / "holdings"),
-        "--detail", str(tmp_path / "detail"), "--corr-lo", "0.2", "--archive", str(tmp_path / "archive"),
+        "--detail", str(tmp_path / "detail"), "--corr-lo", "0.2", "--universe", "all", "--archive", str(tmp_path / "archive"),
         "--run-date", "2024-03-01", "--archive-inputs", str(tmp_path / "inputs"),
     ])
     ref = catalog.analysis(spark, SF_SMALL, optimal=True)
