@@ -230,7 +230,9 @@ def read_archives(index: DataFrame, folder: str, payload: bool = False) -> DataF
     def typed(out: list[list]) -> pd.DataFrame:
         return pd.DataFrame(out, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    by_archive = index.select("archive", "offset", "length", "url_key", "captured").repartition("archive").sortWithinPartitions("archive", "offset")
+    # a stated number of tasks: index rows are small, the records behind them are not
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_archive = index.select("archive", "offset", "length", "url_key", "captured").repartition(tasks, "archive").sortWithinPartitions("archive", "offset")
     return by_archive.mapInPandas(read, schema)
 
 
