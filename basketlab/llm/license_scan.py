@@ -10,7 +10,7 @@ window holds enough of one of the family's templates (share of the template's
 word trigrams); an unconfirmed family is reported as ``unknown``.
 
 Training is on the driver and bounded: variations of the templates, and at most
-``max_negatives`` paragraphs of the corpus (those of least hash) as ``none``.
+``MAX_NEGATIVES`` paragraphs of the corpus (chosen by hash) as ``none``.
 Only grams of the notices themselves carry weight. The scan itself is one pass
 without shuffle; its model is a table of a few hundred grams by class.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlab.llm.byte_bpe import _chunks
-from basketlab.llm.common import table
+from basketlab.llm.common import bounded_sample, table
 from basketlab.llm.near_dedup import mix, word_hashes
 
 # fixed values: public licence notices, by family
@@ -290,11 +290,10 @@ def _negative_log(model: Classifier, z: np.ndarray, y: np.ndarray, temperature:
 
 
 def sample_paragraphs(docs: DataFrame, text_col: str = "text", most: int = MAX_NEGATIVES) -> list[str]:
-    """At most ``most`` distinct paragraphs of the corpus, those of least hash (their first WINDOW words, for training only)."""
+    """At most ``most`` paragraphs of the corpus, by hash (their first WINDOW words, for training only)."""
     lines = docs.select(F.explode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("p")).where(F.length(F.trim("p")) > 0)
     lines = lines.select(F.xxhash64("p").alias("h"), F.substring_index("p", " ", WINDOW).alias("p"))
-    lines = lines.orderBy("h", "p").limit(most)
-    return [r.p for r in lines.collect()]
+    return [r.p for r in bounded_sample(lines, most, "h", "p").collect()]
 
 
 def scan(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:

@@ -57,3 +57,14 @@ def test_edge_cases(make, model):
     assert got == [(1, 0, []), (2, 0, []), (3, 0, [])] + [(4, 1, [(0, "mit", True)])] * 2
     assert L.scan(make([]), model).count() == 0
     assert L.train(L.sample_paragraphs(make([]))).scan(["SPDX-License-Identifier: MIT"])[0][1][0][1] == "mit"
+
+
+def test_training_sample_is_bounded_and_the_same_for_any_partitioning(spark):
+    from pyspark.sql import functions as F
+
+    from basketlab.llm.common import bounded_sample
+
+    df = spark.range(5000).select(F.xxhash64("id").alias("h"), "id")
+    one = [r.id for r in bounded_sample(df.repartition(3), 100, "h").collect()]
+    assert len(one) == 100 and one == [r.id for r in bounded_sample(df.repartition(7), 100, "h").collect()]
+    assert bounded_sample(df.limit(7), 100, "h").count() == 7
