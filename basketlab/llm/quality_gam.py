@@ -12,7 +12,7 @@ over whole columns.
 
 The features come from the whole text alone (never labels, language, source or
 id) and are computed in the row, without shuffle. Training uses at most
-``max_rows`` labelled rows, those of least key hash, so the fit and what
+``max_rows`` labelled rows, chosen by key hash, so the fit and what
 reaches the driver are bounded; scoring covers every row.
 
 Defined cases: null and empty texts have zero features and get a score like
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketlab.llm.common import table, written
+from basketlab.llm.common import bounded_sample, table, written
 from basketlab.llm.quality_rules import text_counts
 
 MAX_ROWS = 50_000
@@ -203,7 +203,7 @@ def train(featured: DataFrame, labels: DataFrame, key: str = "doc_id", label: st
     """Fits on at most ``max_rows`` rows of ``featured`` that ``labels`` (key, label) marks."""
     marked = labels.where(F.col(label).isin(0, 1)).select(F.col(key), F.col(label).alias("_y"))
     rows = featured.join(marked, key).select(*NAMES, "_y", F.xxhash64(F.col(key)).alias("_o"))
-    x = rows.orderBy("_o", "_y", *NAMES).limit(max_rows).drop("_o").toPandas()
+    x = bounded_sample(rows, max_rows, "_o", "_y", *NAMES).drop("_o").toPandas()
     return fit(x[list(NAMES)].to_numpy(float), x["_y"].to_numpy(float))
 
 
