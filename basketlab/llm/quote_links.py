@@ -4,7 +4,8 @@ Lines of a message start with ``>`` marks, one for each level of quoting.
 Neighbouring quoted lines of one level are a passage. Passages are normalised
 (letters and digits, lower case), hashed and joined to the hashes of what
 messages say themselves: the whole message with its own quotes, its own text,
-its paragraphs, its longer lines. Of several originals with one hash the last
+its paragraphs; passages that find nothing so are tried by their paragraphs and
+longer lines. Of several originals with one hash the last
 one before the reply counts. The reply's parent is the message whose whole text
 it quotes or, failing that, the one that explains most of its first-level
 quotes. Following parents to the top gives conversations; a message keeps its
@@ -17,8 +18,8 @@ rows with root, parent and depth, so a thread of any size is never gathered.
 
 Defined cases: null and empty texts quote nothing and say nothing; a null time
 comes before all others; messages of one time never quote each other; equal
-rows get equal results each; of equal originals at one time that with the
-least key counts; an empty table gives an empty result; a quote that matches
+rows get equal results each; of equal originals at one time the one whose key
+hashes highest counts; an empty table gives an empty result; a quote that matches
 nothing leaves the message a root; clashing result columns are replaced.
 """
 
@@ -94,26 +95,31 @@ def _paragraphs(lines: Column) -> Column:
     return F.split(F.array_join(F.transform(lines, F.trim), "\n"), "\n\n+")
 
 
-def last_before(quotes: DataFrame, originals: DataFrame) -> DataFrame:
-    """``quotes`` (h, ord, ...) that have an original (h, ord, key) of the same hash before them, with its ``found`` key."""
-    span = originals.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).first()
+def last_before(quotes: DataFrame, originals: DataFrame, few: bool = False) -> DataFrame:
+    """``quotes`` (h, ord, ...) that have an original (h, ord, tie, key) of the same hash before them, with its ``found`` key.
+
+    ``few``: the quotes are few beside the originals, which are first reduced to their hashes.
+    """
+    if few:
+        originals = originals.join(quotes.select("h").distinct(), "h", "left_semi")
+    span = quotes.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).first()
     lo, width = span["lo"] or 0, max(1, ((span["hi"] or 0) - (span["lo"] or 0)) // SLICES + 1)
-    slice_ = F.floor((F.col("ord") - lo) / width).cast("long")
-    wanted = quotes.select("h").distinct()
-    o = originals.join(wanted, "h", "left_semi").groupBy("h", "ord").agg(F.min("key").alias("key")).withColumn("slice", slice_)
+    slice_ = F.greatest(F.floor((F.col("ord") - lo) / width).cast("long"), F.lit(-1))  # all older ones are one slice
     q = quotes.withColumn("slice", slice_)
-    rows = q.select("h", "slice", "ord", F.struct(*quotes.columns).alias("q"), F.lit(None).cast("struct<ord:bigint,key:string>").alias("o"))
-    rows = rows.unionByName(o.select("h", "slice", "ord", F.lit(None).cast(rows.schema["q"].dataType).alias("q"), F.struct("ord", "key").alias("o")))
+    o = originals.select("h", slice_.alias("slice"), "ord", F.struct("ord", "tie", "key").alias("o"))
+    rows = q.select("h", "slice", "ord", F.struct(*quotes.columns).alias("q"), F.lit(None).cast(o.schema["o"].dataType).alias("o"))
+    rows = rows.unionByName(o.withColumn("q", F.lit(None).cast(rows.schema["q"].dataType)))
     earlier = F.max("o").over(Window.partitionBy("h", "slice").orderBy("ord").rangeBetween(Window.unboundedPreceding, -1))
-    near = written(rows.withColumn("near", earlier).where("q is not null").select("q.*", "slice", "near"), "near")
-    found = near.where("near is not null").select(*quotes.columns, F.col("near.key").alias("found"))
+    near = written(rows.withColumn("near", earlier["key"]).where("q is not null").select("q.*", "slice", "near"), "near")
+    found = near.where("near is not null").select(*quotes.columns, F.col("near").alias("found"))
     # no original earlier in the slice: the last one of the slices before, over one row a hash and slice
     missing = near.where("near is null").drop("near")
-    last = o.groupBy("h", "slice").agg(F.max(F.struct("ord", "key")).alias("last"))
-    slots = last.unionByName(missing.select("h", "slice").distinct().withColumn("last", F.lit(None).cast(last.schema["last"].dataType)))
+    asked = missing.select("h", "slice").distinct()
+    last = o.join(asked.select("h").distinct(), "h", "left_semi").groupBy("h", "slice").agg(F.max("o").alias("last"))
+    slots = last.unionByName(asked.withColumn("last", F.lit(None).cast(last.schema["last"].dataType)))
     prior = F.max("last").over(Window.partitionBy("h").orderBy("slice").rangeBetween(Window.unboundedPreceding, -1))
-    slots = slots.withColumn("prior", prior).where("last is null and prior is not null").select("h", "slice", "prior")
-    return found.unionByName(missing.join(slots, ["h", "slice"]).select(*quotes.columns, F.col("prior.key").alias("found")))
+    slots = slots.withColumn("prior", prior["key"]).where("last is null and prior is not null").select("h", "slice", "prior")
+    return found.unionByName(missing.join(slots, ["h", "slice"]).select(*quotes.columns, F.col("prior").alias("found")))
 
 
 def link(messages: DataFrame, id_col: str = "id", time_col: str = "time", text_col: str = "text") -> DataFrame:
@@ -130,44 +136,56 @@ def link(messages: DataFrame, id_col: str = "id", time_col: str = "time", text_c
     # a message as a whole: own text, then everything it quotes, level marks set aside
     full = lambda own, rest: F.array(F.concat_ws("\n", F.lit("full"), own, bodies(rest)))
     first = bodies(F.filter(quoted, lambda x: x["level"] == 1))
+    none = F.array().cast("array<string>")
+
+    def asks(p: Column) -> Column:
+        """A passage's hash and weight, and for the first level those of its parts."""
+        lines = F.split(p["body"], "\n")
+        parts = F.when(p["level"] == 1, F.concat(_paragraphs(lines), _long(lines))).otherwise(none)
+        parts = F.array_distinct(F.filter(F.transform(parts, normal), lambda x: x != ""))
+        weigh = lambda t: F.struct(F.xxhash64(t).alias("h"), F.char_length(t).alias("weight"))
+        return let(normal(p["body"]), lambda t: F.struct(p["level"].alias("level"), weigh(t).alias("all"), F.transform(parts, weigh).alias("parts"), (t != "").alias("any")))
+
     m = m.select(
         "_key",
+        F.xxhash64("_key").alias("tie"),
         "id",
         "ord",
         F.trim(F.regexp_replace(whole, r"^\n+|\n+$", "")).alias("said"),
-        passages(F.col("lines")).alias("passages"),
-        _keys(F.concat(F.when(F.trim(whole) != "", full(whole, quoted)).otherwise(F.array().cast("array<string>")), F.array(whole), _paragraphs(F.col("own")), _long(F.col("own")))).alias("says"),
+        F.transform(passages(F.col("lines")), asks).alias("asks"),
+        _keys(F.concat(F.when(F.trim(whole) != "", full(whole, quoted)).otherwise(none), F.array(whole), _paragraphs(F.col("own")))).alias("says"),
+        _keys(F.concat(_paragraphs(F.col("own")), _long(F.col("own")))).alias("parts"),
         F.when(F.size(quoted) > 0, F.get(_keys(full(first, inner)), F.lit(0))).alias("full"),
     )
-    m = written(m, "messages")
-
-    originals = m.select(F.explode("says").alias("h"), "ord", F.col("_key").alias("key"))
-    # each first-level passage asks with its whole, its paragraphs and its longer lines; deeper ones with their whole
-    ask = m.select("_key", "ord", F.posexplode("passages").alias("no", "p"))
-    lines = F.split("p.body", "\n")
-    forms = F.when(F.col("p.level") == 1, F.concat(F.array("p.body"), _paragraphs(lines), _long(lines))).otherwise(F.array("p.body"))
-    ask = ask.select("_key", "ord", "no", F.col("p.level").alias("level"), F.explode(F.array_distinct(F.filter(F.transform(forms, normal), lambda x: x != ""))).alias("t"))
-    ask = ask.select(F.xxhash64("t").alias("h"), "ord", "_key", "no", "level", F.char_length("t").alias("weight"))
-    ask = ask.unionByName(m.where("full is not null").select(F.col("full").alias("h"), "ord", "_key", F.lit(-1).alias("no"), F.lit(0).alias("level"), F.lit(0).alias("weight")))
-    found = written(last_before(ask, originals), "quotes")
-
-    votes = found.where("level <= 1").groupBy("_key", "found").agg(F.max(F.col("level") == 0).alias("whole"), F.sum("weight").alias("weight"))
-    times = m.select(F.col("_key").alias("found"), F.col("ord").alias("at"))
-    best = votes.join(times, "found").groupBy("_key").agg(F.max(F.struct("whole", "weight", "at", "found")).alias("b")).select("_key", F.col("b.found").alias("up"))
-    linked = found.where("no >= 0").groupBy("_key").agg(F.countDistinct("no").alias("n_linked"))
+    m = written(m.withColumn("key", F.monotonically_increasing_id()), "messages")
+
+    said = lambda column: m.select(F.explode(column).alias("h"), "ord", "tie", "key")
+    each = m.select(F.col("key").alias("reply"), "ord", F.posexplode("asks").alias("no", "a"))
+    ask = each.where("a.any").select("a.all.h", "ord", "reply", "no", F.col("a.level").alias("level"), "a.all.weight")
+    ask = ask.unionByName(m.where("full is not null").select(F.col("full").alias("h"), "ord", F.col("key").alias("reply"), F.lit(-1).alias("no"), F.lit(0).alias("level"), F.lit(0).alias("weight")))
+    found = written(last_before(ask, said("says")), "quotes")
+    rest = each.where("a.level = 1").join(found.select("reply", "no"), ["reply", "no"], "left_anti")
+    rest = written(rest.select("reply", "no", "ord", F.lit(1).alias("level"), F.inline("a.parts")), "rest")
+    found = found.unionByName(written(last_before(rest, said("parts"), few=True), "quotes"))
+
+    votes = found.where("level <= 1").groupBy("reply", "found").agg(F.max(F.col("level") == 0).alias("whole"), F.sum("weight").alias("weight"))
+    times = m.select(F.col("key").alias("found"), F.col("ord").alias("at"), "tie")
+    best = votes.join(times, "found").groupBy("reply").agg(F.max(F.struct("whole", "weight", "at", "tie", "found")).alias("b")).select(F.col("reply").alias("key"), F.col("b.found").alias("up"))
+    linked = found.where("no >= 0").groupBy(F.col("reply").alias("key")).agg(F.countDistinct("no").alias("n_linked"))
 
     # to the top: each round doubles how far up a message has looked
-    tree = written(m.select("_key", "id").join(best, "_key", "left").select("_key", "id", "up", F.coalesce("up", "_key").alias("top"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("depth")), "tree")
+    start = m.select("key").join(best, "key", "left")
+    tree = written(start.select("key", "up", F.coalesce("up", "key").alias("top"), F.col("up").isNotNull().cast("long").alias("depth")), "tree")
     while True:
-        above = tree.select(F.col("_key").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"))
-        step = tree.join(above, "top").select("_key", "id", "up", F.col("next").alias("top"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("next") != F.col("top")).alias("moved"))
+        above = tree.select(F.col("key").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"))
+        step = tree.join(above, "top").select("key", "up", F.col("next").alias("top"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("next") != F.col("top")).alias("moved"))
         step = written(step, "tree")
         tree = step.drop("moved")
         if not step.where("moved").limit(1).count():
             break
-    names = tree.select("_key", "id")
-    out = tree.join(names.select(F.col("_key").alias("up"), F.col("id").alias("parent")), "up", "left").join(names.select(F.col("_key").alias("top"), F.col("id").alias("conversation")), "top")
-    out = out.select("_key", "parent", "conversation", "depth").join(m.select("_key", "said", F.size("passages").cast("long").alias("n_quotes")), "_key").join(linked, "_key", "left")
+    names = m.select("key", "id")
+    out = tree.join(names.select(F.col("key").alias("up"), F.col("id").alias("parent")), "up", "left").join(names.select(F.col("key").alias("top"), F.col("id").alias("conversation")), "top")
+    out = out.select("key", "parent", "conversation", "depth").join(linked, "key", "left").join(m.select("key", "_key", "said", F.size("asks").cast("long").alias("n_quotes")), "key")
     out = out.select("_key", "parent", "conversation", "depth", "n_quotes", F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"), "said")
     return base.join(out, "_key").drop("_key")
 

@@ -43,16 +43,16 @@ def test_last_before_against_brute_force(spark, monkeypatch):
 
     monkeypatch.setattr(Q, "SLICES", 7)
     rng = random.Random(3)
-    originals = [(rng.randint(0, 4), rng.randint(0, 99), f"k{i:03}") for i in range(60)]
+    originals = [(rng.randint(0, 4), rng.randint(-40, 99), k % 3, k) for k in range(60)]
     quotes = [(rng.randint(0, 5), rng.randint(-5, 120), i) for i in range(200)]
-    got = Q.last_before(spark.createDataFrame(quotes, "h long, ord long, n int"), spark.createDataFrame(originals, "h long, ord long, key string"))
     want = []
     for h, o, n in quotes:
-        before = [(t, k) for g, t, k in originals if g == h and t < o]
+        before = [(t, tie, k) for g, t, tie, k in originals if g == h and t < o]
         if before:
-            t = max(before)[0]
-            want.append((n, min(k for u, k in before if u == t)))
-    assert sorted((r.n, r.found) for r in got.collect()) == sorted(want)
+            want.append((n, max(before)[2]))
+    for few in (False, True):
+        got = Q.last_before(spark.createDataFrame(quotes, "h long, ord long, n int"), spark.createDataFrame(originals, "h long, ord long, tie long, key long"), few)
+        assert sorted((r.n, r.found) for r in got.collect()) == sorted(want)
 
 
 def test_deep_thread(make):
