@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import string
 import struct
 from collections.abc import Iterator
 
@@ -40,8 +42,10 @@ from basketlab.llm.common import new_folder, table, written
 from basketlab.llm.near_dedup import mix
 
 MAGIC = b"TOKIDX1\n"
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS, CACHE_WORDS = 200_000, 800_000
 GAMMA = 2
+#: Texts of Latin letters, full stops, commas, spaces and line breaks; lower-casing and splitting these is plain.
+_OTHER = re.compile("[^A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff .,\n]|[.,][.,]")
 _U = np.uint64
 
 
@@ -139,7 +143,10 @@ class WordCodec:
     """Encoder of the tokenizers library with a memory of the chunks between spaces.
 
     The tokenizer's normaliser and splitter work within runs that contain no
-    space, so a text's ids are those of its chunks, one after the other.
+    space, so a text's ids are those of its chunks, one after the other. A chunk
+    of letters with punctuation at its end is two pieces for the splitter, and
+    the normaliser lower-cases, so only new lower-case words are encoded. Both
+    memories have a fixed size.
     """
 
     def __init__(self, path: str):
@@ -151,24 +158,68 @@ class WordCodec:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.memo: dict[str, bytes] = {}
-
-    def _learn(self, chunks: list[str]) -> None:
-        for c, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
-            self.memo[c] = np.array(e.ids, self.kind).tobytes()
+        self.words: dict[str, bytes] = {}
+
+    def _pieces(self, chunk: str) -> tuple[str, str]:
+        """The chunk as a word and the punctuation after it, if the splitter parts them; else whole."""
+        word = chunk.rstrip(string.punctuation)
+        if word.isascii():
+            if word.isalpha():
+                return word.lower(), chunk[len(word) :]
+        elif word.isalpha() and word.lower().isalpha():  # else lower-casing adds a mark that joins the punctuation
+            return word, chunk[len(word) :]
+        return chunk, ""
+
+    def _learn_words(self, wanted: set[str], plain: bool = False) -> None:
+        """``plain``: each is one piece for the splitter, so many are encoded as one text and parted by word number."""
+        new = wanted.difference(self.words)
+        if len(self.words) + len(new) > CACHE_WORDS:
+            self.words.clear()
+            new = wanted
+        new = list(new)
+        if not plain:
+            for x, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                self.words[x] = np.array(e.ids, self.kind).tobytes()
+            return
+        for k in range(0, len(new), 1000):
+            part = new[k : k + 1000]
+            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            flat = np.array(e.ids, self.kind).tobytes()
+            ends = (np.bincount(e.word_ids, minlength=len(part)).cumsum() * self.width).tolist()
+            if len(ends) != len(part):
+                raise ValueError("a plain word is several pieces")
+            for x, a, b in zip(part, [0, *ends], ends, strict=False):
+                self.words[x] = flat[a:b]
+
+    def _learn_chunks(self, wanted: set[str]) -> None:
+        new = wanted.difference(self.memo)
+        if len(self.memo) + len(new) > CACHE_CHUNKS:
+            self.memo.clear()
+            new = wanted
+        parts = {c: self._pieces(c) for c in new}
+        self._learn_words({x for p in parts.values() for x in p})
+        words = self.words
+        for c, (w, tail) in parts.items():
+            self.memo[c] = words[w] + words[tail] if tail else words[w]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for part in _chunks(texts):
-            split = [t.replace("\n", " ").split(" ") for t in part]
-            new: set[str] = set()
-            for s in split:
-                new.update(s)
-            new.difference_update(self.memo)
-            if len(self.memo) + len(new) > CACHE_CHUNKS:
-                self.memo.clear()
-                new = set().union(*split)
-            self._learn(list(new))
-            out += [b"".join(map(self.memo.__getitem__, s)) for s in split]
+            plain = [_OTHER.search(t) is None for t in part]
+            split = [t.lower().replace(".", " . ").replace(",", " , ").split() if p else t.replace("\n", " ").split(" ") for t, p in zip(part, plain, strict=True)]
+            chunks: set[str] = set()
+            words: set[str] = set()
+            for s, p in zip(split, plain, strict=True):
+                (words if p else chunks).update(s)
+            done: list[bytes] = [b""] * len(part)
+            for kind, wanted in ((False, chunks), (True, words)):
+                if wanted:
+                    self._learn_words(wanted, plain=True) if kind else self._learn_chunks(wanted)
+                    get = (self.words if kind else self.memo).__getitem__
+                    for k, s in enumerate(split):
+                        if plain[k] == kind:
+                            done[k] = b"".join(map(get, s))
+            out += done
         return out
 
 
