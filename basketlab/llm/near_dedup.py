@@ -10,16 +10,19 @@ a coordinate with probability equal to their weighted Jaccard similarity, and
 about ``k ln k`` darts are thrown whatever the text's length. Coordinates still
 empty get darts of higher rank until all are filled.
 
-Signatures are cut into bands; texts that agree in a band share a bucket.
-Equal texts are one node from the start. A bucket never yields all its pairs:
-in each round a few leaders of each bucket are compared with the members of
-other classes and then leave the bucket, and only buckets that still hold
-several classes go on, so every pair of a bucket ends compared or in one class.
-Each comparison is exact on the weighted sets. Classes are the connected
-components of the links of at least the threshold.
+Signatures are cut into bands; texts that agree in a band share a bucket, and
+equal texts are one node from the start. A bucket never yields all its pairs as
+rows. First every text meets one leader: of its buckets' most central members
+(those that share most bucket places) the one it shares most buckets with. The
+classes that makes settle nearly all buckets. Texts of buckets that still hold
+several classes are gathered by overlapping buckets and compared in blocks of
+BLOCK texts: a task holds two blocks, compares signatures as byte arrays, and
+checks the pairs of different classes that agree in at least AGREE places.
+Every comparison that makes a link is exact on the weighted sets. Classes are
+the connected components of the links of at least the threshold.
 
 With 25 bands of 4, a pair of similarity 0.8 shares a bucket with probability
-0.999998.
+0.999998 and agrees in 60 of 100 places with probability 0.999999.
 
 Defined cases: null and empty texts have no shingles and are similar to
 nothing, but equal texts (also empty ones, not null ones) are one class; ties
@@ -44,6 +47,7 @@ from basketlab.llm.graph import components
 
 BANDS, ROWS = 25, 4
 SHINGLE, THRESHOLD = 5, 0.8
+BLOCK, AGREE = 512, 0.6
 CHUNK = 1 << 19  # characters hashed at once
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -182,17 +186,19 @@ def _chunks(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield part
 
 
-def band_keys(texts: list[str | None], bands: int = BANDS, rows: int = ROWS) -> list[np.ndarray]:
-    """Bucket keys of each text: one for each band, none for a text without words."""
-    out: list[np.ndarray] = []
+def signed(texts: list[str | None], bands: int = BANDS, rows: int = ROWS) -> tuple[list[np.ndarray], list[bytes]]:
+    """Bucket keys of each text (one for each band, none for a text without words), and a byte of each signature entry."""
+    keys: list[np.ndarray] = []
+    marks: list[bytes] = []
     for part in _chunks(texts):
         sig, some = signatures(*elements(part), len(part), bands * rows)
         key = np.zeros((len(part), bands), _U)
         for r in range(rows):
             key = mix(key + sig[:, r::rows])
         key = mix(key + np.arange(1, bands + 1, dtype=_U)).view(np.int64)
-        out += [key[i] if some[i] else key[i, :0] for i in range(len(part))]
-    return out
+        keys += [key[i] if some[i] else key[i, :0] for i in range(len(part))]
+        marks += [row.tobytes() for row in (sig >> _U(56)).astype(np.uint8)]
+    return keys, marks
 
 
 def packed_elements(texts: list[str | None]) -> list[bytes]:
@@ -220,10 +226,11 @@ def similarity(a: bytes, b: bytes) -> float:
     return n / (len(x) + len(y) - n)
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _bands_udf(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.pandas_udf(T.StructType([T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("marks", T.BinaryType())]))
+def _signed_udf(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for s in texts:
-        yield pd.Series(band_keys(s.tolist()), dtype=object)
+        keys, marks = signed(s.tolist())
+        yield pd.DataFrame({"bands": pd.Series(keys, dtype=object), "marks": pd.Series(marks, dtype=object)})
 
 
 @F.pandas_udf(T.BinaryType())
@@ -238,15 +245,41 @@ def _similarity_udf(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd
         yield pd.Series([similarity(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+def links_within(group: np.ndarray, label: np.ndarray, marks: np.ndarray, sets: list[bytes], side: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links between texts of one group and different classes, enough to join all classes that any link joins.
+
+    ``side``: 0 compares only with 1, 1 only with 0, 2 with all of its group.
+    Classes that a link has joined are not compared again.
+    """
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    out: list[tuple[int, int]] = []
+    least = AGREE * marks.shape[1]
+    order = np.argsort(group, kind="stable")
+    ends = np.flatnonzero(np.diff(group[order])) + 1
+    for part in np.split(order, ends):
+        for k in range(len(part) - 1):
+            i, rest = part[k], part[k + 1 :]
+            rest = rest[(label[rest] != label[i]) & ((side[rest] != side[i]) | (side[rest] == 2))]
+            agree = (marks[rest] == marks[i]).sum(axis=1)
+            for j in rest[agree >= least].tolist():
+                a, b = top(int(label[i])), top(int(label[j]))
+                if a != b and similarity(sets[i], sets[j]) >= threshold:
+                    up[a] = b
+                    out.append((int(i), j))
+    return out
+
+
 def row_key(id_col: str, text_col: str):
     """Equal only for rows of equal id and text."""
     return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col(text_col), F.lit("")), F.when(F.col(text_col).isNull(), F.lit("\0")).otherwise("")))
 
 
-def spark_empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(row_key, id, class_id, is_representative) for each row of ``docs``.
 
@@ -255,53 +288,63 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("row_key"))
     rows = rows.withColumn("key", F.coalesce(F.md5("text"), F.concat(F.lit("null:"), "row_key")))
-    signed = rows.withColumn("bands", _bands_udf("text")).select("id", "row_key", "key", "bands").withColumn("rid", F.monotonically_increasing_id())
-    signed = written(signed, "signatures")
-    texts = signed.groupBy("key").agg(F.min("rid").alias("rid"))  # equal texts are one node
-    texts = written(texts, "texts")
-    node = signed.join(texts, ["key", "rid"], "left_semi")
+    signs = rows.withColumn("s", _signed_udf("text")).select("id", "row_key", "key", "s.*").withColumn("rid", F.monotonically_increasing_id())
+    signs = written(signs, "signatures")
+    texts = written(signs.groupBy("key").agg(F.min("rid").alias("rid")), "texts")  # equal texts are one node
+    node = signs.join(texts, ["key", "rid"], "left_semi")
     member = node.select(F.explode("bands").alias("bucket"), "rid")
-    shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    shared = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     member = written(member.join(shared, "bucket"), "buckets")
-    sets = texts.join(member.select("rid").distinct(), "rid", "left_semi")
-    sets = rows.select("key", "text").join(sets, "key").groupBy("rid").agg(F.first("text").alias("text"))
+    central = written(member.groupBy("rid").agg(F.sum("n").alias("places")), "central")
+    # a node's text is fetched by its own row, not by content, so copies meet in no task
+    wanted = node.select("rid", "row_key").join(central.select("rid"), "rid")
+    sets = rows.select("row_key", "text").join(wanted, "row_key").dropDuplicates(["row_key"])
     sets = written(sets.select("rid", _packed_udf("text").alias("set")), "sets")
 
-    links = tested = None
-    label = spark_empty(docs.sparkSession, "rid long, label long")
-    turn = 0
-    while True:
-        # buckets that still hold several classes
-        classed = member.join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-        mixed = classed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-        member = written(classed.join(mixed, "bucket").select("bucket", "rid", "label"), "members")
-        if not member.limit(1).count():
-            break
-        # leaders: one of each bucket at first, then more; they meet all members of other classes and leave
-        slots = 4 ** min(turn, 3)
-        order = F.struct(F.xxhash64("rid", F.lit(turn)).alias("o"), F.col("rid"), F.col("label"))
-        slot = F.pmod(F.xxhash64(F.lit(turn), "rid"), F.lit(slots))
-        leader = member.groupBy("bucket", slot.alias("slot")).agg(F.min(order).alias("l")).select("bucket", F.col("l.rid").alias("b"), F.col("l.label").alias("lb"))
-        leader = written(leader, "leaders")
-        pair = member.join(leader, "bucket").where("label != lb").select(F.col("rid").alias("a"), "b")
-        if turn == 0:  # first the leader that shares most buckets; what that does not settle comes later
-            pair = pair.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-        pair = pair.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pair = pair.join(tested, ["a", "b"], "left_anti")
-        left, right = sets.select(F.col("rid").alias("a"), F.col("set").alias("sa")), sets.select(F.col("rid").alias("b"), F.col("set").alias("sb"))
-        scored = pair.join(left, "a").join(right, "b").select("a", "b", _similarity_udf("sa", "sb").alias("similarity"))
-        scored = written(scored, "scored")
-        found = scored.where(F.col("similarity") >= threshold).select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        tested = scored.select("a", "b") if tested is None else tested.unionByName(scored.select("a", "b"))
-        label = components(links).withColumnRenamed("node", "rid")
-        if turn:  # in the first round a member met one leader only
-            member = member.join(leader.select("bucket", F.col("b").alias("rid")), ["bucket", "rid"], "left_anti")
-        member = member.select("bucket", "rid")
-        turn += 1
-
-    named = signed.select("id", "row_key", "key").join(texts, "key").join(label, "rid", "left")
+    # each text meets one leader
+    ranked = member.join(central, "rid")
+    leader = ranked.groupBy("bucket").agg(F.max(F.struct("places", "rid")).alias("l")).select("bucket", F.col("l.places").alias("places"), F.col("l.rid").alias("b"))
+    met = member.select("bucket", F.col("rid").alias("a")).join(leader, "bucket").where("a != b")
+    met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.first("places").alias("places"))
+    met = met.groupBy("a").agg(F.max(F.struct("n", "places", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    left, right = sets.select(F.col("rid").alias("a"), F.col("set").alias("sa")), sets.select(F.col("rid").alias("b"), F.col("set").alias("sb"))
+    links = met.join(left, "a").join(right, "b").where(_similarity_udf("sa", "sb") >= threshold).select("a", "b")
+    links = written(links, "links")
+
+    # what that leaves open: buckets of several classes, gathered where they overlap
+    label = components(links).withColumnRenamed("node", "rid")
+    classed = member.select("bucket", "rid").join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+    mixed = classed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
+    open_ = written(classed.join(mixed, "bucket"), "open")
+    # buckets as negative nodes, apart from the texts' numbers
+    gathered = components(open_.select(F.col("rid").alias("a"), (-F.abs(F.shiftright("bucket", 1)) - 1).alias("b"))).where("node >= 0")
+    gathered = written(gathered.select(F.col("node").alias("rid"), F.col("label").alias("g")), "gathered")
+    shared_cells = gathered.count() // BLOCK + 1
+    # a group is one unit of comparison, unless its buckets one by one are less work (as in long chains of small buckets)
+    work = lambda n: F.sum(n * F.ceil(n / BLOCK))
+    placed = open_.select("bucket", "rid").join(gathered, "rid")
+    apart = placed.groupBy("g", "bucket").agg(F.count(F.lit(1)).alias("n")).groupBy("g").agg(work(F.col("n")).alias("apart"))
+    whole = gathered.groupBy("g").agg(F.count(F.lit(1)).alias("n")).groupBy("g").agg(work(F.col("n")).alias("whole"))
+    split = written(apart.join(whole, "g").select("g", (F.col("apart") < F.col("whole")).alias("split")), "split")
+    units = gathered.join(split.where("not split"), "g").select(F.xxhash64(F.lit("g"), "g").alias("g"), "rid")
+    units = units.unionByName(placed.join(split.where("split"), "g").select(F.xxhash64(F.lit("b"), "bucket").alias("g"), "rid"))
+    size = units.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    cells = units.join(size, "g").join(open_.select("rid", "label").distinct(), "rid")
+    cells = cells.withColumn("i", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    small = F.col("blocks") == 1  # small groups share tasks
+    cells = cells.select("g", "rid", "label", F.when(small, -1).otherwise(F.least("i", "j")).alias("lo"), F.greatest("i", "j").alias("hi"), F.when(F.col("i") == F.col("j"), 2).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side"), F.when(small, F.pmod(F.xxhash64("g"), F.lit(shared_cells))).otherwise(F.col("g")).alias("cell"))
+    cells = cells.join(sets, "rid").join(node.select("rid", "marks"), "rid")
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        marks = np.frombuffer(b"".join(part["marks"]), np.uint8).reshape(len(part), -1)
+        rid = part["rid"].to_numpy()
+        found = links_within(part["g"].to_numpy(), part["label"].to_numpy(), marks, part["set"].tolist(), part["side"].to_numpy(), threshold)
+        return pd.DataFrame({"a": [rid[i] for i, _ in found], "b": [rid[j] for _, j in found]}, dtype="int64")
+
+    more = written(cells.groupBy("cell", "lo", "hi").applyInPandas(compare, "a long, b long"), "links")
+    label = components(links.unionByName(more)).withColumnRenamed("node", "rid")
+
+    named = signs.select("id", "row_key", "key").join(texts, "key").join(label, "rid", "left")
     named = named.select("id", "row_key", F.coalesce("label", "rid").alias("label"))
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_key"))  # known ids first
     best = named.groupBy("label").agg(first.alias("m")).select("label", F.col("m.id").alias("class_id"), F.col("m.row_key").alias("best"))

@@ -1,0 +1,68 @@
+import sys
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers as P
+import tiktoken
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import corpus_pipeline as C  # noqa: E402
+from test_decontaminate import brute as contaminated  # noqa: E402
+from test_near_dedup import brute as classes  # noqa: E402
+from test_secret_scan import brute as secrets  # noqa: E402
+
+from basketlab.llm.byte_bpe import codec  # noqa: E402
+from basketlab.llm.common import table, written  # noqa: E402
+
+
+def test_every_stage_against_brute_force(spark):
+    d = "/root/testdata/sf0.001"
+    docs = table(spark, d, "documents")
+    columns, seen = docs.columns, {}
+    for name, stage in C.STAGES:
+        seen[name] = docs
+        docs = written(stage(spark, docs, d), name)
+        assert name == "tokens" or docs.columns == columns
+    seen["end"] = docs
+    rows = {k: {r.doc_id: r for r in v.collect()} for k, v in seen.items()}
+    text = lambda k: [(i, r.text) for i, r in sorted(rows[k].items())]
+
+    marked = {r.doc_id: r.quality for r in table(spark, d, "labels").collect()}
+    lost = rows["quality"].keys() - rows["near_duplicates"].keys()
+    long_enough = {i for i, t in text("quality") if len(t.split()) >= 20}
+    assert lost and not [i for i in lost & long_enough if marked.get(i) == 1]
+    assert set(rows["decontamination"]) == {c for _, c in classes(text("near_duplicates"))}
+    bench = [(r.item_id, r.text) for r in table(spark, d, "benchmark").collect()]
+    assert set(rows["secrets"]) == {i for i, _, n, _ in contaminated(text("decontamination"), bench) if n == 0}
+    assert set(rows["tokens"]) == set(rows["secrets"])
+    for i, r in rows["tokens"].items():
+        before = rows["secrets"][i].text
+        assert (r.text == before) == (not secrets(before)) and r.n_chars == len(r.text)
+    path = P.path("byte_bpe_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=codec(path, P.PATTERN).ranks, special_tokens={})
+    for i, r in rows["end"].items():
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        assert r.round_trip and r.n_tokens == len(ids) and ids == enc.encode_ordinary(rows["tokens"][i].text)
+
+
+def test_run_applies_the_stages_in_order(spark, monkeypatch):
+    d, calls = "/root/testdata/sf0.001", []
+    assert [n for n, _ in C.STAGES] == ["quality", "near_duplicates", "decontamination", "secrets", "tokens"]
+
+    def noted(name, stage):
+        return name, lambda s, docs, sf_dir: calls.append((name, docs.count(), sf_dir)) or stage(s, docs, sf_dir)
+
+    monkeypatch.setattr(C, "STAGES", [noted(n, f) for n, f in C.STAGES if n in ("quality", "secrets", "tokens")])
+    out = C.run(spark, d)
+    assert [n for n, _, _ in calls] == ["quality", "secrets", "tokens"] and {f for _, _, f in calls} == {d}
+    assert calls[0][1] > calls[1][1] == calls[2][1] == out.count()
+
+
+def test_stages_take_empty_tables(spark):
+    d = "/root/testdata/sf0.001"
+    docs = table(spark, d, "documents").limit(0)
+    for name, stage in C.STAGES:
+        docs = written(stage(spark, docs, d), name)
+        assert docs.count() == 0
