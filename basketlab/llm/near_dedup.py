@@ -316,8 +316,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     classed = member.select("bucket", "rid").join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
     mixed = classed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
     open_ = written(classed.join(mixed, "bucket"), "open")
-    # buckets as negative nodes, apart from the texts' numbers
-    gathered = components(open_.select(F.col("rid").alias("a"), (-F.abs(F.shiftright("bucket", 1)) - 1).alias("b"))).where("node >= 0")
+    # a bucket's texts are joined through its first one; most buckets of a group share theirs
+    head = open_.groupBy("bucket").agg(F.min("rid").alias("b"))
+    gathered = components(open_.select("bucket", F.col("rid").alias("a")).join(head, "bucket").select("a", "b").distinct())
     gathered = written(gathered.select(F.col("node").alias("rid"), F.col("label").alias("g")), "gathered")
     shared_cells = gathered.count() // BLOCK + 1
     # a group is one unit of comparison, unless its buckets one by one are less work (as in long chains of small buckets)
