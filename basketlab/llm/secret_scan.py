@@ -34,11 +34,30 @@ KINDS = ("assign", "access", "hex", "entropy")
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 WIDTH = 20
 UNIT = 1_000_000
-#: Least entropy in bits of a window, by the class of the whole candidate; classes with no entry are never secrets.
+_NAME = r"[A-Za-z_-]*(?:[0-9]{0,6}|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})"  # a step of a path: words, a short number or a UUID
+
+
+def _one_case(case: str, other: str) -> str:
+    """Strings with a stretch of whole parts (between + / _ -) in one letter case with digits, unless they are paths of names."""
+    run = f"[{case}0-9+/_-]"
+    inside = lambda c, rest: f"(?=[{rest}+/_-]*+[{c}][{case}0-9]*+(?![A-Za-z0-9]))"  # noqa: E731  a part that ends within the stretch holds one of c
+    stretch = f"(?:^|(?<=[{other}])[{case}0-9]*+){inside('0-9', case)}{inside(case, '0-9')}{run}{{20,}}(?![A-Za-z0-9])"
+    return rf"^(?=.*[0-9])(?=.*[{case}])(?=.*(?:^|/)(?!{_NAME}(?:/|$)))(?=.*?{stretch})"
+
+
+def _hex_part(letters: str) -> str:
+    return f"(?=[0-9{letters}]*[0-9])(?=[0-9{letters}]*[{letters}])[0-9{letters}]{{20,}}"
+
+
+#: Least entropy in bits of a window, by the first class that fits the candidate; candidates that fit none are never secrets.
+#: A candidate gets the bound of its most telling part, so nothing written beside a secret hides it.
 CLASSES = (
     ("hex", r"^(?=.*[0-9])(?=.*[a-fA-F])([0-9a-f]+|[0-9A-F]+)$", 2.9),
+    ("hex_part", rf"(?<![A-Za-z0-9])(?:{_hex_part('a-f')}|{_hex_part('A-F')})(?![A-Za-z0-9])", 2.9),
     ("upper_digit", r"^(?=.*[0-9])(?=.*[A-Z])[A-Z0-9]+$", 3.4),
     ("lower_digit", r"^(?=.*[0-9])(?=.*[a-z])[a-z0-9]+$", 3.4),
+    ("upper_part", _one_case("A-Z", "a-z"), 3.4),
+    ("lower_part", _one_case("a-z", "A-Z"), 3.4),
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_-]+$", 3.7),
 )
 #: Strings that are no secrets: UUIDs, paths of words, numbered names, documentation examples.
