@@ -1,13 +1,16 @@
 """License scan: a trained paragraph classifier, confirmed against templates.
 
-A paragraph is a line; long ones are read in overlapping windows of WINDOW
-words, so no text is cut. A window's hashed word uni- and bigrams go through a
+A paragraph is a line. Overlapping windows of WINDOW words run over each line
+and over the whole text's words, so no text is cut and a notice may be wrapped
+over any lines. A window's hashed word uni- and bigrams go through a
 multinomial logistic regression over licence families, ``unknown`` (licence
 wording of no known family) and ``none``. Its probabilities are calibrated by
-one temperature on examples held back from training, and a family below
-CERTAIN becomes ``unknown``. A prediction counts as confirmed only if the
-window holds enough of one of the family's templates (share of the template's
-word trigrams); an unconfirmed family is reported as ``unknown``.
+one temperature on examples held back from training. In and around a window
+that is not ``none``, every family is confirmed that has enough of one of its
+templates there (share of the template's word trigrams); of families whose
+templates resemble each other (KIN), the one that fits the same words best. A
+confirmed family is reported once for the line on which its notice begins; a
+window that meets no confirmed notice is reported as ``unknown``.
 
 Training is on the driver and bounded: variations of the templates, and at most
 ``MAX_NEGATIVES`` paragraphs of the corpus (chosen by hash) as ``none``.
@@ -114,8 +117,10 @@ PLAIN = [
     "version 2 0 of the plan came in 4 0 weeks",
 ]
 CLASSES = ("none", "unknown", *TEMPLATES)
+#: families whose notices differ in a word or two
+KIN = ({"gpl-3.0", "lgpl-3.0", "agpl-3.0"}, {"cc-by-4.0", "cc-by-sa-4.0", "cc-by-nc-4.0"})
 WINDOW, STRIDE = 48, 24
-CERTAIN, CONFIRMED = 0.6, 0.8
+CONFIRMED = 0.8
 VARIANTS, STEPS, MAX_NEGATIVES = 60, 100, 5000
 _U = np.uint64
 #: letters, digits and all bytes of other scripts are words; a line break stays, the rest is a space
@@ -190,21 +195,31 @@ class Classifier:
         out: list[tuple[int, list]] = []
         for part in _chunks([t or "" for t in texts]):
             doc, line, word = _paragraph_words(_raw(part))
-            new = np.ones(len(word), bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])
-            first = np.flatnonzero(new)
-            size = np.diff(np.append(first, len(word)))
-            group = np.repeat(np.arange(len(first)), size)
-            found = self._paragraphs(group, word, first, size)
+            edge = np.ones(len(word), bool)
+            edge[1:] = doc[1:] != doc[:-1]
+            new = edge.copy()
+            new[1:] |= line[1:] != line[:-1]
+            first, begin = np.flatnonzero(new), np.flatnonzero(edge)
             count = np.bincount(doc[first], minlength=len(part)) if len(first) else np.zeros(len(part), int)
+            lines, whole = self._flagged(word, first), self._flagged(word, begin)
             rows: list[list] = [[] for _ in part]
-            for k, hit in sorted(found.items()):
-                rows[doc[first[k]]].append((int(line[first[k]]), *hit))
+            if lines or whole:
+                ends = np.append(begin, len(word))
+                windows: dict[int, tuple[list, list]] = {}
+                for k, found in enumerate((lines, whole)):
+                    for w in found:
+                        windows.setdefault(int(doc[w[0]]), ([], []))[k].append(w)
+                notices = _Notices(self.templates, word, doc, line)
+                at = {int(doc[x]): k for k, x in enumerate(begin)}
+                for d, (of_lines, of_text) in windows.items():
+                    rows[d] = notices.hits(of_lines, of_text, int(ends[at[d]]), int(ends[at[d] + 1]))
             out += list(zip(count.tolist(), rows, strict=True))
         return out
 
-    def _paragraphs(self, group, word, first, size) -> dict[int, tuple[str, float, bool]]:
-        one, two = map(self.vocabulary, _grams(group, word))
+    def _flagged(self, word: np.ndarray, first: np.ndarray) -> list[tuple[int, int, float]]:
+        """(start, end, probability) of the windows with licence wording, within groups that start at ``first``."""
+        size = np.diff(np.append(first, len(word)))
+        one, two = map(self.vocabulary, _grams(np.repeat(np.arange(len(first)), size), word))
         sums = np.zeros((len(word) + 1, len(CLASSES)))
         np.cumsum(self.weights[one] + self.weights[two], axis=0, out=sums[1:])
         n = 1 + np.maximum(0, -(-(size - WINDOW) // STRIDE))
@@ -212,18 +227,93 @@ class Classifier:
         step = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
         start = first[owner] + step * STRIDE
         end = np.minimum(start + WINDOW, first[owner] + size[owner])
-        p = self.probabilities(sums[end] - sums[start])
-        found: dict[int, tuple[str, float, bool]] = {}
-        for w in np.flatnonzero(p[:, 0] < 0.5).tolist():
-            family = 1 + int(p[w, 1:].argmax())
-            have = _trigrams(word[start[w] : end[w]])
-            sure = family > 1 and p[w, family] >= CERTAIN and any(len(t & have) >= CONFIRMED * len(t) for t in self.templates[family])
-            hit = (CLASSES[family] if sure else "unknown", float(1 - p[w, 0]), bool(sure))
-            k = int(owner[w])
-            if k not in found or (hit[2], hit[1]) > (found[k][2], found[k][1]):
-                found[k] = hit
+        p = self.probabilities(sums[end] - sums[start])[:, 0]
+        return [(int(start[w]), int(end[w]), float(1 - p[w])) for w in np.flatnonzero(p < 0.5)]
+
+
+class _Notices:
+    """Where templates occur in a sequence of words, by their trigrams."""
+
+    def __init__(self, templates: dict[int, list[set[int]]], word: np.ndarray, doc: np.ndarray, line: np.ndarray):
+        self.line = line
+        self.family = [c for c, ts in templates.items() for _ in ts]
+        sets = [t for ts in templates.values() for t in ts]
+        known = np.array(sorted(set().union(*sets)), _U)
+        self.holds = np.array([np.isin(known, np.array(list(t), _U)) for t in sets])
+        self.size = self.holds.sum(axis=1)
+
+        def numbers(a, b, c):
+            h = mix(a * _U(5) + mix(b * _U(11) + c))
+            n = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            return np.where(known[n] == h, n, -1)
+
+        tri = numbers(word[:-2], word[1:-1], word[2:]) if len(word) > 2 else np.zeros(0, int)
+        tri[doc[: len(tri)] != doc[2:]] = -1
+        place = np.flatnonzero(tri >= 0)
+        number = tri[place]
+        self.place, self.number = place, number
+
+    def _confirmed(self, start: int, end: int) -> list[tuple[int, float, int, int, int]]:
+        """(family, share, trigrams, start, end) of the templates that occur within WINDOW words of [start, end)."""
+        a, b = np.searchsorted(self.place, [start, end - 2])
+        place, number = self.place[a:b], self.number[a:b]
+        found = []
+        for t in np.flatnonzero(self.holds[:, np.unique(number)].sum(axis=1) >= CONFIRMED * self.size) if len(number) else []:
+            mine = self.holds[t, number]
+            at, of = place[mine].tolist(), number[mine].tolist()
+            best = (0, 0, 0)
+            for i, x in enumerate(at):  # the tightest stretch with most of the template
+                seen: set[int] = set()
+                last = x
+                for y, n in zip(at[i:], of[i:], strict=True):
+                    if y > x + WINDOW - 3:
+                        break
+                    if n not in seen:
+                        seen.add(n)
+                        last = y
+                best = max(best, (len(seen), x, last + 3))
+            if best[0] >= CONFIRMED * self.size[t]:
+                found.append((self.family[t], best[0] / int(self.size[t]), *best))
         return found
 
+    def hits(self, of_lines: list, of_text: list, begin: int, end: int) -> list[tuple[int, str, float, bool]]:
+        """Licence paragraphs of the text [begin, end) with these flagged windows of its lines and of all its words."""
+        seen: dict[tuple, float] = {}
+        for a, b, p in of_lines + of_text:
+            for x in self._confirmed(max(begin, a - STRIDE), min(end, b + STRIDE)):
+                seen[x] = max(p, seen.get(x, 0.0))
+        kept: list[tuple[int, float, int, int, int]] = []
+        overlap = lambda x, a, b: x[3] < b and a < x[4]
+        near: dict[int, list] = {}  # kept notices by stretch of WINDOW words, so that only neighbours are compared
+        around = lambda a, b: [x for k in range(a // WINDOW - 2, b // WINDOW + 1) for x in near.get(k, [])]
+        for x in sorted(seen, key=lambda x: (-x[1], -x[2], -seen[x], x)):
+            kin = next((g for g in KIN if CLASSES[x[0]] in g), set())
+            for k in around(x[3], x[4]):
+                if overlap(k, x[3], x[4]) and (k[0] == x[0] or (CLASSES[k[0]] in kin and x[1] < 1)):
+                    break
+            else:
+                kept.append(x)
+                near.setdefault(x[3] // WINDOW, []).append(x)
+        out: dict[tuple[int, str], float] = {}
+        for x in kept:
+            key = (int(self.line[x[3]]), CLASSES[x[0]])
+            out[key] = max(seen[x], out.get(key, 0.0))
+        sure = set(out)
+        for a, b, p in of_lines:
+            if not any(overlap(x, a, b) for x in around(a, b)):
+                key = (int(self.line[a]), "unknown")
+                out[key] = max(p, out.get(key, 0.0))
+        told, last = sorted({k for k, _ in out}), begin
+        for a, b, p in of_text:  # wording that no line shows by itself
+            k = np.searchsorted(told, self.line[a])
+            if a >= last and not (k < len(told) and told[k] <= self.line[b - 1]) and not any(overlap(x, a, b) for x in around(a, b)):
+                out[(int(self.line[a]), "unknown")] = p
+                last = b
+        best: dict[int, tuple] = {}
+        for key, p in sorted(out.items()):
+            best[key[0]] = max(best.get(key[0], (False,)), (key in sure, p, key[1]))
+        return [(k, family, p, known) for k, (known, p, family) in sorted(best.items())]
+
 
 def _variants(rng: np.random.Generator, text: str, fillers: list[list[str]]) -> str:
     """A notice with a few words lost and up to a dozen plain words on either side."""

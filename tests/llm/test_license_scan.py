@@ -68,3 +68,15 @@ def test_training_sample_is_bounded_and_the_same_for_any_partitioning(spark):
     one = [r.id for r in bounded_sample(df.repartition(3), 100, "h").collect()]
     assert len(one) == 100 and one == [r.id for r in bounded_sample(df.repartition(7), 100, "h").collect()]
     assert bounded_sample(df.limit(7), 100, "h").count() == 7
+
+
+def test_wrapped_notices(model):
+    import textwrap
+
+    prose = "the old mill by the river was sold to a family from the next town who painted it white"
+    for family, templates in L.TEMPLATES.items():
+        for t in templates:
+            for width in (25, 60, 72, 80):
+                for mark in ("", "# ", " * ", "// "):
+                    text = f"{prose}\n\n" + "\n".join(mark + x for x in textwrap.wrap(t, width)) + f"\n\n{prose}"
+                    assert [(k, f, sure) for k, f, _, sure in model.scan([text])[0][1]] == [(2, family, True)], text
