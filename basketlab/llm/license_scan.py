@@ -191,7 +191,7 @@ class Classifier:
         return z / z.sum(axis=1, keepdims=True)
 
     def scan(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, str, float, bool]]]]:
-        """Of each text the number of paragraphs with words, and its licence paragraphs."""
+        """Of each text the number of paragraphs with words, and its licence paragraphs, one entry a family."""
         out: list[tuple[int, list]] = []
         for part in _chunks([t or "" for t in texts]):
             doc, line, word = _paragraph_words(_raw(part))
@@ -251,6 +251,24 @@ class _Notices:
         tri[doc[: len(tri)] != doc[2:]] = -1
         place = np.flatnonzero(tri >= 0)
         number = tri[place]
+        # an identifier after "or" / "and" of an SPDX expression is read as if the tag stood before it
+        spdx, licence, identifier, *joins = _paragraph_words(_raw(["spdx license identifier or and"]))[2]
+        more: list[tuple[int, int]] = []
+        for i in np.flatnonzero((word[:-2] == spdx) & (word[1:-1] == licence) & (word[2:] == identifier)).tolist() if len(word) > 2 else []:
+            j = i + 4
+            while j + 1 < len(word) and doc[j + 1] == doc[i] and line[j + 1] == line[i] and j < i + WINDOW:
+                if word[j] in joins:
+                    next_ = word[j + 1 : j + 3]
+                    more.append((j, int(numbers(licence[None], identifier[None], next_[:1])[0])))
+                    if len(next_) == 2:
+                        more.append((j, int(numbers(identifier[None], next_[:1], next_[1:])[0])))
+                j += 1
+        more = [m for m in more if m[1] >= 0]
+        if more:
+            place = np.concatenate([place, [m[0] for m in more]])
+            number = np.concatenate([number, [m[1] for m in more]])
+            order = np.argsort(place, kind="stable")
+            place, number = place[order], number[order]
         self.place, self.number = place, number
 
     def _confirmed(self, start: int, end: int) -> list[tuple[int, float, int, int, int]]:
@@ -261,19 +279,25 @@ class _Notices:
         for t in np.flatnonzero(self.holds[:, np.unique(number)].sum(axis=1) >= CONFIRMED * self.size) if len(number) else []:
             mine = self.holds[t, number]
             at, of = place[mine].tolist(), number[mine].tolist()
-            best = (0, 0, 0)
-            for i, x in enumerate(at):  # the tightest stretch with most of the template
-                seen: set[int] = set()
-                last = x
-                for y, n in zip(at[i:], of[i:], strict=True):
-                    if y > x + WINDOW - 3:
-                        break
-                    if n not in seen:
-                        seen.add(n)
-                        last = y
-                best = max(best, (len(seen), x, last + 3))
-            if best[0] >= CONFIRMED * self.size[t]:
-                found.append((self.family[t], best[0] / int(self.size[t]), *best))
+            open_ = [(0, len(at))]
+            while open_:  # the tightest stretch with most of the template, then what lies on either side of it
+                lo, hi = open_.pop()
+                best = (0, 0, 0)
+                for i in range(lo, hi):
+                    seen: set[int] = set()
+                    last = at[i]
+                    for y, n in zip(at[i:hi], of[i:hi], strict=True):
+                        if y > at[i] + WINDOW - 3:
+                            break
+                        if n not in seen:
+                            seen.add(n)
+                            last = y
+                    best = max(best, (len(seen), at[i], last + 3))
+                if best[0] >= CONFIRMED * self.size[t]:
+                    found.append((self.family[t], best[0] / int(self.size[t]), *best))
+                    left = [k for k in range(lo, hi) if at[k] < best[1]]
+                    right = [k for k in range(lo, hi) if at[k] >= best[2]]
+                    open_ += [(x[0], x[-1] + 1) for x in (left, right) if x]
         return found
 
     def hits(self, of_lines: list, of_text: list, begin: int, end: int) -> list[tuple[int, str, float, bool]]:
@@ -309,10 +333,7 @@ class _Notices:
             if a >= last and not (k < len(told) and told[k] <= self.line[b - 1]) and not any(overlap(x, a, b) for x in around(a, b)):
                 out[(int(self.line[a]), "unknown")] = p
                 last = b
-        best: dict[int, tuple] = {}
-        for key, p in sorted(out.items()):
-            best[key[0]] = max(best.get(key[0], (False,)), (key in sure, p, key[1]))
-        return [(k, family, p, known) for k, (known, p, family) in sorted(best.items())]
+        return [(*key, p, key in sure) for key, p in sorted(out.items())]
 
 
 def _variants(rng: np.random.Generator, text: str, fillers: list[list[str]]) -> str:

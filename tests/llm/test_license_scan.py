@@ -80,3 +80,18 @@ def test_wrapped_notices(model):
                 for mark in ("", "# ", " * ", "// "):
                     text = f"{prose}\n\n" + "\n".join(mark + x for x in textwrap.wrap(t, width)) + f"\n\n{prose}"
                     assert [(k, f, sure) for k, f, _, sure in model.scan([text])[0][1]] == [(2, family, True)], text
+
+
+def test_every_family_of_a_line(model):
+    def families(text):
+        return [(k, f) for k, f, _, sure in model.scan([text])[0][1] if sure]
+
+    assert families("SPDX-License-Identifier: MIT OR Apache-2.0") == [(0, "apache-2.0"), (0, "mit")]
+    assert families("# SPDX-License-Identifier: (GPL-3.0-only OR BSD-3-Clause) AND MPL-2.0") == [(0, "bsd"), (0, "gpl-3.0"), (0, "mpl-2.0")]
+    assert families("Licensed under the MIT license or the Apache License, Version 2.0") == [(0, "apache-2.0"), (0, "mit")]
+    ends = L.TEMPLATES["mit"][1] + " word" * 6000 + " " + L.TEMPLATES["gpl-3.0"][1]
+    assert families(ends) == [(0, "gpl-3.0"), (0, "mit")]
+    assert families("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License") == [(0, "cc-by-sa-4.0")]
+    assert families(L.TEMPLATES["gpl-3.0"][1].replace("program", "library").replace("GNU General", "GNU Lesser General")) == [(0, "lgpl-3.0")]
+    many = "\n".join([L.TEMPLATES["mit"][0], "plain words of no import", L.TEMPLATES["mit"][0], L.TEMPLATES["bsd"][0]])
+    assert families(many) == [(0, "mit"), (2, "mit"), (3, "bsd")]
