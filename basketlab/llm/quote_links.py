@@ -4,8 +4,8 @@ Lines of a message start with ``>`` marks, one for each level of quoting.
 Neighbouring quoted lines of one level are a passage. Passages are normalised
 (letters and digits, lower case), hashed and joined to the hashes of what
 messages say themselves: the whole message with its own quotes, its own text,
-its paragraphs; passages that find nothing so are tried by their paragraphs and
-longer lines. Of several originals with one hash the last
+its paragraphs; passages of any level that find nothing so are tried by their
+paragraphs, longer lines and runs of short neighbouring lines. Of several originals with one hash the last
 one before the reply counts. The reply's parent is the message whose whole text
 it quotes or, failing that, the one that explains most of its first-level
 quotes. Following parents to the top gives conversations; a message keeps its
@@ -87,8 +87,32 @@ def _keys(texts: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(F.transform(texts, normal), lambda x: x != ""), lambda x: F.xxhash64(x)))
 
 
-def _long(lines: Column) -> Column:
-    return F.filter(lines, lambda x: F.size(F.split(normal(x), " ")) >= LINE_WORDS)
+def _runs(lines: Column) -> Column:
+    """From every line with words: the shortest run of lines with LINE_WORDS words, and the line pair if it has fewer.
+
+    Array of (text, weight), the text normalised, the weight that of the first line: runs that overlap count each line once.
+    """
+
+    def of(a: Column) -> Column:
+        def at(x: Column, i: Column) -> Column:
+            text = lambda k: F.array_join(F.slice(a, i + 1, k), " ")
+            enough = lambda k: F.size(F.split(text(k), " ")) >= LINE_WORDS
+            least = F.lit(None).cast("string")
+            for k in range(LINE_WORDS, 0, -1):
+                least = F.when(enough(k), text(k)).otherwise(least)
+            pair = F.when((i + 1 < F.size(a)) & ~enough(2), text(2))
+            return F.transform(F.array(least, pair), lambda t: F.struct(t.alias("text"), F.char_length(x).alias("weight")))
+
+        return F.filter(F.flatten(F.transform(a, at)), lambda t: t["text"].isNotNull())
+
+    return let(F.filter(F.transform(lines, normal), lambda x: x != ""), of)
+
+
+def _parts(lines: Column) -> Column:
+    """Distinct (h, weight) of the paragraphs and runs of lines."""
+    whole = F.transform(F.transform(_paragraphs(lines), normal), lambda t: F.struct(t.alias("text"), F.char_length(t).alias("weight")))
+    every = F.filter(F.concat(whole, _runs(lines)), lambda x: x["text"] != "")
+    return F.array_distinct(F.transform(every, lambda x: F.struct(F.xxhash64(x["text"]).alias("h"), x["weight"].alias("weight"))))
 
 
 def _paragraphs(lines: Column) -> Column:
@@ -139,12 +163,10 @@ def link(messages: DataFrame, id_col: str = "id", time_col: str = "time", text_c
     none = F.array().cast("array<string>")
 
     def asks(p: Column) -> Column:
-        """A passage's hash and weight, and for the first level those of its parts."""
-        lines = F.split(p["body"], "\n")
-        parts = F.when(p["level"] == 1, F.concat(_paragraphs(lines), _long(lines))).otherwise(none)
-        parts = F.array_distinct(F.filter(F.transform(parts, normal), lambda x: x != ""))
+        """A passage's hash and weight, and those of its parts."""
+        parts = _parts(F.split(p["body"], "\n"))
         weigh = lambda t: F.struct(F.xxhash64(t).alias("h"), F.char_length(t).alias("weight"))
-        return let(normal(p["body"]), lambda t: F.struct(p["level"].alias("level"), weigh(t).alias("all"), F.transform(parts, weigh).alias("parts"), (t != "").alias("any")))
+        return let(normal(p["body"]), lambda t: F.struct(p["level"].alias("level"), weigh(t).alias("all"), parts.alias("parts"), (t != "").alias("any")))
 
     m = m.select(
         "_key",
@@ -154,7 +176,7 @@ def link(messages: DataFrame, id_col: str = "id", time_col: str = "time", text_c
         F.trim(F.regexp_replace(whole, r"^\n+|\n+$", "")).alias("said"),
         F.transform(passages(F.col("lines")), asks).alias("asks"),
         _keys(F.concat(F.when(F.trim(whole) != "", full(whole, quoted)).otherwise(none), F.array(whole), _paragraphs(F.col("own")))).alias("says"),
-        _keys(F.concat(_paragraphs(F.col("own")), _long(F.col("own")))).alias("parts"),
+        F.array_distinct(F.transform(_parts(F.col("own")), lambda x: x["h"])).alias("parts"),
         F.when(F.size(quoted) > 0, F.get(_keys(full(first, inner)), F.lit(0))).alias("full"),
     )
     m = written(m.withColumn("key", F.monotonically_increasing_id()), "messages")
@@ -164,8 +186,8 @@ def link(messages: DataFrame, id_col: str = "id", time_col: str = "time", text_c
     ask = each.where("a.any").select("a.all.h", "ord", "reply", "no", F.col("a.level").alias("level"), "a.all.weight")
     ask = ask.unionByName(m.where("full is not null").select(F.col("full").alias("h"), "ord", F.col("key").alias("reply"), F.lit(-1).alias("no"), F.lit(0).alias("level"), F.lit(0).alias("weight")))
     found = written(last_before(ask, said("says")), "quotes")
-    rest = each.where("a.level = 1").join(found.select("reply", "no"), ["reply", "no"], "left_anti")
-    rest = written(rest.select("reply", "no", "ord", F.lit(1).alias("level"), F.inline("a.parts")), "rest")
+    rest = each.join(found.select("reply", "no"), ["reply", "no"], "left_anti")
+    rest = written(rest.select("reply", "no", "ord", F.col("a.level").alias("level"), F.inline("a.parts")), "rest")
     found = found.unionByName(written(last_before(rest, said("parts"), few=True), "quotes"))
 
     votes = found.where("level <= 1").groupBy("reply", "found").agg(F.max(F.col("level") == 0).alias("whole"), F.sum("weight").alias("weight"))

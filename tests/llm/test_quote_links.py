@@ -74,3 +74,25 @@ def test_query_finds_every_parent(spark):
 
 def test_empty(make):
     assert Q.link(make([], SCHEMA)).count() == 0
+
+
+def test_trimmed_quotes(make):
+    mail = [
+        ("a", 1, "Dear all\n\neggs\nmilk\nred wine\nbread\nthen we cook\n\nthe meeting is on friday at noon\nbring your own cups please"),
+        ("b", 2, "fine\n> the meeting is on friday at noon"),
+        ("c", 3, "yes\n> fine\n> > bring your own cups please"),  # trimmed anew at level 2
+        ("d", 4, "ok\n> milk\n> red wine\n> bread"),  # short lines out of a paragraph
+        ("e", 5, "sure\n> eggs\n> milk"),  # two words
+        ("f", 6, "agreed\n> sure\n> > > red wine\n> > > bread"),
+        ("g", 7, "no\n> milk\n> bread"),  # not neighbours
+    ]
+    got = {k[0]: v[:5] for k, v in rows(Q.link(make(mail, SCHEMA))).items()}
+    assert got == {
+        "a": (None, "a", 0, 0, 0),
+        "b": ("a", "a", 1, 1, 1),
+        "c": ("b", "a", 2, 2, 2),
+        "d": ("a", "a", 1, 1, 1),
+        "e": ("a", "a", 1, 1, 1),
+        "f": ("e", "a", 2, 2, 2),
+        "g": (None, "g", 0, 1, 0),
+    }
