@@ -215,16 +215,26 @@ def link(messages: DataFrame, id_col: str = "id", time_col: str = "time", text_c
 def as_mail(conversations: DataFrame) -> DataFrame:
     """Conversation turns as mail: every turn quotes the turn before it, which quotes the one before that.
 
-    The prior turn is joined by (conversation, turn), so a conversation of any length stays spread out.
+    A hash of (conversation, turn) says of each level whether it is quoted whole or trimmed to one line or two
+    neighbouring ones. The prior turn is joined by (conversation, turn), so a conversation of any length stays spread out.
     """
     c = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     said = c.groupBy("conv_id", "turn").agg(F.min(F.struct("text", "role")).alias("m"))
     before = lambda k: said.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("m.text").alias(f"t{k}"), F.col("m.role").alias(f"r{k}"))
     both = c.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+
+    def trimmed(text: Column, level: int) -> Column:
+        pick = F.xxhash64("conv_id", "turn", F.lit(level))
+        start = F.pmod(F.shiftright(pick, 8), F.lit(2**31))
+        some = lambda lines: F.slice(lines, (start % F.size(lines) + 1).cast("int"), F.pmod(pick, F.lit(3)).cast("int"))
+        # without lines that identify anything, or by choice, all of it
+        part = let(F.split(text, "\n"), lambda a: let(F.array_join(some(a), "\n"), lambda t: F.when(F.size(F.split(normal(t), " ")) >= LINE_WORDS, t)))
+        return F.coalesce(part, text)
+
     quote = lambda text, mark: F.concat(F.lit(mark), F.replace(text, F.lit("\n"), F.lit("\n" + mark)))
     wrote = lambda role: F.concat(F.lit("On Monday "), role, F.lit(" wrote:"))
-    one = F.when(F.col("t1").isNotNull(), F.concat(F.lit("\n\n"), wrote(F.col("r1")), F.lit("\n"), quote(F.col("t1"), "> ")))
-    two = F.when(F.col("t1").isNotNull() & F.col("t2").isNotNull(), F.concat(F.lit("\n> "), wrote(F.col("r2")), F.lit("\n"), quote(F.col("t2"), "> > ")))
+    one = F.when(F.col("t1").isNotNull(), F.concat(F.lit("\n\n"), wrote(F.col("r1")), F.lit("\n"), quote(trimmed(F.col("t1"), 1), "> ")))
+    two = F.when(F.col("t1").isNotNull() & F.col("t2").isNotNull(), F.concat(F.lit("\n> "), wrote(F.col("r2")), F.lit("\n"), quote(trimmed(F.col("t2"), 2), "> > ")))
     text = F.concat(F.col("text"), F.coalesce(one, F.lit("")), F.coalesce(two, F.lit("")))
     return both.select(F.concat_ws("/", "conv_id", "turn").alias("id"), (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("time"), text.alias("text"))
 

@@ -96,3 +96,21 @@ def test_trimmed_quotes(make):
         "f": ("e", "a", 2, 2, 2),
         "g": (None, "g", 0, 1, 0),
     }
+
+
+def test_the_mail_holds_trimmed_quotes(spark):
+    turns = [r for r in spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").collect()]
+    said = {f"{r.conv_id}/{r.turn}": r.text for r in turns}
+    mail = Q.as_mail(spark.createDataFrame(turns))
+    short = {1: 0, 2: 0}
+    for r in mail.collect():
+        conv, turn = r.id.split("/")
+        for level, mark in ((1, "> "), (2, "> > ")):
+            lines = [x[len(mark) :] for x in r.text[len(said[r.id]) :].split("\n") if x.startswith(mark) and not x.startswith(mark + "> ") and not x.endswith(" wrote:")]
+            if lines:
+                whole = said[f"{conv}/{int(turn) - level}"]
+                assert "\n".join(lines) in whole
+                short[level] += "\n".join(lines) != whole
+    assert min(short.values()) > 3
+    out = Q.link(mail).collect()
+    assert all(r.n_linked == r.n_quotes for r in out) and sum(r.n_quotes for r in out) > 20
