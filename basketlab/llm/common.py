@@ -66,12 +66,16 @@ def count_of(text: Column, characters: str) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
 
 
-def bounded_sample(df: DataFrame, most: int, *order: str) -> DataFrame:
+def bounded_sample(df: DataFrame, most: int, *order: str, distinct: bool = False) -> DataFrame:
     """At most ``most`` rows of ``df``, chosen by the hash in ``order[0]``: the same rows for any partitioning.
 
     A count comes first; of a larger table only about ``2 * most`` rows, by the
     hash alone, take part in the ordering, so what is gathered does not grow.
+    ``distinct``: rows of one hash are copies and count as one (else they pass or go together).
     """
-    step = df.count() // (2 * most)
-    thin = df.where(F.pmod(F.col(order[0]), F.lit(step)) == 0) if step > 1 else df
+    h = order[0]
+    step = (df.select(h).distinct() if distinct else df).count() // (2 * most)
+    thin = df.where(F.pmod(F.col(h), F.lit(step)) == 0) if step > 1 else df
+    if distinct:
+        thin = thin.groupBy(h).agg(*[F.min(c).alias(c) for c in df.columns if c != h])
     return thin.orderBy(*order).limit(most)

@@ -401,10 +401,10 @@ def _negative_log(model: Classifier, z: np.ndarray, y: np.ndarray, temperature:
 
 
 def sample_paragraphs(docs: DataFrame, text_col: str = "text", most: int = MAX_NEGATIVES) -> list[str]:
-    """At most ``most`` paragraphs of the corpus, by hash (their first WINDOW words, for training only)."""
+    """At most ``most`` distinct paragraphs of the corpus, by hash (their first WINDOW words, for training only)."""
     lines = docs.select(F.explode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("p")).where(F.length(F.trim("p")) > 0)
     lines = lines.select(F.xxhash64("p").alias("h"), F.substring_index("p", " ", WINDOW).alias("p"))
-    return [r.p for r in bounded_sample(lines, most, "h", "p").collect()]
+    return [r.p for r in bounded_sample(lines, most, "h", "p", distinct=True).collect()]
 
 
 def scan(docs: DataFrame, model: Classifier, text_col: str = "text") -> DataFrame:

@@ -95,3 +95,9 @@ def test_every_family_of_a_line(model):
     assert families(L.TEMPLATES["gpl-3.0"][1].replace("program", "library").replace("GNU General", "GNU Lesser General")) == [(0, "lgpl-3.0")]
     many = "\n".join([L.TEMPLATES["mit"][0], "plain words of no import", L.TEMPLATES["mit"][0], L.TEMPLATES["bsd"][0]])
     assert families(many) == [(0, "mit"), (2, "mit"), (3, "bsd")]
+
+
+def test_copies_of_a_paragraph_count_once_in_the_sample(make):
+    df = make([(i, f"line number {i % 400} of the text") for i in range(4000)])
+    got = L.sample_paragraphs(df, most=50)
+    assert len(got) == len(set(got)) == 50
