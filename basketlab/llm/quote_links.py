@@ -12,7 +12,7 @@ quotes. Following parents to the top gives conversations; a message keeps its
 text without quotes and the lines that introduce them.
 
 The "last one before" is found without gathering a hash in one task: time is
-cut into slices, the search runs within (hash, slice), and where a slice has no
+cut into slices of about as many messages each, the search runs within (hash, slice), and where a slice has no
 earlier original the last one of the slices before counts. Conversations are
 rows with root, parent and depth, so a thread of any size is never gathered.
 
@@ -119,20 +119,38 @@ def _paragraphs(lines: Column) -> Column:
     return F.split(F.array_join(F.transform(lines, F.trim), "\n"), "\n\n+")
 
 
-def last_before(quotes: DataFrame, originals: DataFrame, few: bool = False) -> DataFrame:
+def cuts(times: DataFrame) -> list[int]:
+    """Least to greatest, the times (``ord``) that part the rows into SLICES of about one size; null times aside."""
+    shares = [k / SLICES for k in range(1, SLICES)]
+    found = times.where(F.col("ord") != _NEVER).agg(F.percentile_approx("ord", shares, 10 * SLICES).alias("c")).first()["c"]
+    return sorted(set(found or []))
+
+
+def slice_of(time: Column, at: list[int]) -> Column:
+    """How many cuts lie before ``time``, by binary search; -1 for null times."""
+    if not at:
+        return F.when(time == _NEVER, F.lit(-1)).otherwise(F.lit(0)).cast("long")
+    table_ = F.split(F.lit(",".join(map(str, at))), ",").cast("array<bigint>")
+    steps = F.lit([2**k for k in reversed(range(len(at).bit_length()))])
+    beyond = lambda t, i: F.coalesce(F.get(t, i - 1) < time, F.lit(False))
+    place = let(table_, lambda t: F.aggregate(steps, F.lit(0), lambda i, k: F.when(beyond(t, i + k), i + k).otherwise(i)))
+    return F.when(time == _NEVER, F.lit(-1)).otherwise(place).cast("long")
+
+
+def last_before(quotes: DataFrame, originals: DataFrame, few: bool = False, at: list[int] | None = None) -> DataFrame:
     """``quotes`` (h, ord, ...) that have an original (h, ord, tie, key) of the same hash before them, with its ``found`` key.
 
     ``few``: the quotes are few beside the originals, which are first reduced to their hashes.
+    ``at``: cuts of time (default: those of the rows given).
     """
+    quotes = quotes.where(F.col("ord") != _NEVER)  # nothing is before a null time
     if few:
         originals = originals.join(quotes.select("h").distinct(), "h", "left_semi")
-    span = quotes.agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).first()
-    lo, width = span["lo"] or 0, max(1, ((span["hi"] or 0) - (span["lo"] or 0)) // SLICES + 1)
-    slice_ = F.greatest(F.floor((F.col("ord") - lo) / width).cast("long"), F.lit(-1))  # all older ones are one slice
+    slice_ = slice_of(F.col("ord"), cuts(quotes.select("ord").unionByName(originals.select("ord"))) if at is None else at)
     q = quotes.withColumn("slice", slice_)
     o = originals.select("h", slice_.alias("slice"), "ord", F.struct("ord", "tie", "key").alias("o"))
     rows = q.select("h", "slice", "ord", F.struct(*quotes.columns).alias("q"), F.lit(None).cast(o.schema["o"].dataType).alias("o"))
-    rows = rows.unionByName(o.withColumn("q", F.lit(None).cast(rows.schema["q"].dataType)))
+    rows = rows.unionByName(o.where("slice >= 0").withColumn("q", F.lit(None).cast(rows.schema["q"].dataType)))
     earlier = F.max("o").over(Window.partitionBy("h", "slice").orderBy("ord").rangeBetween(Window.unboundedPreceding, -1))
     near = written(rows.withColumn("near", earlier["key"]).where("q is not null").select("q.*", "slice", "near"), "near")
     found = near.where("near is not null").select(*quotes.columns, F.col("near").alias("found"))
@@ -181,14 +199,15 @@ def link(messages: DataFrame, id_col: str = "id", time_col: str = "time", text_c
     )
     m = written(m.withColumn("key", F.monotonically_increasing_id()), "messages")
 
+    at = cuts(m.select("ord"))
     said = lambda column: m.select(F.explode(column).alias("h"), "ord", "tie", "key")
     each = m.select(F.col("key").alias("reply"), "ord", F.posexplode("asks").alias("no", "a"))
     ask = each.where("a.any").select("a.all.h", "ord", "reply", "no", F.col("a.level").alias("level"), "a.all.weight")
     ask = ask.unionByName(m.where("full is not null").select(F.col("full").alias("h"), "ord", F.col("key").alias("reply"), F.lit(-1).alias("no"), F.lit(0).alias("level"), F.lit(0).alias("weight")))
-    found = written(last_before(ask, said("says")), "quotes")
+    found = written(last_before(ask, said("says"), at=at), "quotes")
     rest = each.join(found.select("reply", "no"), ["reply", "no"], "left_anti")
     rest = written(rest.select("reply", "no", "ord", F.col("a.level").alias("level"), F.inline("a.parts")), "rest")
-    found = found.unionByName(written(last_before(rest, said("parts"), few=True), "quotes"))
+    found = found.unionByName(written(last_before(rest, said("parts"), few=True, at=at), "quotes"))
 
     votes = found.where("level <= 1").groupBy("reply", "found").agg(F.max(F.col("level") == 0).alias("whole"), F.sum("weight").alias("weight"))
     times = m.select(F.col("key").alias("found"), F.col("ord").alias("at"), "tie")

@@ -114,3 +114,18 @@ def test_the_mail_holds_trimmed_quotes(spark):
     assert min(short.values()) > 3
     out = Q.link(mail).collect()
     assert all(r.n_linked == r.n_quotes for r in out) and sum(r.n_quotes for r in out) > 20
+
+
+def test_slices_hold_about_as_many_rows_whatever_the_times(spark, monkeypatch):
+    monkeypatch.setattr(Q, "SLICES", 10)
+    times = [*range(1000), 10**15, -(10**15), *[Q._NEVER] * 50]
+    df = spark.createDataFrame([(t,) for t in times], "ord long").repartition(3)
+    dealt = {}
+    for r in df.withColumn("s", Q.slice_of(Q.F.col("ord"), Q.cuts(df))).collect():
+        dealt.setdefault(r.s, []).append(r.ord)
+    assert len(dealt) == 11 and set(dealt.pop(-1)) == {Q._NEVER} and max(map(len, dealt.values())) <= 150
+    assert all(max(dealt[k]) < min(dealt[k + 1]) for k in range(9))
+    quotes = spark.createDataFrame([(1, t, t) for t in times[::7]], "h long, ord long, n long")
+    originals = spark.createDataFrame([(1, t, 0, t) for t in times[::3]], "h long, ord long, tie long, key long")
+    got = sorted((r.n, r.found) for r in Q.last_before(quotes, originals).collect())
+    assert got == sorted((t, max(x for x in times[::3] if x < t)) for t in times[::7] if any(x < t for x in times[::3]))
