@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from basketlab.llm import files
 from basketlab.llm.common import new_folder, table, written
 
+ENTRIES = 200_000  # index entries that a task holds at a time: of an archive, and about as many of a range
 LEAST_BYTES = 0  # payloads from this size on are stored once
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ENTRY = "url_key string, captured string, page_id long, archive string, offset long, length long, record_type string"
@@ -151,22 +152,31 @@ def with_roles(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
 
 
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
-    """Writes (page_id, url, payload, captured, refers_to) rows; returns the runs: each task's
-    entries in order, with ``run`` and ``place``."""
+    """Writes (page_id, url, payload, captured, refers_to) rows; returns the runs: each archive's
+    entries in order, with ``place``. A task starts a new archive after ENTRIES records."""
+    most = ENTRIES
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, out, at, entries = files.own_name("archive") + ".warc.gz", None, 0, []
+        name, out, at, entries = None, None, 0, []
         for b in batches:
             for page, url, payload, captured, refers in zip(b["page_id"], b["url"], b["payload"], b["captured"], b["refers_to"], strict=True):
-                out = out or files.open_out(folder, name)
+                if out is None:
+                    name, at = files.own_name("archive") + ".warc.gz", 0
+                    out = files.open_out(folder, name)
                 page, refers = (None if pd.isna(x) else int(x) for x in (page, refers))
                 member = gzip_member(build_record(page, url, payload, captured, refers))
                 out.write(member)
                 entries.append((url_key(url), captured, -1 if page is None else page, page is None, at, len(member), "response" if refers is None else "revisit"))
                 at += len(member)
-        if out is None:
-            return
-        out.close()
+                if len(entries) == most:
+                    out.close()
+                    yield from run(name, entries)
+                    out, entries = None, []
+        if out is not None:
+            out.close()
+            yield from run(name, entries)
+
+    def run(name: str, entries: list[tuple]) -> Iterator[pd.DataFrame]:
         entries.sort()
         for k in range(0, len(entries), 10_000):
             key, captured, page, missing, offset, length, kind = zip(*entries[k : k + 10_000], strict=True)
@@ -177,9 +187,14 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
 
 
 def merge_index(runs: DataFrame) -> DataFrame:
-    """The runs' entries in global order of (url_key, captured, page_id); rows of one file, and files, in order."""
+    """The runs' entries in global order of (url_key, captured, page_id); rows of one file, and files, in order.
+
+    A task holds one range; more than ENTRIES entries a shuffle partition make more ranges.
+    """
     order = ("url_key", "captured", F.col("page_id").asc_nulls_first())
-    dealt = runs.repartitionByRange(*order).sortWithinPartitions("archive", "place")
+    ranges = -(-runs.count() // ENTRIES)
+    usual = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (runs.repartitionByRange(ranges, *order) if ranges > usual else runs.repartitionByRange(*order)).sortWithinPartitions("archive", "place")
     names = ("url_key", "captured", "page_id", "archive", "offset", "length", "record_type")
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -67,3 +67,18 @@ def test_small_payloads_may_stay_responses(make):
 def test_empty(spark, make):
     index, folder = write(spark, make([], SCHEMA))
     assert W.read_archives(index, folder).count() == 0
+
+
+def test_a_task_holds_a_bounded_number_of_entries(spark, make, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(W, "ENTRIES", 20)
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = [(i, f"http://h{i % 7}.example/{i}", f"page {i}") for i in range(40 * (usual + 1))]
+    index, folder = write(spark, make(rows, SCHEMA))
+    ranges = [r["count"] for r in index.groupBy(F.input_file_name()).count().collect()]
+    archives = [r["count"] for r in index.groupBy("archive").count().collect()]
+    assert max(archives) <= 20 and max(ranges) <= 60 and sum(ranges) == len(rows)
+    keys = [(r.url_key, r.captured, r.page_id) for r in index.collect()]
+    assert sorted(keys) == sorted((W.url_key(u), k[1], p) for (p, u, _), k in zip(rows, sorted(keys, key=lambda k: k[2]), strict=True))
+    assert sorted(tuple(r)[:5] for r in W.read_archives(index, folder).collect()) == sorted(brute(rows))
