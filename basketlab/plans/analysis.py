@@ -82,7 +82,9 @@ class Analysis:
 
     @cached_property
     def peers(self) -> DataFrame:
-        return B.peers_of_half(self.corr_half, self.config.corr_lo, self.config.corr_hi)
+        c = self.config
+        half = S.correlation_half_in_range(self.returns, c.corr_lo, c.corr_hi, c.corr_decimals, c.return_decimals)
+        return self._keep(B.peers_of_half(half, c.corr_lo, c.corr_hi), "peers")
 
     @cached_property
     def baskets(self) -> DataFrame:
@@ -107,6 +109,11 @@ class Analysis:
     def cov(self) -> DataFrame:
         return S.covariance(self.returns, self.config.return_decimals, self.members)
 
+    @cached_property
+    def basket_cov(self) -> DataFrame:
+        """Covariances of the pairs that share a basket, ``symbol_a <= symbol_b``."""
+        return S.pair_covariance(self.returns, W.basket_pairs(self.baskets), self.config.return_decimals)
+
     @cached_property
     def betas(self) -> DataFrame:
         return self.member_stats.select("symbol", "beta")
@@ -123,7 +130,7 @@ class Analysis:
     @cached_property
     def optimal_weights(self) -> DataFrame:
         c = self.config
-        return W.min_variance_weights(self.baskets, self.cov, c.weight_decimals)
+        return W.min_variance_weights(self.baskets, self.basket_cov, c.weight_decimals)
 
     @cached_property
     def weights(self) -> DataFrame:

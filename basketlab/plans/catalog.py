@@ -30,6 +30,11 @@ from basketlab.session import checkpoint_dir, materialize
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 
+# Daily prices of the six part types: a long history with few tickers.
+DAY = {"symbol": "type", "period": "day"}
+DAY_CONFIG = PipelineConfig(corr_lo=-0.03, corr_hi=0.99, min_size=2)
+
+
 def analysis(
     spark: SparkSession,
     sf_dir: str,
@@ -83,6 +88,19 @@ def q_dropped_dates(spark: SparkSession, sf_dir: str, period: str = "quarter") -
     return P.dropped_dates(a.panel, a.index, a.returns)
 
 
+def q_covariance_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketlab.operators.stats import covariance
+
+    cov = covariance(analysis(spark, sf_dir, period="week").returns)
+    return cov.withColumn("cov", F.round("cov", 9))
+
+
+def q_member_stats_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketlab.operators.stats import member_stats
+
+    return member_stats(analysis(spark, sf_dir, **DAY).returns)
+
+
 def q_member_stats_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and beta of every ticker on weekly data, where dates drop out and prices are missing."""
     from basketlab.operators.stats import member_stats
@@ -274,6 +292,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dropped_dates_week": lambda spark, sf_dir: q_dropped_dates(spark, sf_dir, "week"),
     "correlation_matrix_week": _stage("corr", period="week"),
     "member_stats_week": q_member_stats_week,
+    "covariance_week": q_covariance_week,
+    "basket_covariance": _stage("basket_cov"),
+    "correlation_matrix_day": _stage("corr", **DAY),
+    "baskets_day": _stage("baskets", config=DAY_CONFIG, **DAY),
+    "member_stats_day": q_member_stats_day,
+    "optimal_summary_day": _stage("summary", optimal=True, config=DAY_CONFIG, **DAY),
     "index_series_dirty": q_index_series_dirty,
     "json_round_trip": q_json_round_trip,
     "csv_round_trip": q_csv_round_trip,
@@ -308,13 +332,14 @@ def _ret(cur: str, prev: str) -> str:
     return f"CASE WHEN {prev} = 0 THEN NULL ELSE coalesce({cur} - {prev}, 0.0::DOUBLE) / {prev} END"
 
 
-def _base_ctes(cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter") -> dict[str, str]:
+def _base_ctes(cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter", ticker: str = "p_brand", plain: bool = False) -> dict[str, str]:
+    """``plain``: correlation, covariance, mean and slope by DuckDB's own aggregates instead of exact sums."""
     rd = cfg.return_decimals
     ru = f"{10.0 ** rd!r}::DOUBLE"
     lo, hi = cfg.corr_lo, cfg.corr_hi
     c: dict[str, str] = {}
     c["trades"] = f"""
-      SELECT CAST(date_trunc('{period}', l_shipdate) AS DATE) AS date, p_brand AS symbol,
+      SELECT CAST(date_trunc('{period}', l_shipdate) AS DATE) AS date, {ticker} AS symbol,
              CAST(round(l_extendedprice * 100.0::DOUBLE) AS BIGINT) AS e_cents,
              CAST(round(l_quantity * 100.0::DOUBLE) AS BIGINT) AS q_cents
       FROM lineitem JOIN part ON l_partkey = p_partkey"""
@@ -357,6 +382,9 @@ def _base_ctes(cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter") -> di
       SELECT symbol_a, symbol_b,
              {_sround(f"CASE WHEN {den} > 0 THEN CAST(cov_num AS DOUBLE) / {den} END", cfg.corr_decimals)} AS corr
       FROM pm"""
+    pairs = "FROM returns a JOIN returns b ON a.date = b.date AND a.symbol <= b.symbol GROUP BY a.symbol, b.symbol"
+    if plain:
+        c["corr_half"] = f"SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, {_sround('corr(a.ret, b.ret)', cfg.corr_decimals)} AS corr {pairs}"
     c["corr"] = """
       SELECT symbol_a, symbol_b, corr FROM corr_half
       UNION ALL SELECT symbol_b AS symbol_a, symbol_a AS symbol_b, corr FROM corr_half WHERE symbol_a <> symbol_b"""
@@ -382,12 +410,16 @@ def _base_ctes(cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter") -> di
     c["means_all"] = f"""
       SELECT symbol, CAST({_half_up_div('sx', 'n')} AS DOUBLE) / {10.0 ** md!r}::DOUBLE AS mean
       FROM (SELECT symbol, sum(CAST(x AS HUGEINT)) AS sx, CAST(count(x) AS HUGEINT) AS n FROM ru GROUP BY symbol)"""
+    if plain:
+        c["means_all"] = f"SELECT symbol, {_sround('avg(ret)', md)} AS mean FROM returns GROUP BY symbol"
     c["means"] = "SELECT * FROM means_all WHERE symbol IN (SELECT symbol FROM members)"
     cov_scale = f"{10.0 ** (2 * rd)!r}::DOUBLE"
     c["cov_half"] = f"""
       SELECT symbol_a, symbol_b,
              CASE WHEN n > 1 THEN CAST(cov_num AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE) / {cov_scale} END AS cov
       FROM pm_members"""
+    if plain:
+        c["cov_half"] = f"SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, {_sround('covar_samp(a.ret, b.ret)', 9)} AS cov {pairs}"
     c["cov"] = """
       SELECT symbol_a, symbol_b, cov FROM cov_half
       UNION ALL SELECT symbol_b AS symbol_a, symbol_a AS symbol_b, cov FROM cov_half WHERE symbol_a <> symbol_b"""
@@ -400,6 +432,8 @@ def _base_ctes(cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter") -> di
                          CAST(sum(x) AS HUGEINT) AS sy, sum(CAST(ix AS HUGEINT) * ix) AS sxx,
                          sum(CAST(ix AS HUGEINT) * x) AS sxy
                   FROM ru GROUP BY symbol))"""
+    if plain:
+        c["betas_all"] = f"SELECT symbol, {_sround('coalesce(regr_slope(ret, index_ret), 0.0)', bd)} AS beta FROM returns GROUP BY symbol"
     c["betas"] = "SELECT * FROM betas_all WHERE symbol IN (SELECT symbol FROM members)"
     c["latest"] = """
       SELECT symbol, date, price FROM panel
@@ -438,7 +472,7 @@ def _base_ctes(cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter") -> di
       SELECT b.portfolio, b.pos, b.symbol, w AS weight_exact, CAST(round_even(w, {wd}) AS FLOAT) AS weight
       FROM (SELECT b.*, coalesce(z.x[list_position(z.held, b.pos)], 0.0) / list_sum(z.x) AS w
             FROM baskets b JOIN best z ON z.portfolio = b.portfolio) b"""
-    c["companies"] = "SELECT DISTINCT p_brand AS symbol, 'Company ' || p_brand AS company_name FROM part"
+    c["companies"] = f"SELECT DISTINCT {ticker} AS symbol, 'Company ' || {ticker} AS company_name FROM part"
     for prefix, weights in (("", "eqw"), ("o_", "optw")):
         c |= _report_ctes(prefix, weights, cfg)
     return c
@@ -505,8 +539,8 @@ def _conditional(value: str, key: str, agg: str = "sum") -> str:
     return ", ".join(f"{agg}({value}) FILTER (WHERE {key} = '{b}') AS \"{b}\"" for b in BRANDS)
 
 
-def _with(final: str, cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter") -> str:
-    ctes = _reached(final, _base_ctes(cfg, period))
+def _with(final: str, cfg: PipelineConfig = TEST_CONFIG, *inputs) -> str:
+    ctes = _reached(final, _base_ctes(cfg, *inputs))
     body = ",\n".join(f"{k} AS ({v}\n)" for k, v in ctes.items())
     return f"WITH RECURSIVE {body}\n{final}"
 
@@ -537,6 +571,8 @@ ORACLE_FINALS: dict[str, str] = {
     "basket_universe": "SELECT symbol FROM members",
     "mean_returns": "SELECT symbol, mean FROM means",
     "covariance": "SELECT symbol_a, symbol_b, cov FROM cov",
+    "basket_covariance": """SELECT symbol_a, symbol_b, cov FROM cov_half
+       WHERE EXISTS (FROM baskets a JOIN baskets b ON a.portfolio = b.portfolio WHERE a.symbol = symbol_a AND b.symbol = symbol_b)""",
     "betas": "SELECT symbol, beta FROM betas",
     "latest_close": "SELECT symbol, date, price FROM latest",
     "equal_weights": "SELECT portfolio, pos, symbol, weight_exact, weight FROM eqw",
@@ -570,7 +606,20 @@ WEEK_FINALS: dict[str, str] = {
 }
 
 
+#: By DuckDB's own statistics functions: weekly data, and daily data with over a thousand dates.
+PLAIN_WEEK_FINALS = {"covariance_week": "SELECT symbol_a, symbol_b, cov FROM cov"}
+PLAIN_DAY_FINALS = {
+    "correlation_matrix_day": "SELECT symbol_a, symbol_b, corr FROM corr",
+    "baskets_day": "SELECT portfolio, pos, symbol FROM baskets",
+    "member_stats_day": "SELECT symbol, mean, beta FROM means_all JOIN betas_all USING (symbol)",
+}
+DAY_FINALS = {"optimal_summary_day": "SELECT * FROM o_summary"}
+
+
 def oracle_sql(cfg: PipelineConfig = TEST_CONFIG) -> dict[str, str]:
     found = {k: _with(v, cfg) for k, v in ORACLE_FINALS.items()}
     found |= {k: _with(v, cfg, "week") for k, v in WEEK_FINALS.items()}
+    found |= {k: _with(v, cfg, "week", "p_brand", True) for k, v in PLAIN_WEEK_FINALS.items()}
+    found |= {k: _with(v, DAY_CONFIG, "day", "p_type", True) for k, v in PLAIN_DAY_FINALS.items()}
+    found |= {k: _with(v, DAY_CONFIG, "day", "p_type") for k, v in DAY_FINALS.items()}
     return found | {"correlated_peers_default": _with(ORACLE_FINALS["correlated_peers"], PipelineConfig())}

@@ -25,9 +25,11 @@ def _cents(col: str):
     return F.round(F.col(col) * F.lit(100.0)).cast("bigint")
 
 
-# Ticker definitions over ``part``: the brand (25 tickers), or brand and size
-# (about 1,250 tickers) for a wider universe from the same tables.
+# Ticker definitions over ``part``: the brand (25 tickers), the type (6 tickers,
+# which trade every day), or brand and size (about 1,250 tickers) for a wider
+# universe from the same tables.
 SYMBOLS = {
+    "type": lambda: F.col("p_type"),
     "brand": lambda: F.col("p_brand"),
     "brand_size": lambda: F.concat(F.col("p_brand"), F.lit("/"), F.col("p_size").cast("string")),
 }
@@ -38,9 +40,9 @@ def trades(spark: SparkSession, sf_dir: str, symbol: str = "brand", period: str
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    pt = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_type")
     return li.join(pt, li.l_partkey == pt.p_partkey).select(
-        F.trunc(F.col("l_shipdate").cast("date"), period).alias("date"),
+        F.date_trunc(period, F.col("l_shipdate").cast("date")).cast("date").alias("date"),
         SYMBOLS[symbol]().alias("symbol"),
         _cents("l_extendedprice").alias("e_cents"),
         _cents("l_quantity").alias("q_cents"),

@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from basketlab.session import local_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 # Property tests: a fixed example sequence by default (reproducible runs);
 # HYPOTHESIS_PROFILE=deep searches ten times wider.
 _common = dict(deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from basketlab.plans import catalog
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 TABLES = ["lineitem", "part"]
 

@@ -8,7 +8,7 @@ from basketlab.config import TEST_CONFIG
 from basketlab.plans import catalog
 from basketlab.plans.pipeline import run_pipeline, upload_prices
 from basketlab.sources import fixtures as X
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def _rows(df):

@@ -2,7 +2,7 @@
 
 from basketlab.plans.catalog import analysis
 from basketlab.sources import fixtures as X
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def _plan(df):

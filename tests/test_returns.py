@@ -104,7 +104,7 @@ def test_long_equals_wide_method(spark):
     from pyspark.sql import Window
 
     from basketlab.plans.catalog import analysis
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
 
     a = analysis(spark, SF_SMALL)
     panel, idx = a.panel, a.index

@@ -148,19 +148,78 @@ def test_pair_work_is_split_by_block_and_date_range(spark):
     assert len({(g.blk_lo, g.blk_hi) for g in groups}) >= 4 and len({g.span for g in groups}) >= 3
 
 
+def _history(spark, days, symbols=4, top=2**40, sign=0, seed=0):
+    """Returns whose units are whole numbers up to ``top`` (``sign`` -1: all negative)."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(-top, top, size=(days, symbols), endpoint=True)
+    x = -np.abs(x) if sign < 0 else x
+    rows = [(day(i), f"S{j}", float(x[i, j]), 0.0) for j in range(symbols) for i in range(days)]
+    return spark.createDataFrame(rows, "date date, symbol string, ret double, index_ret double"), x
+
+
+@pytest.mark.parametrize("top, sign", [(20, 0), (10**6, -1), (2**40, 0), (2**40, -1)])
+@pytest.mark.parametrize("days", [1, 60, 120, 1100])
+def test_pair_sums_are_exact_for_any_history(spark, ansi, days, top, sign):
+    r, x = _history(spark, days, top=top, sign=sign)
+    want = sorted(tuple(v) for v in S.pair_moments(r, 0, method="join").collect())
+    got = sorted(tuple(v) for v in S.pair_moments(r, 0, parallelism=2).collect())
+    assert got == want and len(got) == 10
+    for a, b, n, cov, *_ in got:
+        u, v = ([int(k) for k in x[:, int(s[1:])]] for s in (a, b))
+        assert n == days and int(cov) == days * sum(p * q for p, q in zip(u, v)) - sum(u) * sum(v)
+
+
+def test_sums_beyond_38_digits_are_an_error(spark, ansi):
+    rows = [(day(i), s, 2.0**61, 0.0) for s in "AB" for i in range(400)]
+    r = spark.createDataFrame(rows, "date date, symbol string, ret double, index_ret double")
+    with pytest.raises(Exception, match="122 bits|38,0|verflow|OUT_OF_RANGE"):
+        S.pair_moments(r, 0).collect()
+
+
+@pytest.mark.parametrize("days", [2, 40, 300, 1500])
+@pytest.mark.parametrize("lo, hi", [(0.5, 0.99), (-0.2, 0.1), (-1.0, 1.0), (1.0, 1.0), (0.9, 0.2)])
+def test_pruned_correlations_equal_the_filtered_matrix(spark, days, lo, hi):
+    rng = np.random.default_rng(days)
+    common = rng.normal(0, 0.02, (days, 3))
+    x = np.round(np.stack([common[:, j % 3] * (j % 4) / 2 + rng.normal(0, 0.01, days) for j in range(11)] + [np.full(days, 0.01)], axis=1), 6)
+    rows = [(day(i), f"S{j}", float(x[i, j]), 0.0) for j in range(x.shape[1]) for i in range(days)]
+    r = spark.createDataFrame(rows, "date date, symbol string, ret double, index_ret double")
+    want = sorted(tuple(v) for v in S.correlation_half(r).where(F.col("corr").between(lo, hi)).collect())
+    assert sorted(tuple(v) for v in S.correlation_half_in_range(r, lo, hi, parallelism=3).collect()) == want
+
+
+def test_pairs_out_of_range_never_leave_their_group(spark):
+    r = _random_returns(spark, 4, symbols=[f"S{j:02d}" for j in range(60)], days=400)
+    units = S._units_frame(r, 6, None)
+    assert S._product_sums_in_range(units, 0.495, 0.995, 2).count() == 0  # of 1,830 pairs
+    assert S._product_sums_in_range(units, 0.495, 1.005, 2).count() == 60  # the diagonal
+
+
+def test_pruning_refuses_uneven_dates(spark):
+    r = _random_returns(spark, 1).where("not (symbol = 'A' and date = '2024-01-03')")
+    with pytest.raises(Exception, match="complete-case"):
+        S.correlation_half_in_range(r, 0.5, 0.99, parallelism=1).collect()
+
+
+def test_listed_covariances_equal_the_matrix_and_take_no_other_pair(spark):
+    r, _ = _history(spark, 1100, symbols=7, top=10**5)
+    listed = [("S0", "S1"), ("S0", "S0"), ("S3", "S6"), ("S0", "S1"), ("S2", "S9")]
+    pairs = spark.createDataFrame(listed, "symbol_a string, symbol_b string")
+    want = {(v.symbol_a, v.symbol_b): v.cov for v in S.covariance(r, 0).collect()}
+    got = {(v.symbol_a, v.symbol_b): v.cov for v in S.pair_covariance(r, pairs, 0).collect()}
+    assert got == {p: want[p] for p in listed if p in want} and len(got) == 3
+    assert S._product_sums_listed(S._units_frame(r, 0, None), pairs, 4).count() == 3
+
+
 @pytest.mark.parametrize("top", [10, 10**6, 2**40, 2**52])
 def test_limb_products_are_exact(top):
-    rng = np.random.default_rng(0)
-    x = rng.integers(-top, top, size=(30, 3))
-    rows = [(j // 2, j % 2 * 0, f"S{j}") for j in range(3)]
     import pandas as pd
 
-    pdf = pd.DataFrame({"blk_lo": 0, "blk_hi": 0, "blk": 0, "symbol": [s for _, _, s in rows], "days": [np.arange(30)] * 3, "xs": [x[:, j] for j in range(3)]})
-    out = S._block_pair_sums(pdf)
-    for _, r in out.iterrows():
-        got = sum(int(r[c]) << (S.LIMB * k) for k, c in enumerate(S.LIMB_SUMS))
+    x = np.random.default_rng(0).integers(-top, top, size=(30, 3))
+    pdf = pd.DataFrame({"blk_lo": 0, "blk_hi": 0, "blk": 0, "symbol": ["S0", "S1", "S2"], "days": [np.arange(30)] * 3, "xs": [x[:, j] for j in range(3)]})
+    for _, r in S._block_pair_sums(pdf).iterrows():
         i, j = int(r["symbol_a"][1:]), int(r["symbol_b"][1:])
-        assert got == sum(int(a) * int(b) for a, b in zip(x[:, i], x[:, j]))
+        assert int(r["hi"]) * 2**60 + int(r["lo"]) == sum(int(a) * int(b) for a, b in zip(x[:, i], x[:, j]))
 
 
 def test_member_stats_equal_separate_operators(spark):

@@ -93,7 +93,7 @@ def test_missing_covariance_is_an_error():
 
 def test_kkt_check_flags_every_kind_of_bad_weights(spark):
     from basketlab.plans.catalog import analysis, kkt_violations
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from pyspark.sql import functions as F
 
     a = analysis(spark, SF_SMALL, optimal=True)
@@ -131,3 +131,24 @@ def test_rank_deficient_covariance(n, seed):
     ref = brute_force(cov)
     if ref is not None:
         assert v <= ref @ cov @ ref + 1e-10 * np.trace(cov)
+
+
+@given(st.integers(1, 10), st.integers(1, 12), st.integers(0, 10**6))
+def test_stack_equals_one_by_one(n, baskets, seed):
+    from basketlab.operators.weights import min_variance_batch
+
+    rng = np.random.default_rng(seed)
+    covs = []
+    for _ in range(baskets):
+        x = rng.normal(size=(int(rng.integers(2, n + 6)), n)) * rng.uniform(0.0, 2.0, n)
+        covs.append(np.atleast_2d(np.cov(x, rowvar=False)))
+    covs[0] = np.zeros((n, n))  # a basket of constant series
+    got = min_variance_batch(np.stack(covs))
+    assert np.allclose(got, np.stack([min_variance_qp(c) for c in covs]), atol=1e-9)
+
+
+def test_solver_has_no_python_group_a_basket(spark):
+    baskets = spark.createDataFrame([("P1", 0, "A"), ("P1", 1, "B")], "portfolio string, pos int, symbol string")
+    cov = spark.createDataFrame([("A", "A", 1.0), ("A", "B", 0.0), ("B", "B", 4.0)], "symbol_a string, symbol_b string, cov double")
+    plan = min_variance_weights(baskets, cov)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan and "FlatMapGroups" not in plan
