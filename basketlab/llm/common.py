@@ -45,6 +45,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, so that an operator's own columns cannot touch them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, also where ``body`` uses it inside lambdas."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -69,8 +74,9 @@ def count_of(text: Column, characters: str) -> Column:
 def bounded_sample(df: DataFrame, most: int, *order: str, distinct: bool = False) -> DataFrame:
     """At most ``most`` rows of ``df``, chosen by the hash in ``order[0]``: the same rows for any partitioning.
 
-    A count comes first; of a larger table only about ``2 * most`` rows, by the
-    hash alone, take part in the ordering, so what is gathered does not grow.
+    A count comes first; of a larger table only between about two and four times
+    ``most`` rows, by the hash alone, take part in the ordering, so what is
+    gathered does not grow.
     ``distinct``: rows of one hash are copies and count as one (else they pass or go together).
     """
     h = order[0]

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlab.llm.common import let, table, windows, words, written
+from basketlab.llm.common import let, table, whole_row, windows, words, written
 
 # fixed values: what separates words after lower-casing A-Z, and the window
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -129,31 +129,31 @@ def hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_key``: equal only for rows of equal id and text."""
+    """(row, text, _key): the whole row as a struct; keys are equal only for rows of equal id and text."""
     sep = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col(text_col), F.lit("")))
-    return docs.withColumn("_key", F.md5(sep))
+    return docs.select(whole_row(docs).alias("row"), F.col(text_col).alias("text"), F.md5(sep).alias("_key"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, n_hit, items and spans (word positions of the covered stretches)."""
     base = keyed(docs.drop(*RESULT), id_col, text_col)
-    found = written(hits(base, benchmark, text_col, item_col, item_text_col), "hits")
-    counted = base.withColumn("n_words", F.size(text_words(F.col(text_col))).cast("long"))
-    full = counted.join(found, "_key", "left").drop("_key")
-    return full.withColumns(
-        {
-            "n_hit": F.coalesce("n_hit", F.lit(0).cast("long")),
-            "items": F.coalesce("items", F.array().cast("array<string>")),
-            "spans": F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")),
-        }
+    found = written(hits(base, benchmark, "text", item_col, item_text_col), "hits")
+    counted = base.withColumn("n_words", F.size(text_words(F.col("text"))).cast("long"))
+    full = counted.join(found, "_key", "left")
+    return full.select(
+        "row.*",
+        "n_words",
+        F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those that hold a window of the benchmark."""
+    """``docs`` without those that hold a window of the benchmark; all columns as they were."""
     base = keyed(docs, id_col, text_col)
-    found = written(hits(base, benchmark, text_col).select("_key"), "hits")
-    return base.join(found, "_key", "left_anti").select(*docs.columns)
+    found = written(hits(base, benchmark, "text").select("_key"), "hits")
+    return base.join(found, "_key", "left_anti").select("row.*")
 
 
 # -- registered query -------------------------------------------------------

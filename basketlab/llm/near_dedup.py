@@ -14,10 +14,12 @@ Signatures are cut into bands; texts that agree in a band share a bucket, and
 equal texts are one node from the start. A bucket never yields all its pairs as
 rows. First every text meets one leader: of its buckets' most central members
 (those that share most bucket places) the one it shares most buckets with. The
-classes that makes settle nearly all buckets. Texts of buckets that still hold
-several classes are gathered by overlapping buckets and compared in blocks of
-BLOCK texts: a task holds two blocks, compares signatures as byte arrays, and
-checks the pairs of different classes that agree in at least AGREE places.
+classes that makes settle nearly all buckets. The classes of buckets that still
+hold several are gathered by overlapping buckets, each class as one node, and
+their texts compared in blocks of BLOCK texts: a task holds two blocks,
+compares signatures as byte arrays, and checks the pairs of different classes
+that agree in at least AGREE places. The largest class meets the others but
+never itself, so a few outliers beside a large class cost one pass over it.
 Every comparison that makes a link is exact on the weighted sets. Classes are
 the connected components of the links of at least the threshold.
 
@@ -42,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketlab.llm.common import table, written
+from basketlab.llm.common import table, whole_row, written
 from basketlab.llm.graph import components
 
 BANDS, ROWS = 25, 4
@@ -275,6 +277,22 @@ def links_within(group: np.ndarray, label: np.ndarray, marks: np.ndarray, sets:
     return out
 
 
+def _unit_sizes(placed: DataFrame) -> DataFrame:
+    """(g, bucket, largest, n, small, few, many, work) of each unit of comparison.
+
+    ``largest``: the label with most texts; ``many`` and ``few``: blocks of its
+    texts and of all others; ``work``: rows that the unit's cells take.
+    """
+    classes_ = placed.groupBy("g", "bucket", "label").agg(F.count(F.lit(1)).alias("c"))
+    sizes = classes_.groupBy("g", "bucket").agg(F.max(F.struct("c", "label")).alias("m"), F.sum("c").alias("n"))
+    sizes = sizes.select("g", "bucket", F.col("m.label").alias("largest"), "n", F.col("m.c").alias("top"), (F.col("n") <= BLOCK).alias("small"))
+    blocks = lambda c: F.greatest(F.ceil(c / BLOCK), F.lit(1))
+    rest = F.col("n") - F.col("top")
+    sizes = sizes.withColumns({"few": blocks(rest), "many": blocks(F.col("top"))})
+    work = F.when(F.col("small"), F.col("n")).otherwise(rest * (F.col("few") + F.col("many")) + F.col("top") * F.col("few"))
+    return sizes.select("g", "bucket", "largest", "n", "small", "few", "many", work.alias("work"))
+
+
 def row_key(id_col: str, text_col: str):
     """Equal only for rows of equal id and text."""
     return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col(text_col), F.lit("")), F.when(F.col(text_col).isNull(), F.lit("\0")).otherwise("")))
@@ -311,39 +329,48 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     links = met.join(left, "a").join(right, "b").where(_similarity_udf("sa", "sb") >= threshold).select("a", "b")
     links = written(links, "links")
 
-    # what that leaves open: buckets of several classes, gathered where they overlap
+    # what that leaves open: buckets of several classes, whose classes are gathered where buckets overlap
     label = components(links).withColumnRenamed("node", "rid")
-    classed = member.select("bucket", "rid").join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-    mixed = classed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
+    classed = written(member.select("bucket", "rid").join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid")), "classed")
+    mixed = classed.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket", "lo")
     open_ = written(classed.join(mixed, "bucket"), "open")
-    # a bucket's texts are joined through its first one; most buckets of a group share theirs
-    head = open_.groupBy("bucket").agg(F.min("rid").alias("b"))
-    gathered = components(open_.select("bucket", F.col("rid").alias("a")).join(head, "bucket").select("a", "b").distinct())
-    gathered = written(gathered.select(F.col("node").alias("rid"), F.col("label").alias("g")), "gathered")
-    shared_cells = gathered.count() // BLOCK + 1
-    # a group is one unit of comparison, unless its buckets one by one are less work (as in long chains of small buckets)
-    work = lambda n: F.sum(n * F.ceil(n / BLOCK))
+    # a class is one node, whatever its size; a bucket's classes are joined through its least one
+    gathered = components(open_.where("label != lo").select(F.col("label").alias("a"), F.col("lo").alias("b")).distinct())
+    gathered = written(open_.select("rid", "label").distinct().join(gathered.select(F.col("node").alias("label"), F.col("label").alias("g")), "label"), "gathered")
+    # a unit's largest class is never compared with itself, only with the others
+    # a group is one unit, unless its buckets one by one are less work (as in long chains of small buckets)
     placed = open_.select("bucket", "rid").join(gathered, "rid")
-    apart = placed.groupBy("g", "bucket").agg(F.count(F.lit(1)).alias("n")).groupBy("g").agg(work(F.col("n")).alias("apart"))
-    whole = gathered.groupBy("g").agg(F.count(F.lit(1)).alias("n")).groupBy("g").agg(work(F.col("n")).alias("whole"))
-    split = written(apart.join(whole, "g").select("g", (F.col("apart") < F.col("whole")).alias("split")), "split")
-    units = gathered.join(split.where("not split"), "g").select(F.xxhash64(F.lit("g"), "g").alias("g"), "rid")
-    units = units.unionByName(placed.join(split.where("split"), "g").select(F.xxhash64(F.lit("b"), "bucket").alias("g"), "rid"))
-    size = units.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    cells = units.join(size, "g").join(open_.select("rid", "label").distinct(), "rid")
-    cells = cells.withColumn("i", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    small = F.col("blocks") == 1  # small groups share tasks
-    cells = cells.select("g", "rid", "label", F.when(small, -1).otherwise(F.least("i", "j")).alias("lo"), F.greatest("i", "j").alias("hi"), F.when(F.col("i") == F.col("j"), 2).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side"), F.when(small, F.pmod(F.xxhash64("g"), F.lit(shared_cells))).otherwise(F.col("g")).alias("cell"))
+    whole = _unit_sizes(gathered.withColumn("bucket", F.lit(0).cast("long")))
+    apart = _unit_sizes(placed)
+    better = apart.groupBy("g").agg(F.sum("work").alias("a")).join(whole.select("g", "work"), "g").select("g", (F.col("a") < F.col("work")).alias("split"))
+    better = written(better, "split")
+    sizes = whole.join(better.where("not split"), "g").unionByName(apart.join(better.where("split"), "g"))
+    sizes = sizes.select("g", "bucket", "largest", "n", "small", "few", "many")
+    units = gathered.withColumn("bucket", F.lit(0).cast("long")).unionByName(placed.select("rid", "label", "g", "bucket")).join(sizes, ["g", "bucket"])
+    shared_cells = gathered.count() // BLOCK + 1
+    major = F.col("label") == F.col("largest")
+    at = F.pmod(F.xxhash64("rid"), F.when(major, F.col("many")).otherwise(F.col("few"))).cast("int")
+    block = F.when(F.col("small"), 0).when(major, F.col("few") + at).otherwise(at).cast("int")
+    last = F.when(F.col("small"), 0).when(major, F.col("few") - 1).otherwise(F.col("few") + F.col("many") - 1).cast("int")
+    cells = units.withColumn("u", F.xxhash64("g", "bucket")).withColumn("i", block).withColumn("j", F.explode(F.sequence(F.lit(0), last)))
+    cells = cells.select(
+        "u", "rid", "label",
+        F.when(F.col("small"), -1).otherwise(F.least("i", "j")).alias("lo"),
+        F.greatest("i", "j").alias("hi"),
+        F.when(F.col("i") == F.col("j"), 2).otherwise((F.col("i") > F.col("j")).cast("int")).alias("side"),
+        F.when(F.col("small"), F.pmod(F.xxhash64("u"), F.lit(shared_cells))).otherwise(F.col("u")).alias("cell"),  # small units share tasks
+    )
     cells = cells.join(sets, "rid").join(node.select("rid", "marks"), "rid")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         marks = np.frombuffer(b"".join(part["marks"]), np.uint8).reshape(len(part), -1)
-        rid = part["rid"].to_numpy()
-        found = links_within(part["g"].to_numpy(), part["label"].to_numpy(), marks, part["set"].tolist(), part["side"].to_numpy(), threshold)
-        return pd.DataFrame({"a": [rid[i] for i, _ in found], "b": [rid[j] for _, j in found]}, dtype="int64")
+        label = part["label"].to_numpy()
+        found = links_within(part["u"].to_numpy(), label, marks, part["set"].tolist(), part["side"].to_numpy(), threshold)
+        return pd.DataFrame({"a": [label[i] for i, _ in found], "b": [label[j] for _, j in found]}, dtype="int64")
 
     more = written(cells.groupBy("cell", "lo", "hi").applyInPandas(compare, "a long, b long"), "links")
-    label = components(links.unionByName(more)).withColumnRenamed("node", "rid")
+    final = components(more).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    label = label.join(final, "label", "full").select(F.coalesce("rid", "label").alias("rid"), F.coalesce("top", "label").alias("label"))
 
     named = signs.select("id", "row_key", "key").join(texts, "key").join(label, "rid", "left")
     named = named.select("id", "row_key", F.coalesce("label", "rid").alias("label"))
@@ -354,8 +381,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row of ``docs`` from each class, all columns."""
-    best = written(classes(docs, id_col, text_col, threshold).where("is_representative").select(F.col("row_key").alias("_key")).distinct(), "kept")
-    return docs.withColumn("_key", row_key(id_col, text_col)).join(best, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    best = written(classes(docs, id_col, text_col, threshold).where("is_representative").select(F.col("row_key").alias("key")).distinct(), "kept")
+    rows = docs.select(whole_row(docs).alias("row"), row_key(id_col, text_col).alias("key"))
+    return rows.join(best, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 # -- registered query -------------------------------------------------------

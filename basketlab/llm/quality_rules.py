@@ -16,6 +16,7 @@ and columns whose names clash with the result's are replaced.
 
 from __future__ import annotations
 
+import itertools
 import math
 from dataclasses import dataclass
 
@@ -116,7 +117,6 @@ class VoteModel:
     good: tuple[float, ...]
     bad: tuple[float, ...]
     rounds: int = 0
-    converged: bool = False
 
     def posterior(self) -> Column:
         """Probability of good quality given ``votes``.
@@ -140,16 +140,16 @@ def vote_patterns(voted: DataFrame) -> DataFrame:
     return written(voted.groupBy("votes").agg(F.count(F.lit(1)).alias("docs")), "votes").coalesce(1)
 
 
-def fit(patterns: DataFrame, tol: float = 1e-4, max_rounds: int = 200, strength: float = 20.0) -> VoteModel:
+def fit(patterns: DataFrame, tol: float = 1e-4, strength: float = 20.0) -> VoteModel:
     """Expectation-maximisation over the counted patterns.
 
     ``strength`` pseudo-votes of the starting model keep every accuracy inside
     (0, 1) and its side of the label (good stays good). EM raises the
-    likelihood every round; it ends when no parameter moves by more than
-    ``tol``, and ``converged`` says whether it did so within ``max_rounds``.
+    likelihood every round; it goes on until no parameter moves by more than
+    ``tol``.
     """
     model = START
-    for k in range(1, max_rounds + 1):
+    for k in itertools.count(1):
         # one vote in the last place makes that place's sums those of all documents
         each = patterns.withColumn("_p", model.posterior()).select("docs", "_p", F.posexplode(F.concat("votes", F.array(F.lit(1).cast("byte")))).alias("rule", "vote"))
         sums = each.where("vote != 0").groupBy("rule", "vote").agg(F.sum(F.col("docs") * F.col("_p")).alias("good"), F.sum(F.col("docs") * (1 - F.col("_p"))).alias("bad"))
@@ -166,23 +166,19 @@ def fit(patterns: DataFrame, tol: float = 1e-4, max_rounds: int = 200, strength:
         moved = max(abs(a - b) for a, b in zip((new.prior, *new.good, *new.bad), (model.prior, *model.good, *model.bad), strict=True))
         model = new
         if moved <= tol:
-            return VoteModel(new.prior, new.good, new.bad, k, True)
-    return model
+            return model
 
 
 def judge(votes: DataFrame, model: VoteModel, threshold: float = 0.5) -> DataFrame:
     """Adds base_failed, quality (posterior) and kept."""
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PCT)
     df = votes.withColumns({"base_failed": failed, "quality": model.posterior()})
-    # always true, but keeps the optimizer from pushing a filter on the verdict below
-    # the counts, where every window would split the text anew
-    apart = F.monotonically_increasing_id() >= 0
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold) & apart)
+    return df.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
 
 
 def judged(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``docs`` with votes, posterior and verdict, in two passes over the texts and no shuffle of them."""
-    votes = with_votes(text_counts(docs, text_col))
+    """``docs`` with votes, posterior and verdict. The texts are counted once: rows are written with their votes, then judged."""
+    votes = written(with_votes(text_counts(docs, text_col)), "votes")
     return judge(votes, fit(vote_patterns(votes)), threshold)
 
 

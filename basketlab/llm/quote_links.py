@@ -28,13 +28,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketlab.llm.common import let, table, written
+from basketlab.llm.common import let, table, whole_row, written
 
-MARK = r"^(?:[ \t]*>)+"
+MARK = r"^[ \t>]*>"  # no repeated group: those recurse in Java and end the JVM on long lines
 # fixed values: how mail programs introduce a quote
 INTRO = r"^\s*(On|Am|Le|El) .*(wrote|schrieb|a écrit|escribió)\s*:\s*$"
 LINE_WORDS = 4  # shorter single lines identify nothing
-SLICES = 1024
+SLICES = 1024  # slices of time, more when one would hold over SLICE_ROWS rows
+SLICE_ROWS = 1 << 20
 RESULT = ("parent", "conversation", "depth", "n_quotes", "n_linked", "said")
 _NEVER = -(2**62)
 
@@ -120,9 +121,10 @@ def _paragraphs(lines: Column) -> Column:
 
 
 def cuts(times: DataFrame) -> list[int]:
-    """Least to greatest, the times (``ord``) that part the rows into SLICES of about one size; null times aside."""
-    shares = [k / SLICES for k in range(1, SLICES)]
-    found = times.where(F.col("ord") != _NEVER).agg(F.percentile_approx("ord", shares, 10 * SLICES).alias("c")).first()["c"]
+    """Least to greatest, the times (``ord``) that part the rows into slices of about one size; null times aside."""
+    known = times.where(F.col("ord") != _NEVER)
+    n = max(SLICES, known.count() // SLICE_ROWS)
+    found = known.agg(F.percentile_approx("ord", [k / n for k in range(1, n)], 10 * n).alias("c")).first()["c"]
     return sorted(set(found or []))
 
 
@@ -168,8 +170,9 @@ def link(messages: DataFrame, id_col: str = "id", time_col: str = "time", text_c
     """``messages`` with parent and conversation (ids), depth, n_quotes (passages), n_linked and
     ``said`` (own text). ``time_col`` is a whole number."""
     key = F.md5(F.concat_ws("\0", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.coalesce(F.col(time_col).cast("string"), F.lit("-")), F.coalesce(F.col(text_col), F.lit(""))))
-    base = messages.drop(*RESULT).withColumn("_key", key)
-    m = base.select("_key", F.col(id_col).alias("id"), F.coalesce(F.col(time_col).cast("long"), F.lit(_NEVER)).alias("ord"), parsed_lines(F.col(text_col)).alias("lines")).dropDuplicates(["_key"])
+    kept = messages.drop(*RESULT)
+    base = kept.select(whole_row(kept).alias("row"), key.alias("_key"))
+    m = messages.select(key.alias("_key"), F.col(id_col).alias("id"), F.coalesce(F.col(time_col).cast("long"), F.lit(_NEVER)).alias("ord"), parsed_lines(F.col(text_col)).alias("lines")).dropDuplicates(["_key"])
     m = m.withColumn("own", own_lines(F.col("lines")))
     whole = F.array_join("own", "\n")
     quoted = F.filter("lines", lambda x: x["level"] > 0)
@@ -228,7 +231,7 @@ def link(messages: DataFrame, id_col: str = "id", time_col: str = "time", text_c
     out = tree.join(names.select(F.col("key").alias("up"), F.col("id").alias("parent")), "up", "left").join(names.select(F.col("key").alias("top"), F.col("id").alias("conversation")), "top")
     out = out.select("key", "parent", "conversation", "depth").join(linked, "key", "left").join(m.select("key", "_key", "said", F.size("asks").cast("long").alias("n_quotes")), "key")
     out = out.select("_key", "parent", "conversation", "depth", "n_quotes", F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"), "said")
-    return base.join(out, "_key").drop("_key")
+    return base.join(out, "_key").select("row.*", *RESULT)
 
 
 def as_mail(conversations: DataFrame) -> DataFrame:

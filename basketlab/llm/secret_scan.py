@@ -32,6 +32,7 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "entropy")
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"  # characters of a candidate
 WIDTH = 20
 UNIT = 1_000_000
 _NAME = r"[A-Za-z_-]*(?:[0-9]{0,6}|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})"  # a step of a path: words, a short number or a UUID
@@ -63,7 +64,7 @@ CLASSES = (
 #: Strings that are no secrets: UUIDs, paths of words, numbered names, documentation examples.
 ALLOW = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^/?([A-Za-z]+[/_-])*[A-Za-z]+([/_-]?[0-9]{1,6})?/?$",
+    r"^(?!.*[/_-]{2})(?!.*[_-]$)/?[A-Za-z][A-Za-z/_-]*[0-9]{0,6}/?$",  # no repeated group: those recurse in Java and end the JVM on long strings
     r"EXAMPLE",
     r"^[0-9-]+$",
 )
@@ -108,17 +109,23 @@ def _spans(hits: Column, kind: str, least: int) -> Column:
 def _hot_stretches(value: Column, most: Column) -> Column:
     """Stretches (start, end) of windows whose summed weights are at most ``most``, within one string."""
     table_ = F.lit([weight(c) for c in range(WIDTH + 1)]).cast("array<bigint>")
+    none = F.lit([0] * len(ALPHABET)).cast("array<tinyint>")
 
-    def scan(chars: Column) -> Column:
-        n_of = lambda a, b, c: F.size(F.filter(F.slice(chars, a + 1, b - a), lambda x: x == c))  # noqa: E731  in [a, b)
+    def scan(codes: Column) -> Column:
         span = "struct<start:int,end:int>"
-        begin = F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.array().cast(f"array<{span}>").alias("out"))
+        begin = F.struct(
+            F.lit(0).cast("bigint").alias("sum"), F.lit(-1).alias("start"), F.lit(-1).alias("end"), F.array().cast(f"array<{span}>").alias("out"), none.alias("counts")
+        )
 
         def step(s: Column, i: Column) -> Column:
-            first = F.greatest(i - WIDTH, F.lit(0))
             rest = F.greatest(i - WIDTH + 1, F.lit(0))
-            gone = F.when(i >= WIDTH, let(n_of(first, i, F.get(chars, first)), lambda c: F.get(table_, c - 1) - F.get(table_, c))).otherwise(F.lit(0).cast("bigint"))
-            come = let(n_of(rest, i, F.get(chars, i)), lambda c: F.get(table_, c + 1) - F.get(table_, c))
+            new = F.get(codes, i)
+            old = F.when(i >= WIDTH, F.get(codes, F.greatest(i - WIDTH, F.lit(0)))).otherwise(F.lit(-1))
+            had = F.get(s["counts"], F.greatest(old, F.lit(0)))
+            gone = F.when(old >= 0, F.get(table_, had - 1) - F.get(table_, had)).otherwise(F.lit(0).cast("bigint"))
+            come = let(F.get(s["counts"], new) - (new == old).cast("tinyint"), lambda c: F.get(table_, c + 1) - F.get(table_, c))
+            # only the counts of the entering and the leaving character change
+            counts = F.transform(s["counts"], lambda c, k: (c + (k == new).cast("tinyint") - (k == old).cast("tinyint")).cast("tinyint"))
             return let(
                 s["sum"] + gone + come,
                 lambda total: let(
@@ -130,15 +137,16 @@ def _hot_stretches(value: Column, most: Column) -> Column:
                             F.when(hot & ~more, rest).otherwise(s["start"]).alias("start"),
                             F.when(hot, i + 1).otherwise(s["end"]).alias("end"),
                             F.when(hot & ~more & (s["start"] >= 0), F.concat(s["out"], F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))).otherwise(s["out"]).alias("out"),
+                            counts.alias("counts"),
                         ),
                     ),
                 ),
             )
 
         last = lambda s: F.when(s["start"] >= 0, F.concat(s["out"], F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))).otherwise(s["out"])
-        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), begin, step, last)
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), begin, step, last)
 
-    return let(F.split(value, ""), scan)
+    return let(F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1), scan)
 
 
 def _entropy_spans(text: Column, base: Column) -> Column:

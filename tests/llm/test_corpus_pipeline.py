@@ -1,20 +1,14 @@
-import sys
-from pathlib import Path
-
 import numpy as np
 import public_tokenizers as P
 import tiktoken
+from pyspark.sql import functions as F
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
-sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-import corpus_pipeline as C  # noqa: E402
-from test_decontaminate import brute as contaminated  # noqa: E402
-from test_near_dedup import brute as classes  # noqa: E402
-from test_secret_scan import brute as secrets  # noqa: E402
+import corpus_pipeline as C
+from brute import contaminated, near_classes as classes, secrets
 
-from basketlab.llm.byte_bpe import codec  # noqa: E402
-from basketlab.llm.common import table, written  # noqa: E402
+from basketlab.llm.byte_bpe import codec
+from basketlab.llm.common import table, written
 
 
 def test_every_stage_against_brute_force(spark):
@@ -66,3 +60,27 @@ def test_stages_take_empty_tables(spark):
     for name, stage in C.STAGES:
         docs = written(stage(spark, docs, d), name)
         assert docs.count() == 0
+
+
+def test_stages_pass_clashing_columns_and_odd_rows(spark):
+    """Columns named like anything an operator makes, null and repeated rows, ties, very long texts."""
+    d = "/root/testdata/sf0.001"
+    good = table(spark, d, "documents").where("length(text) > 400").orderBy("doc_id").limit(30)
+    odd = [(None, good.first().text), (9001, None), (9002, ""), (9003, ""), (9004, None), (9005, "a-" * 500_000 + "x"), (9006, "lorem ipsum dolor " * 60_000), (9007, ">" * 200_000 + " quoted")]
+    odd += [(9008, "same id and text, twice in the table"), (9008, "same id and text, twice in the table")]
+    docs = good.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    names = ["row", "key", "_key", "base", "spans", "quality", "kept", "n_words", "votes", "base_failed", "items", "n_hit", "class_id", "label", "rid", "n_repeat_words"]
+    docs = docs.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.char_length("text").cast("long")})
+    docs = written(docs.withColumns({n: F.concat(F.lit(n + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for n in names}), "odd")
+    sizes = []
+    for name, stage in C.STAGES[:-1]:
+        out = written(stage(spark, docs, d), name)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert all(r[n] == f"{n}:{'-' if r.doc_id is None else r.doc_id}" for n in names)
+        if name == "near_duplicates":  # null texts are no copies, empty ones are; the null id yields to the known one
+            assert sorted(r.doc_id for r in out.where("doc_id > 9000").collect()) == [9001, 9002, 9004, 9005, 9006, 9007, 9008]
+            assert out.where("doc_id is null").count() == 0
+        sizes.append(out.count())
+    assert sizes[0] > 0 and sizes[2] > 0 and sizes[3] == docs.count()
+    assert C.tokens(spark, docs, d).where("round_trip").count() == docs.count()

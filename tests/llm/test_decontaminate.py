@@ -1,34 +1,7 @@
 import random
-import re
 
 from basketlab.llm import decontaminate as D
-
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
-def words(t):
-    return WORD.findall((t or "").translate(LOW))
-
-
-def brute(docs, bench):
-    wins = {}
-    for item, t in bench:
-        w = words(t)
-        k = min(10, len(w))
-        for j in range(len(w) - k + 1 if k else 0):
-            wins.setdefault(tuple(w[j : j + k]), set()).add(item)
-    out = []
-    for d, t in docs:
-        w, hit, items = words(t), set(), set()
-        for k in {len(x) for x in wins}:
-            for j in range(len(w) - k + 1):
-                if found := wins.get(tuple(w[j : j + k])):
-                    items |= found
-                    hit.update(range(j, j + k))
-        out.append((d, len(w), len(hit), sorted(str(i) for i in items if i is not None)))
-    return sorted(out, key=str)
-
+from brute import contaminated as brute
 
 def run(make, docs, bench):
     out = D.contamination(make(docs, clash=("spans",)), make(bench, "item_id long, text string"))

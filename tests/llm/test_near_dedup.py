@@ -1,47 +1,10 @@
 import random
-import re
-from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
 from basketlab.llm import near_dedup as N
-
-
-def shingles(t):
-    w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
-    k = min(5, len(w))
-    return Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if k else Counter()
-
-
-def jaccard(a, b):
-    n = sum((a & b).values())
-    return n / (sum(a.values()) + sum(b.values()) - n) if a and b else 0.0
-
-
-def brute(docs):
-    up = list(range(len(docs)))
-
-    def top(x):
-        while up[x] != x:
-            x = up[x]
-        return x
-
-    sets, seen = [shingles(t) for _, t in docs], {}
-    for i, (_, t) in enumerate(docs):
-        for j in range(i):
-            if jaccard(sets[i], sets[j]) >= N.THRESHOLD:
-                up[top(i)] = top(j)
-        if t is not None:
-            up[top(i)] = top(seen.setdefault(t, i))
-    groups = defaultdict(list)
-    for i in range(len(docs)):
-        groups[top(i)].append(docs[i][0])
-    out = []
-    for ids in groups.values():
-        known = [i for i in ids if i is not None]
-        out += [(i, min(known) if known else None) for i in ids]
-    return sorted(out, key=str)
+from brute import jaccard, near_classes as brute, shingles
 
 
 def copies(rng, n_base=4, n_near=25):
@@ -110,3 +73,43 @@ def test_a_long_chain_is_compared_bucket_by_bucket(make, monkeypatch):
 def test_no_near_copies_and_empty(make):
     assert sorted(r.class_id for r in N.classes(make([(1, "one two"), (2, "three four five")])).collect()) == [1, 2]
     assert N.classes(make([])).count() == 0
+
+
+def test_one_large_class_with_outliers_in_its_buckets(make, monkeypatch):
+    """A class of many blocks beside texts just under the bound: each outlier meets the class, the class never itself."""
+    monkeypatch.setattr(N, "BLOCK", 8)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(90):
+        words = list(base)
+        for _ in range(rng.choice([1, 1, 1, 2])):
+            words[rng.randrange(len(words))] = f"n{i}"
+        docs.append((i, " ".join(words)))
+    for i in range(12):
+        words = list(base)
+        for k in range(3 + i % 3):
+            words[(17 * k + i) % len(words)] = f"o{i}x{k}"
+        docs.append((1000 + i, " ".join(words)))
+    rows = N.classes(make(docs)).collect()
+    assert sorted([(r.id, r.class_id) for r in rows], key=str) == brute(docs)
+
+
+def test_components_contract_to_the_least_node(spark):
+    from basketlab.llm.graph import components
+
+    rng = random.Random(3)
+    links = [(i, i + 1) for i in range(0, 60)] + [(200, k) for k in range(100, 160)] + [(rng.randrange(300, 380), rng.randrange(300, 380)) for _ in range(60)] + [(900, 900)]
+    up = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        p, q = sorted((top(a), top(b)))
+        up[q] = p
+    got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: top(x) for x in up}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

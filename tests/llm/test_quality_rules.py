@@ -69,7 +69,6 @@ def test_em_and_verdicts_match_plain_python(make):
     texts = [(i, TEXTS[i % len(TEXTS)]) for i in range(60)] + [(100 + i, VARIED.replace("word", f"w{i}")) for i in range(120)]
     voted = written(Q.with_votes(Q.text_counts(make(texts))), "votes")
     model = Q.fit(Q.vote_patterns(voted))
-    assert model.converged
     rows = Q.judge(voted, model).collect()
     post = em(Counter(tuple(r.votes) for r in rows))
     for r in rows:

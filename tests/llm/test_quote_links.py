@@ -129,3 +129,9 @@ def test_slices_hold_about_as_many_rows_whatever_the_times(spark, monkeypatch):
     originals = spark.createDataFrame([(1, t, 0, t) for t in times[::3]], "h long, ord long, tie long, key long")
     got = sorted((r.n, r.found) for r in Q.last_before(quotes, originals).collect())
     assert got == sorted((t, max(x for x in times[::3] if x < t)) for t in times[::7] if any(x < t for x in times[::3]))
+
+
+def test_a_line_of_a_million_marks(make):
+    rows = [(1, 1, ">" * 1_000_000 + " deep"), (2, 2, "> " * 300_000 + "\nplain answer"), (3, 3, "a" * 1_000_000)]
+    out = {r.id: r for r in Q.link(make(rows, "id long, time long, text string")).collect()}
+    assert len(out) == 3 and out[2].said == "plain answer" and out[1].n_quotes == 1 and out[3].depth == 0

@@ -6,36 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from basketlab.llm import secret_scan as S
-
-
-def base(t):
-    t, out = t or "", []
-    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", t, re.I | re.A):
-        if len(m[2]) >= 6:
-            out.append((m.start(), 0, m.end()))
-    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
-    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 24]
-    return sorted(out)
-
-
-def brute(t):
-    t, b = t or "", base(t)
-    out = list(b)
-    for m in re.finditer(S.CANDIDATE, t):
-        v = m[0]
-        bits = next((x for _, p, x in S.CLASSES if re.search(p, v)), None)
-        if bits is None or any(re.search(p, v) for p in S.ALLOW):
-            continue
-        run = None
-        for i in range(len(v) - S.WIDTH + 1):
-            if sum(S.weight(c) for c in Counter(v[i : i + S.WIDTH]).values()) <= S.bound(bits):
-                if run and i <= run[1]:
-                    run = (run[0], i + S.WIDTH)
-                else:
-                    out += [(m.start() + run[0], 3, m.start() + run[1])] if run else []
-                    run = (i, i + S.WIDTH)
-        out += [(m.start() + run[0], 3, m.start() + run[1])] if run else []
-    return sorted(x for x in out if x[1] < 3 or not any(a <= x[0] and e >= x[2] for a, _, e in b))
+from brute import base_secrets as base, secrets as brute
 
 
 def listed(spans):
@@ -134,3 +105,14 @@ def test_entropy_against_plain_rules(make):
             e = next(k for k in range(a, len(v) + 1) if k not in hot)
             want |= set() if any(x <= a and y >= e for x, y in whole) else set(range(a, e))
         assert got == want, v
+
+
+def test_counts_are_kept_along_long_candidates(make):
+    """A candidate of a million characters, and one that only just is a numbered name."""
+    rng = random.Random(1)
+    texts = ["a-" * 500_000 + "x", "x" * 1_000_000, "".join(rng.choice("abcdefgh0123456789XYZ") for _ in range(30_000)), "one-two_three/four-five-12/", "one-two_three/four-five-six_"]
+    rows = S.scan(make(list(enumerate(texts)))).select("doc_id", S.listed(F.col("spans"))).collect()
+    assert len(rows) == 5
+    for i, s in rows:
+        if i > 1:
+            assert s == listed(brute(texts[i]))
