@@ -1,19 +1,33 @@
-"""Training-corpus pipeline over ``documents``; each stage is one operator of ``basketlab.llm``."""
+"""Training-corpus pipeline over ``documents``; each stage is one operator of ``basketlab.llm``.
+
+Defined cases, for every stage: the columns of ``docs`` come out as they went
+in, whatever their names (``secrets`` changes ``text`` and ``n_chars`` only,
+``tokens`` has columns of its own). A null or empty text has no words, so
+``quality`` drops it; the later stages, given one, keep it: null texts are no
+copies of each other, empty ones are, neither holds benchmark passages or
+secrets, both have no tokens. Null ids are allowed; of a near-duplicate class
+the least known id stays, of rows repeating one id and text one. Ties in a
+verdict's bound count as kept. Texts of any length are read whole, and an empty
+table gives an empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from basketlab.llm import byte_bpe, decontaminate, near_dedup, quality_rules, secret_scan
-from basketlab.llm.common import table, written
+from basketlab.llm.common import table, whole_row, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_rules.judged(docs).where("kept").select(*docs.columns)
+    """Documents that the quality rules keep. The texts are counted once: rows are written with their votes, then judged."""
+    rows = docs.select(whole_row(docs).alias("row"), "text")
+    votes = quality_rules.with_votes(quality_rules.text_counts(rows)).select("row", "n_words", "n_repeat_words", "votes")
+    votes = written(votes, "votes")
+    kept = quality_rules.judge(votes, quality_rules.fit(quality_rules.vote_patterns(votes))).where("kept")
+    return kept.select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,14 +41,19 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each secret replaced by a mark; n_chars follows the new text."""
-    found = secret_scan.scan(docs)
+    """All documents, each secret replaced by a mark; n_chars, if there, follows the new text."""
+    found = secret_scan.scan(docs.select(whole_row(docs).alias("row"), "text"))
     text = F.when(F.col("text").isNotNull(), secret_scan.redacted(F.col("text"), F.col("spans")))
-    return found.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    row = F.col("row").withField("text", text)
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.char_length(text).cast("long"))
+    return found.select(row.alias("row")).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the ids (little-endian unsigned 32-bit) and whether they decode to the text."""
+    import public_tokenizers  # only this stage needs the vocabulary files
+
     both = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, decode=True)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "utf-8")
     return both.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
