@@ -16,10 +16,11 @@ other windows are full and nothing is padded; documents shorter than a window
 stay whole but for those pieces. Window numbers are those of the partition
 followed by a running number; a repeated task makes the same windows again.
 
-Ids come from the tokenizers library. Its splitter never joins what a single
-space or line break between other characters parts, so texts are cut there and
-chunks are encoded once and remembered (both memories have a fixed size); texts
-with other white space are cut only at such places.
+Ids come from the tokenizers library. Plain texts (Latin letters, digits, ASCII
+punctuation, single spaces and line breaks) are split into its splitter's
+pieces, others where a space or line break stands alone, which no piece spans;
+pieces and chunks are encoded once and remembered, in memories of fixed size.
+Tests compare with whole-text encoding.
 
 Defined cases: null and empty texts are their end id alone; special tokens'
 strings are ordinary text; a document of any length is cut into windows;
@@ -31,7 +32,6 @@ from __future__ import annotations
 
 import os
 import re
-import string
 import zlib
 from collections.abc import Iterator
 
@@ -45,17 +45,27 @@ from basketlab.llm.common import table
 
 SIZE = 2048
 OPEN = 1 << 22  # tokens that open windows may hold
-CACHE_CHUNKS, CACHE_WORDS = 200_000, 600_000
-#: white space that is more than single spaces and line breaks between other characters
-_ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
-_SAFE = re.compile(r"(?<=\S)([ \n])(?=\S)")
+CACHE_PIECES, CACHE_CHUNKS = 1_200_000, 100_000
+#: anything but letters up to U+024F, digits, ASCII punctuation, spaces and line breaks
+_OTHER = re.compile("[^A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f!-~ \n]")
+#: the splitter's pieces of texts that hold nothing else, where spaces and line breaks stand alone
+_PIECE = re.compile("'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+| ?[0-9]+| ?[!-/:-@\\[-`{-~]+|\n")
+#: a space or line break that stands alone; the splitter never joins what lies before and after it
+_SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
+
+
+def _plain(text: str) -> bool:
+    if _OTHER.search(text) is not None or "  " in text or " \n" in text or "\n " in text or "\n\n" in text:
+        return False
+    return text[0] not in " \n" and text[-1] not in " \n"
 
 
 class ChunkCodec:
-    """Ids of whole texts, through a memory of the chunks between spaces and line breaks.
+    """Ids of whole texts, through a memory of the splitter's pieces.
 
-    A chunk of letters with punctuation behind it is two pieces for the
-    splitter, so only new words and new punctuation are encoded.
+    Of plain texts the pieces are words, numbers, runs of punctuation and line
+    breaks; other texts are cut where a space or line break stands alone. Only
+    new pieces and chunks are encoded.
     """
 
     def __init__(self, path: str):
@@ -64,90 +74,40 @@ class ChunkCodec:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        # chunks with a space before them, and those at the start of a text or line
-        self.chunks: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.words: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
-        self.tails: dict[str, bytes] = {"": b""}
-        self.line = self._ids(["\n"])[0]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def _pieces(chunk: str) -> tuple[str, str]:
-        """A word of Latin letters and the punctuation after it; else the chunk as it is."""
-        word = chunk.rstrip(string.punctuation)
-        if word.isalpha() and (word.isascii() or max(word) < "ɐ"):
-            return word, chunk[len(word) :]
-        return chunk, ""
-
-    def _learn_words(self, wanted: set[str], at_start: int) -> None:
-        held = self.words[at_start]
+        self.pieces: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+
+    def _learn(self, wanted: set[str], held: dict[str, bytes], most: int) -> None:
         new = wanted.difference(held)
-        if len(held) + len(new) > CACHE_WORDS:
+        if len(held) + len(new) > most:
             held.clear()
             new = wanted
-        plain = [w for w in new if w.isalpha() and (w.isascii() or max(w) < "ɐ")]
-        other = list(new.difference(plain))
-        for w, ids in zip(other, self._ids([w if at_start else " " + w for w in other]), strict=True):
-            held[w] = ids
-        for k in range(0, len(plain), 1000):  # many plain words as one text, parted by word number
-            part = plain[k : k + 1000]
-            e = self.tokenizer.encode("\n".join(part) if at_start else " " + " ".join(part), add_special_tokens=False)
+        spaced = [x for x in new if x[0] == " " and x[1:].isalpha()] if held is self.pieces else []
+        other = list(new.difference(spaced))
+        for x, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            held[x] = np.array(e.ids, "<u4").tobytes()
+        for k in range(0, len(spaced), 1000):  # many words, each with its space, as one text, parted by word number
+            part = spaced[k : k + 1000]
+            e = self.tokenizer.encode("".join(part), add_special_tokens=False)
             flat = np.array(e.ids, "<u4").tobytes()
-            size = np.bincount(e.word_ids) * 4
-            if len(size) != (2 * len(part) - 1 if at_start else len(part)):
-                raise ValueError("a plain word is several pieces")
-            ends = size.cumsum()
-            starts = ends - size
-            step = 2 if at_start else 1
-            for w, a, b in zip(part, starts[::step].tolist(), ends[::step].tolist(), strict=True):
-                held[w] = flat[a:b]
-
-    def _learn(self, wanted: set[str], at_start: int) -> None:
-        held = self.chunks[at_start]
-        new = wanted.difference(held)
-        if len(held) + len(new) > CACHE_CHUNKS:
-            held.clear()
-            new = wanted
-        parts = {c: self._pieces(c) for c in new}
-        self._learn_words({w for w, _ in parts.values()}, at_start)
-        tails = list({t for _, t in parts.values()}.difference(self.tails))
-        if len(self.tails) + len(tails) > CACHE_CHUNKS:
-            self.tails = {"": b""}
-            tails = list({t for _, t in parts.values()} - {""})
-        self.tails.update(zip(tails, self._ids(tails), strict=True))
-        words, ends = self.words[at_start], self.tails
-        for c, (w, t) in parts.items():
-            held[c] = words[w] + ends[t] if t else words[w]
+            ends = (np.bincount(e.word_ids, minlength=len(part)).cumsum() * 4).tolist()
+            if len(ends) != len(part):
+                raise ValueError("a word is several pieces")
+            for x, a, b in zip(part, [0, *ends], ends, strict=False):
+                held[x] = flat[a:b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
-        cut, inner, first = [], set(), set()
+        cut, pieces, chunks = [], set(), set()
         for t in texts:
-            if not t:
-                cut.append([])
-                continue
-            if _ODD.search(t) is None:
-                lines = [x.split(" ") for x in t.split("\n")]
-            else:  # alternately chunks and the white space between them
-                lines, row = [], []
-                for k, x in enumerate(_SAFE.split(t)):
-                    if k % 2 == 0:
-                        row.append(x)
-                    elif x == "\n":
-                        lines.append(row)
-                        row = []
-                lines.append(row)
-            for x in lines:
-                first.add(x[0])
-                if len(x) > 1:
-                    inner.update(x[1:])
-            cut.append(lines)
-        self._learn(inner, 0)
-        self._learn(first, 1)
-        start, rest, line = self.chunks[1], self.chunks[0].__getitem__, self.line
-        return [line.join([start[x[0]] + b"".join(map(rest, x[1:])) if len(x) > 1 else start[x[0]] for x in lines]) for lines in cut]
+            plain = not t or _plain(t)
+            x = _PIECE.findall(t) if plain else _SAFE.split(t)
+            (pieces if plain else chunks).update(x)
+            cut.append((plain, x))
+        self._learn(pieces, self.pieces, CACHE_PIECES)
+        self._learn(chunks, self.chunks, CACHE_CHUNKS)
+        piece, chunk = self.pieces.__getitem__, self.chunks.__getitem__
+        return [b"".join(map(piece if plain else chunk, x)) for plain, x in cut]
 
 
 class Packer:

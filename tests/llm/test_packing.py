@@ -51,12 +51,13 @@ def texts():
     v = ["word", "The", "it's", "don't", "naïve", "Über", "x1", "$$$", "end.", "a,b", "(q)", "…", "éé!", "日本語", "\U0001f600", "<|endoftext|>", "'s", "ǅ", "ﬁ", "º", "12", "_", "ab́c", "٠"]
     marks = [" ", " ", " ", " ", "\n", "  ", "\n\n", "\t", " \n", " ", "\r\n", " ", "\x1c", "\x85"]
     made = ["".join(rng.choice(v) + (rng.choice(marks) if rng.random() < 0.15 else " ") for _ in range(rng.randint(0, 80))).strip(rng.choice(["", " "])) for _ in range(400)]
-    return [*made, "", None, " ", "\n", " lead", "trail ", "\n\nlead", "trail\n\n", "a  b", "a \n b", "'s", " 's ok", "word " * 20_000, "w" * 3_000]
+    made = [*made, "", None, " ", "\n", " lead", "trail ", "\n\nlead", "trail\n\n", "a  b", "a \n b", "'s", " 's ok", "word " * 20_000, "w" * 3_000, "it's we'll I'd '" + "'s 'S''t", "a1b2 3c%%% $$$ $x .,;", "line one\nline two. it's\n'so", "º ª × ÷ ǆ ȡ", "1 a\n2\n'"]
+    return made + ["".join(rng.choice("aB1é'$., \n") for _ in range(rng.randint(1, 30))) for _ in range(600)]
 
 
 def test_chunks_encode_like_whole_texts(monkeypatch):
     monkeypatch.setattr(K, "CACHE_CHUNKS", 50)
-    monkeypatch.setattr(K, "CACHE_WORDS", 40)
+    monkeypatch.setattr(K, "CACHE_PIECES", 40)
     t, c = tokenizer(), K.ChunkCodec(PATH)
     every = [x or "" for x in texts()]
     for k in range(0, len(every), 7):
