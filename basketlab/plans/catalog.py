@@ -142,6 +142,58 @@ def q_json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.price_panel(read_stocks(spark, stocks))
 
 
+def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One multi-line document per file, beside files that are cut off, empty, or hold an error message or
+    a history that is no array; every other ticker's prices are text. Read file by file and summed to the panel."""
+    from basketlab.sources.prices import read_price_records
+
+    docs = X.price_documents(spark, sf_dir)
+    as_text = F.transform("historical", lambda r: F.struct(r["date"].alias("date"), r["adjClose"].cast("string").alias("adjClose"), r["label"].alias("label")))
+    text = lambda history: F.to_json(F.struct("symbol", history.alias("historical")), {"pretty": "true"})
+    odd = F.pmod(F.xxhash64("symbol"), F.lit(2)) == 1
+    good = F.when(odd, text(as_text)).otherwise(text(F.col("historical")))
+    bad = [F.substring(good, 1, 200), F.lit(""), F.lit('{"Error Message": "Limit reached"}'), F.lit('{\n "symbol": "X", "historical": "none"\n}')]
+    files = docs.select("symbol", F.posexplode(F.array(good, *bad)).alias("k", "value"))
+    folder = _folder(spark, "documents")
+    files.select(F.concat_ws("-", "symbol", "k").alias("file"), "value").repartition("file").write.partitionBy("file").text(folder, lineSep="\n")
+    return P.price_panel(read_price_records(spark, folder))
+
+
+def q_catalog_hand_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stocks stored as a catalog table bucketed by ticker, read back by name and summed to the panel."""
+    from basketlab.sinks.writers import write_table
+    from basketlab.sources.prices import read_stocks
+
+    name = f"basketlab_stocks_{uuid.uuid4().hex}"
+    write_table(X.stocks_table(spark, sf_dir), name, bucket_by="symbol", buckets=8, location=_folder(spark, "stocks"))
+    return P.price_panel(read_stocks(spark, name))
+
+
+def q_report_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of each holding in the report as it is stored."""
+    from basketlab.plans.pipeline import in_order
+    from basketlab.sinks.writers import read_in_order, write_table
+
+    target = _folder(spark, "holdings")
+    write_table(in_order(analysis(spark, sf_dir).holdings), target)
+    return read_in_order(spark, target).select("Names", "Portfolios", "Weightage", "position")
+
+
+def q_published_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch on files: stocks, index and companies written and read, analysed and published; the published detail."""
+    from basketlab.plans.pipeline import run_pipeline
+    from basketlab.sinks.publish import read_published
+    from basketlab.sinks.writers import write_csv, write_table
+
+    stocks, index, companies, root = (_folder(spark, n) for n in ("stocks", "index", "companies", "published"))
+    sums = materialize(X.brand_sums(spark, sf_dir), "brand_quarters")
+    write_table(X.stocks_from_sums(sums), stocks)
+    write_csv(X.index_from_sums(sums), index)
+    write_csv(X.companies(spark, sf_dir), companies)
+    run_pipeline(spark, stocks, index, companies, TEST_CONFIG, publish_root=root)
+    return read_published(spark, root, "PortfoliosDetail")
+
+
 def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index and company files written and read as CSV: the index's series, and the number of companies."""
     from basketlab.sinks.writers import write_csv
@@ -165,14 +217,13 @@ def q_table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_snapshot_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dated archive of the panel: two days, the first written twice; rows and price sum of each day."""
+    """Dated archive of the panel: two days, the first written twice; every archived row."""
     from basketlab.sinks.writers import write_snapshot
 
     target, a = _folder(spark, "snapshot"), analysis(spark, sf_dir)
     for day in ("2024-01-01", "2024-01-02", "2024-01-01"):
         write_snapshot(a.panel, target, day)
-    back = spark.read.parquet(target).withColumn("run_date", F.col("run_date").cast("string"))
-    return back.groupBy("run_date", "symbol").agg(F.count("*").alias("n"), F.max("price").alias("top"))
+    return spark.read.parquet(target).withColumn("run_date", F.col("run_date").cast("string"))
 
 
 def q_min_variance_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,6 +354,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_round_trip": q_csv_round_trip,
     "table_round_trip": q_table_round_trip,
     "snapshot_round_trip": q_snapshot_round_trip,
+    "json_documents": q_json_documents,
+    "catalog_hand_over": q_catalog_hand_over,
+    "report_order": q_report_order,
+    "published_detail": q_published_detail,
 }
 
 
@@ -591,8 +646,12 @@ ORACLE_FINALS: dict[str, str] = {
     "json_round_trip": "SELECT date, symbol, price FROM panel",
     "csv_round_trip": "SELECT date, level, (SELECT count(*) FROM companies) AS companies FROM idx",
     "table_round_trip": "SELECT * FROM holdings",
-    "snapshot_round_trip": """SELECT d.run_date, symbol, count(*) AS n, max(price) AS top
-       FROM panel, (SELECT unnest(['2024-01-01', '2024-01-02']) AS run_date) d GROUP BY d.run_date, symbol""",
+    "snapshot_round_trip": """SELECT panel.date, symbol, price, d.run_date
+       FROM panel, (SELECT unnest(['2024-01-01', '2024-01-02']) AS run_date) d""",
+    "json_documents": "SELECT date, symbol, price FROM panel",
+    "catalog_hand_over": "SELECT date, symbol, price FROM panel",
+    "report_order": """SELECT "Names", "Portfolios", "Weightage", row_number() OVER (ORDER BY "Names", "Portfolios") AS position FROM holdings""",
+    "published_detail": "SELECT * FROM o_detail",
 }
 
 #: The same stages on weekly data: dates that drop out, missing prices, zero returns.

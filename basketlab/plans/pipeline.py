@@ -18,6 +18,7 @@ from basketlab.config import PipelineConfig
 from basketlab.operators.report import portfolio_detail
 from basketlab.plans.analysis import Analysis
 from basketlab.session import materialize
+from basketlab.sinks.publish import Run
 from basketlab.sinks.writers import write_csv, write_snapshot, write_table
 from basketlab.sources.index import read_companies, read_csv_text
 from basketlab.sources.prices import flatten_history, read_price_documents, read_stocks
@@ -45,6 +46,11 @@ def upload_prices(
     return read_stocks(spark, stocks_target)
 
 
+def in_order(holdings: DataFrame) -> DataFrame:
+    """Holdings by basket name, as text, and by ticker within a basket."""
+    return holdings.orderBy("Names", "Portfolios")
+
+
 @dataclass
 class PipelineOutputs:
     analysis: Analysis
@@ -66,9 +72,14 @@ def run_pipeline(
     snapshot_path: str | None = None,
     run_date: str | None = None,
     inputs_archive_path: str | None = None,
+    publish_root: str | None = None,
 ) -> PipelineOutputs:
     """Build (and optionally publish) the basket report.
 
+    ``publish_root`` publishes holdings (``Portfolios``) and detail
+    (``PortfoliosDetail``) together: readers see both of one run, or both of the
+    run before (``sinks.publish``).
+
     ``snapshot_path`` keeps one dated partition of the report per run and
     ``inputs_archive_path`` one of the input stocks table; re-running a day
     replaces only that day.
@@ -80,10 +91,16 @@ def run_pipeline(
         write_snapshot(stocks_df, inputs_archive_path, run_date)
     a = Analysis(stocks_df, index_df, comp_df, config or PipelineConfig(), optimal=True, materialize_stages=True)
     summary, holdings = a.summary, a.holdings
+    run = Run(spark, publish_root) if publish_root else None
+    if run:
+        holdings = run.write("Portfolios", in_order(holdings))
     if holdings_target:
-        write_table(holdings.orderBy("Names"), holdings_target)
+        write_table(in_order(holdings), holdings_target)
         holdings = read_stocks(spark, holdings_target)
     detail = portfolio_detail(holdings, a.stock_history)
+    if run:
+        detail = run.write("PortfoliosDetail", detail)
+        run.commit()
     if detail_target:
         write_table(detail, detail_target)
         detail = read_stocks(spark, detail_target)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -15,9 +15,12 @@ def write_table(
     mode: str = "overwrite",
     bucket_by: str | None = None,
     buckets: int | None = None,
+    location: str | None = None,
 ) -> None:
     """Overwrite a catalog table (plain name) or a path (anything with a ``/``).
 
+    ``location`` keeps a catalog table's files in that folder instead of the warehouse.
+
     ``bucket_by`` + ``buckets`` (catalog tables only) store the table hash-
     bucketed, so later aggregations and joins keyed on that column (plus any
     other keys) read it without a shuffle.
@@ -28,6 +31,8 @@ def write_table(
         return
     if bucket_by and buckets:
         w = w.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    if location:
+        w = w.option("path", location)
     w.saveAsTable(target)
 
 
@@ -51,6 +56,19 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
     out.write.mode(mode).option("header", True).csv(path)
 
 
+def read_in_order(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """A Parquet folder written in a global order, with each row's place 1, 2, ... in it.
+
+    A range-ordered write numbers its part files by range, so the place is that
+    within the file plus the sizes of the files before (one row a file).
+    """
+    at = F.col("_metadata.file_name")
+    rows = spark.read.parquet(path).select("*", at.alias("_file"), (F.col("_metadata.row_index") + 1).alias("_row"))
+    sizes = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = sizes.select("_file", (F.sum("_n").over(Window.orderBy("_file")) - F.col("_n")).alias("_before"))
+    return rows.join(before, "_file").withColumn(position, F.col("_before") + F.col("_row")).drop("_file", "_row", "_before")
+
+
 def write_snapshot(
     df: DataFrame,
     path: str,
