@@ -40,7 +40,7 @@ from basketlab.llm.common import table, written
 from basketlab.llm.near_dedup import _powers, mix
 
 LEAST, KEPT_SHARE, TOP = 10, 50, 2000
-CHUNK = 1 << 23  # bytes of text whose graph is built at once
+CHUNK = 1 << 22  # bytes of text whose graph is built at once
 BUCKET = 1 << 23  # bytes of text for each bucket of nodes
 HOT, SAMPLE = 1000, 2000  # share of a hot node (one in HOT), texts of the sample that finds them
 _U = np.uint64
@@ -59,7 +59,7 @@ def words_of(raw: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     part = kind == 0
     start = np.flatnonzero(part[1:] & ~part[:-1]) + 1
     end = np.flatnonzero(part[:-1] & ~part[1:]) + 1
-    breaks = np.cumsum(kind == 2, dtype=np.int64)
+    breaks = np.cumsum(kind == 2, dtype=np.int32 if len(kind) < 1 << 31 else np.int64)
     at = breaks[start]
     last = np.ones(len(start), bool)
     last[:-1] = at[1:] != at[:-1]
@@ -258,9 +258,16 @@ def flows(found: DataFrame, buckets: int, hot: list[int], least: int = LEAST) ->
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int], _Held] = {}
+        now = None
         for b in batches:
-            for lang, width, lines, weights in zip(*[b.column(k).to_pylist() for k in (1, 2, 3, 4)], strict=True):
+            for bucket, lang, width, lines, weights in zip(*[b.column(k).to_pylist() for k in range(5)], strict=True):
+                if bucket != now:  # a task holds one bucket at a time
+                    yield from whole(held)
+                    held, now = {}, bucket
                 held.setdefault((lang, width), _Held()).add(_full(lines), _full(weights), width)
+        yield from whole(held)
+
+    def whole(held: dict[tuple[str, int], _Held]) -> Iterator[pa.RecordBatch]:
         for (lang, width), h in held.items():
             g = h.graph(width)
             if width == 1:
@@ -281,7 +288,8 @@ def flows(found: DataFrame, buckets: int, hot: list[int], least: int = LEAST) ->
             p = np.flatnonzero(((flow >= least) | part) & (g.second > 0) & ~in_path)
             yield batch(lang, g, g.first[p], g.second[p], 0 * p, flow[p], np.zeros(len(p), bool))
 
-    return found.repartition(buckets, "bucket").select("bucket", "lang", "width", "lines", "weights").mapInArrow(read, COUNTS)
+    dealt = found.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return dealt.select("bucket", "lang", "width", "lines", "weights").mapInArrow(read, COUNTS)
 
 
 def hot_nodes(docs: DataFrame, text_col: str = "text") -> list[int]:
