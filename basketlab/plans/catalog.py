@@ -439,7 +439,7 @@ def _base_ctes(cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter", ticke
       FROM pm"""
     pairs = "FROM returns a JOIN returns b ON a.date = b.date AND a.symbol <= b.symbol GROUP BY a.symbol, b.symbol"
     if plain:
-        c["corr_half"] = f"SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, {_sround('corr(a.ret, b.ret)', cfg.corr_decimals)} AS corr {pairs}"
+        c["corr_half"] = f"SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, {_sround("nullif(corr(a.ret, b.ret), 'nan'::DOUBLE)", cfg.corr_decimals)} AS corr {pairs}"
     c["corr"] = """
       SELECT symbol_a, symbol_b, corr FROM corr_half
       UNION ALL SELECT symbol_b AS symbol_a, symbol_a AS symbol_b, corr FROM corr_half WHERE symbol_a <> symbol_b"""
@@ -474,7 +474,7 @@ def _base_ctes(cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter", ticke
              CASE WHEN n > 1 THEN CAST(cov_num AS DOUBLE) / CAST(n * (n - 1) AS DOUBLE) / {cov_scale} END AS cov
       FROM pm_members"""
     if plain:
-        c["cov_half"] = f"SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, {_sround('covar_samp(a.ret, b.ret)', 9)} AS cov {pairs}"
+        c["cov_half"] = f"SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, {_sround("nullif(covar_samp(a.ret, b.ret), 'nan'::DOUBLE)", 9)} AS cov {pairs}"
     c["cov"] = """
       SELECT symbol_a, symbol_b, cov FROM cov_half
       UNION ALL SELECT symbol_b AS symbol_a, symbol_a AS symbol_b, cov FROM cov_half WHERE symbol_a <> symbol_b"""
@@ -488,7 +488,7 @@ def _base_ctes(cfg: PipelineConfig = TEST_CONFIG, period: str = "quarter", ticke
                          sum(CAST(ix AS HUGEINT) * x) AS sxy
                   FROM ru GROUP BY symbol))"""
     if plain:
-        c["betas_all"] = f"SELECT symbol, {_sround('coalesce(regr_slope(ret, index_ret), 0.0)', bd)} AS beta FROM returns GROUP BY symbol"
+        c["betas_all"] = f"SELECT symbol, {_sround("coalesce(nullif(regr_slope(ret, index_ret), 'nan'::DOUBLE), 0.0)", bd)} AS beta FROM returns GROUP BY symbol"
     c["betas"] = "SELECT * FROM betas_all WHERE symbol IN (SELECT symbol FROM members)"
     c["latest"] = """
       SELECT symbol, date, price FROM panel
