@@ -70,7 +70,9 @@ def secret_sql() -> str:
 
     kinds = "case kind when 0 then 'assign' when 1 then 'access' when 2 then 'hex' else 'entropy' end"
     listed = f"string_agg({kinds} || ':' || s || ':' || e, ',' order by s, kind, e)"
-    known = " or ".join(f"regexp_matches(v, '{q(p)}')" for p in S.ALLOW)
+    # numbered names and paths, in plain form: DuckDB's expressions have no look-ahead, and do not recurse
+    plain = r"^/?([A-Za-z]+[/_-])*[A-Za-z]+([/_-]?[0-9]{1,6})?/?$"
+    known = " or ".join(f"regexp_matches(v, '{q(plain if '(?!' in p else p)}')" for p in S.ALLOW)
     table = "[" + ", ".join(str(S.weight(c)) for c in range(S.WIDTH + 1)) + "]"
     digit, low, up = ("regexp_matches(v, '[0-9]')", "regexp_matches(v, '[a-z]')", "regexp_matches(v, '[A-Z]')")
     bits = {name: S.bound(b) for name, _, b in S.CLASSES}

@@ -116,3 +116,12 @@ def test_counts_are_kept_along_long_candidates(make):
     for i, s in rows:
         if i > 1:
             assert s == listed(brute(texts[i]))
+
+
+def test_numbered_names_without_a_repeated_group():
+    """The pattern without a repeated group knows the same strings as the plain one."""
+    plain = r"^/?([A-Za-z]+[/_-])*[A-Za-z]+([/_-]?[0-9]{1,6})?/?$"
+    rng = random.Random(8)
+    for _ in range(60_000):
+        t = "".join(rng.choice("aZ09/_-") for _ in range(rng.randint(0, 11)))
+        assert bool(re.search(plain, t)) == bool(re.search(S.ALLOW[1], t)), t
