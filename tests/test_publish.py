@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketlab.operators.report import portfolio_detail
 from basketlab.sinks.publish import Run, read_published
-from basketlab.sinks.writers import read_in_order, write_table
+from basketlab.sinks.writers import read_in_order, write_csv, write_table
 from basketlab.sources import fixtures as X
 from basketlab.sources.prices import read_price_records
 from helpers import SF_SMALL
@@ -79,3 +79,33 @@ def test_detail_reads_a_bucketed_history_without_a_shuffle(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_single_csv_is_joined_from_parallel_parts_in_order(spark, tmp_path):
+    path = f"{tmp_path}/report"
+    rows = spark.range(5000).select("id", F.concat(F.lit('say "a, b" '), "id").alias("na,me"), F.array("id", "id").alias("pair"))
+    stages = spark.sparkContext.statusTracker()
+    for df, n in ((rows.repartition(5), 5000), (rows.repartitionByRange(7, "id").sortWithinPartitions("id"), 5000), (rows.limit(0), 0), (rows.where("id < 3").repartitionByRange(7, "id"), 3)):
+        spark.sparkContext.setJobGroup("joined", "one file")
+        write_csv(df, path, single_file=True)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        files = [f.name for f in (tmp_path / "report").iterdir() if not f.name.startswith(("_", "."))]
+        assert files == ["part-00000.csv"] and [f.name for f in tmp_path.iterdir()] == ["report"]
+        back = spark.read.option("header", True).option("escape", "\\").csv(path)
+        assert back.columns == ["id", "na,me", "pair"] and back.count() == n
+        got = [tuple(r) for r in back.collect()]
+        assert sorted(got) == sorted((str(r.id), r["na,me"], f"[{r.id}, {r.id}]") for r in df.collect())
+        if df.rdd.getNumPartitions() == 7:
+            assert [int(g[0]) for g in got] == list(range(n))
+    tasks = [stages.getStageInfo(s).numTasks for j in stages.getJobIdsForGroup("joined") for s in stages.getJobInfo(j).stageIds if stages.getStageInfo(s)]
+    assert max(tasks) >= 7
+    with pytest.raises(FileExistsError):
+        write_csv(rows, path, single_file=True, mode="errorifexists")
+
+
+def test_a_failed_single_csv_leaves_the_old_one(spark, tmp_path):
+    path = f"{tmp_path}/report"
+    write_csv(spark.range(10), path, single_file=True)
+    with pytest.raises(Exception, match="lost"):
+        write_csv(spark.range(30).select(F.raise_error(F.lit("lost")).cast("long").alias("id")), path, single_file=True)
+    assert spark.read.option("header", True).csv(path).count() == 10 and [f.name for f in tmp_path.iterdir()] == ["report"]
