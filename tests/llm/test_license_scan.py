@@ -101,3 +101,84 @@ def test_copies_of_a_paragraph_count_once_in_the_sample(make):
     df = make([(i, f"line number {i % 400} of the text") for i in range(4000)])
     got = L.sample_paragraphs(df, most=50)
     assert len(got) == len(set(got)) == 50
+
+
+def confirmed(model, text):
+    return sorted({f for _, f, _, sure in model.scan([text])[0][1] if sure})
+
+
+@pytest.mark.parametrize(
+    "text, family",
+    [
+        ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "gpl-2.0"),
+        ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "lgpl-2.1"),
+        ("The contents of this file are subject to the Mozilla Public License Version 1.1 (the License)", "mpl-1.1"),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "cc-by-nd-4.0"),
+        ("Licensed under CC BY-NC-SA 4.0", "cc-by-nc-sa-4.0"),
+        ("This is free and unencumbered software released into the public domain.", "unlicense"),
+        ("MIT License", "mit"),
+    ],
+)
+def test_versions_and_variants_are_told_apart(model, text, family):
+    assert confirmed(model, text) == [family]
+    assert confirmed(model, f"the old mill by the river\n{text}\nwas sold to a family") == [family]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "This work is licensed under the GNU General Public License, version 1",
+        "Licensed under the Apache License, Version 1.1",
+        "Licensed under the Mozilla Public License, version 1.0",
+        "This work is licensed under a Creative Commons Attribution 3.0 Unported License",
+        "Licensed under CC BY 3.0",
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    ],
+)
+def test_versions_without_a_template_are_unknown(model, text):
+    assert [(f, sure) for _, f, _, sure in model.scan([text])[0][1]] == [("unknown", False)]
+
+
+def test_notices_against_a_plain_search(model):
+    """Every template found by comparing word lists, and no other, in wrapped mixtures of notices and prose."""
+    import re
+
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    wanted = {f: [words(t) for t in ts if len(words(t)) > 2] for f, ts in L.TEMPLATES.items()}
+    prose = "the old mill by the river was sold to a family from the next town who painted it white and grew beans".split()
+    rng = random.Random(5)
+    notices = [t for ts in L.TEMPLATES.values() for t in ts if len(words(t)) > 2]
+    for _ in range(150):
+        parts = []
+        for t in rng.sample(notices, rng.randint(0, 3)):
+            parts += [rng.choice(prose) for _ in range(rng.randint(60, 90))] + t.split()
+        parts += [rng.choice(prose) for _ in range(70)]
+        text = "".join(p + rng.choice(["\n", " ", " ", " ", " "]) for p in parts)
+        w = words(text)
+        there = {tuple(w[i : i + n]) for n in {len(t) for ts in wanted.values() for t in ts} for i in range(len(w) - n + 1)}
+        assert confirmed(model, text) == sorted(f for f, ts in wanted.items() if any(tuple(t) in there for t in ts)), text
+
+
+def test_operands_far_into_an_expression(model):
+    many = " OR ".join(f"LicenseRef-Custom-{i}" for i in range(40))
+    assert confirmed(model, f"SPDX-License-Identifier: {many} OR MIT") == ["mit"]
+    assert confirmed(model, "SPDX-License-Identifier: LicenseRef-Custom\nthis or MIT") == []
+
+
+def test_families_left_out_of_training_are_unknown(corpus):
+    """The calibrated class holds for families that a model never saw: their notices are licence wording of no known family."""
+    rng = random.Random(2)
+    lines = [p for t in corpus for p in t.split("\n") if p.strip()]
+    negatives, fresh = rng.sample(lines, 1500), rng.sample(lines, 1500)
+    texts, y, wording = L.examples(negatives)
+    design = [L.left_out(y, wording, k) for k in range(L.FOLDS)]
+    assert all((true[~out] == y[~out]).all() for out, true in design)
+    assert all((true[(y > 1) & (y % L.FOLDS == k)] == 1).all() for k, (_, true) in enumerate(design))
+    model = L.train(negatives)
+    strange = ["Licensed under the Artistic License 2.0", "This code is distributed under the Eclipse Public License, version 2.0", "Licensed under the Boost Software License, Version 1.0", "Released under the zlib license"]
+    hits = [model.scan([t])[0][1] for t in strange]
+    assert sum([f for _, f, _, _ in h] == ["unknown"] for h in hits) >= 3 and not any(sure for h in hits for *_, sure in h)
+    flagged = sum(any(f == "unknown" for _, f, _, _ in h) and "icens" not in t and "reserved" not in t for t, (_, h) in zip(fresh, model.scan(fresh), strict=True))
+    assert flagged <= 0.005 * len(fresh)
+    few = L.train([])  # without any paragraph to learn from, plain text still is none
+    assert few.scan(["Haanth ndenon.", "plain words of no import " * 100]) == [(1, []), (1, [])]
