@@ -495,7 +495,11 @@ def _weights(y: np.ndarray) -> np.ndarray:
 
 def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights and bias for counts of grams ``x`` and classes ``y``, by adaptive gradient steps until the loss settles."""
-    goal, xt, weight = np.eye(len(CLASSES))[y], np.ascontiguousarray(x.T), _weights(y)[:, None]
+    # equal examples are one row that weighs as many times as much
+    _, one, times = np.unique(np.c_[x, y].astype(np.int32), axis=0, return_index=True, return_counts=True)
+    weight = (_weights(y)[one] * times)[:, None]
+    x, y = x[one], y[one]
+    goal, xt = np.eye(len(CLASSES))[y], np.ascontiguousarray(x.T)
     w, b = np.zeros((x.shape[1], len(CLASSES))), np.zeros(len(CLASSES))
     seen_w, seen_b = np.full(w.shape, 1e-3), np.full(len(CLASSES), 1e-3)
     step, before = 0, np.inf
