@@ -27,9 +27,10 @@ from __future__ import annotations
 import json
 import os
 import re
-import string
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count, islice, pairwise
 
 import numpy as np
 import pandas as pd
@@ -42,10 +43,17 @@ from basketlab.llm.common import new_folder, table, written
 from basketlab.llm.near_dedup import mix
 
 MAGIC = b"TOKIDX1\n"
-CACHE_CHUNKS, CACHE_WORDS = 200_000, 800_000
+CACHE_PIECES, CACHE_CHARS = 800_000, 1 << 24
 GAMMA = 2
-#: Texts of Latin letters, full stops, commas, spaces and line breaks; lower-casing and splitting these is plain.
-_OTHER = re.compile("[^A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff .,\n]|[.,][.,]")
+#: Letters that lower-case to one of them, marks, quotes and dashes, white space: composed already, and no normaliser or
+#: splitter rule looks beyond them. Without U+0130, U+023A, U+023E, whose lower case is elsewhere.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u02af\u0400-\u0481\u048a-\u04ff"
+_MARKS = "!-/:-@\\[-`{-~\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7\u2010-\u2027"
+_OTHER = re.compile(f"[^{_LETTERS}{_MARKS}0-9 \t\n\r]")
+#: the splitter's pieces of lower-case texts without such others
+_PIECE = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_MARKS}]+|[0-9]")
+#: Texts of Latin letters, full stops, commas and white space only; splitting these needs no pattern.
+_MORE = re.compile("[^A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff .,\t\n\r]")
 _U = np.uint64
 
 
@@ -140,13 +148,14 @@ class Shard:
 
 
 class WordCodec:
-    """Encoder of the tokenizers library with a memory of the chunks between spaces.
-
-    The tokenizer's normaliser and splitter work within runs that contain no
-    space, so a text's ids are those of its chunks, one after the other. A chunk
-    of letters with punctuation at its end is two pieces for the splitter, and
-    the normaliser lower-cases, so only new lower-case words are encoded. Both
-    memories have a fixed size.
+    """Encoder of the tokenizers library with a memory of the splitter's pieces.
+
+    A text whose characters all have plain rules is lower-cased and split here,
+    as the splitter does. In other texts this is done between spaces, which the
+    normaliser and the splitter never look across; only runs that hold another
+    character are left whole. Each piece or run has a number; new ones are
+    encoded by the library, and the ids of many texts are gathered by number at
+    once. The memory has a fixed size, apart from what one round adds.
     """
 
     def __init__(self, path: str):
@@ -157,69 +166,71 @@ class WordCodec:
         self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.memo: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _pieces(self, chunk: str) -> tuple[str, str]:
-        """The chunk as a word and the punctuation after it, if the splitter parts them; else whole."""
-        word = chunk.rstrip(string.punctuation)
-        if word.isascii():
-            if word.isalpha():
-                return word.lower(), chunk[len(word) :]
-        elif word.isalpha() and word.lower().isalpha():  # else lower-casing adds a mark that joins the punctuation
-            return word, chunk[len(word) :]
-        return chunk, ""
-
-    def _learn_words(self, wanted: set[str], plain: bool = False) -> None:
-        """``plain``: each is one piece for the splitter, so many are encoded as one text and parted by word number."""
-        new = wanted.difference(self.words)
-        if len(self.words) + len(new) > CACHE_WORDS:
-            self.words.clear()
-            new = wanted
-        new = list(new)
-        if not plain:
-            for x, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.words[x] = np.array(e.ids, self.kind).tobytes()
-            return
-        for k in range(0, len(new), 1000):
-            part = new[k : k + 1000]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            flat = np.array(e.ids, self.kind).tobytes()
-            ends = (np.bincount(e.word_ids, minlength=len(part)).cumsum() * self.width).tolist()
-            if len(ends) != len(part):
-                raise ValueError("a plain word is several pieces")
-            for x, a, b in zip(part, [0, *ends], ends, strict=False):
-                self.words[x] = flat[a:b]
-
-    def _learn_chunks(self, wanted: set[str]) -> None:
-        new = wanted.difference(self.memo)
-        if len(self.memo) + len(new) > CACHE_CHUNKS:
-            self.memo.clear()
-            new = wanted
-        parts = {c: self._pieces(c) for c in new}
-        self._learn_words({x for p in parts.values() for x in p})
-        words = self.words
-        for c, (w, tail) in parts.items():
-            self.memo[c] = words[w] + words[tail] if tail else words[w]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict(count().__next__)  # in the order of their numbers
+        self.ids = np.empty(0, self.kind)
+        self.first = np.empty(0, np.int64)  # where the ids of each number begin
+        self.size = np.empty(0, np.int64)
+        self.chars = 0
+
+    @staticmethod
+    def split(text: str) -> list[str]:
+        """Pieces of the splitter, lower-case, and runs without spaces that hold other characters."""
+        if _MORE.search(text) is None and not (".." in text or ".," in text or ",." in text or ",," in text):
+            return text.lower().replace(".", " . ").replace(",", " , ").split()
+        if _OTHER.search(text) is None:
+            return _PIECE.findall(text.lower())
+        return [x for c in text.replace("\n", " ").split(" ") for x in ((c,) if _OTHER.search(c) else _PIECE.findall(c.lower()))]
+
+    def _learn(self, new: list[str]) -> None:
+        """Adds the ids of the newly numbered. Many pieces are encoded as one text and parted by word number."""
+        other = np.zeros(len(new), bool)
+        if _OTHER.search(" ".join(new)) is not None:
+            other[:] = [_OTHER.search(x) is not None for x in new]
+        size, ids = np.empty(len(new), np.int64), [self.ids]
+        pieces, runs = np.flatnonzero(~other), np.flatnonzero(other)
+        for k in range(0, len(pieces), 1000):
+            part = pieces[k : k + 1000]
+            e = self.tokenizer.encode(" ".join([new[i] for i in part.tolist()]), add_special_tokens=False)
+            n = np.bincount(e.word_ids, minlength=len(part))
+            if len(n) != len(part):
+                raise ValueError("a piece is several to the splitter")
+            size[part] = n
+            ids.append(np.array(e.ids, self.kind))
+        if len(runs):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([new[i] for i in runs.tolist()], add_special_tokens=False)]
+            size[runs] = [len(x) for x in found]
+            ids += [np.array(x, self.kind) for x in found]
+        order = np.concatenate([pieces, runs])
+        first = np.empty(len(new), np.int64)
+        first[order] = len(self.ids) + np.cumsum(size[order]) - size[order]
+        self.ids = np.concatenate(ids)
+        self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
+        self.chars += sum(map(len, new))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for part in _chunks(texts):
-            plain = [_OTHER.search(t) is None for t in part]
-            split = [t.lower().replace(".", " . ").replace(",", " , ").split() if p else t.replace("\n", " ").split(" ") for t, p in zip(part, plain, strict=True)]
-            chunks: set[str] = set()
-            words: set[str] = set()
-            for s, p in zip(split, plain, strict=True):
-                (words if p else chunks).update(s)
-            done: list[bytes] = [b""] * len(part)
-            for kind, wanted in ((False, chunks), (True, words)):
-                if wanted:
-                    self._learn_words(wanted, plain=True) if kind else self._learn_chunks(wanted)
-                    get = (self.words if kind else self.memo).__getitem__
-                    for k, s in enumerate(split):
-                        if plain[k] == kind:
-                            done[k] = b"".join(map(get, s))
-            out += done
+            if len(self.number) > CACHE_PIECES or self.chars > CACHE_CHARS:
+                self._forget()
+            known = len(self.number)
+            split = [self.split(t) for t in part]
+            ends = np.cumsum([0, *map(len, split)])
+            piece = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, ends[-1])
+            if len(self.number) > known:
+                try:
+                    self._learn(list(islice(reversed(self.number), len(self.number) - known))[::-1])
+                except BaseException:
+                    self._forget()  # the process lives on, and numbers without ids must not
+                    raise
+            size = self.size[piece]
+            upto = np.concatenate([[0], np.cumsum(size)])
+            at = np.repeat(self.first[piece] - upto[:-1], size) + np.arange(upto[-1])
+            raw = self.ids[at].tobytes()
+            cut = (upto[ends] * self.width).tolist()
+            out += [raw[a:b] for a, b in pairwise(cut)]
         return out
 
 
